@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkfall.llm import consensus, encoding, splitting, survivorship
+from inkfall.llm import consensus, encoding, lookalikes, splitting, survivorship
 from inkfall.sources.tables import table
 
 
@@ -18,6 +18,14 @@ def p1_found(spark: SparkSession, folder: str) -> DataFrame:
     return p1_pieces(spark, folder).filter("n_pieces > 1").select("paper_id", "item_id").distinct()
 
 
+def p2_found(spark: SparkSession, folder: str) -> DataFrame:
+    checks, reports = table(spark, folder, "presence_checks"), table(spark, folder, "coverage_reports")
+    needles = lookalikes.presence(checks, reports).select(F.lit("needle").alias("kind"), F.col("check_id").alias("ref_id"))
+    notes = table(spark, folder, "annotations")
+    quotes = lookalikes.same_look(notes, "ann_id", F.col("quote_selector.exact"), F.col("sentence_text"))
+    return needles.unionByName(quotes.select(F.lit("quote").alias("kind"), F.col("ann_id").alias("ref_id")))
+
+
 def p3_consensus(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     rated = consensus.latest_ratings(table(spark, folder, "candidates"), ["paper_id", "field_index"])
     return consensus.fit_consensus(rated, ["paper_id", "field_index"])
@@ -62,6 +70,7 @@ def p7_decoded(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "p1_found": p1_found,
     "p1_pieces": p1_pieces,
+    "p2_found": p2_found,
     "p3_found": p3_found,
     "p3_reliability": p3_reliability,
     "p6_found": p6_found,
