@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkfall.llm import consensus, encoding, lookalikes, splitting, survivorship
+from inkfall.llm import consensus, encoding, leakage, lookalikes, splitting, survivorship
 from inkfall.sources.tables import table
 
 
@@ -67,6 +67,14 @@ def p7_decoded(spark: SparkSession, folder: str) -> DataFrame:
     return encoding.decode(p7_ids(spark, folder))
 
 
+def p8_leaks(spark: SparkSession, folder: str) -> DataFrame:
+    return leakage.find_leaks(table(spark, folder, "documents"), table(spark, folder, "eval_items"))
+
+
+def p8_found(spark: SparkSession, folder: str) -> DataFrame:
+    return p8_leaks(spark, folder).select("doc_id", "item_id")
+
+
 QUERIES = {
     "p1_found": p1_found,
     "p1_pieces": p1_pieces,
@@ -76,6 +84,7 @@ QUERIES = {
     "p6_found": p6_found,
     "p7_ids": p7_ids,
     "p7_decoded": p7_decoded,
+    "p8_found": p8_found,
 }
 
 ORACLE_SQL = {
