@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from inkfall.partitioning import spread
 from inkfall.llm.lookalikes import HYPHENS, shapes
 
 #: The share of an item's words that a leaking document gives, and the share of those that may be edited.
@@ -196,7 +197,8 @@ def find_leaks(
     pieces = pieces.select("item", "piece", "i", F.xxhash64(F.slice("item_words", F.col("i") + 1, F.col("piece"))).alias("gram"))
     # The sizes in use are few: they depend on the items' lengths only.
     sizes = F.array(*[F.lit(r[0]) for r in sorted(pieces.select("piece").distinct().collect())])
-    words = docs.select(F.col(doc).alias("doc"), hashed(plain_words(F.col(text))).alias("doc_words")).filter("size(doc_words) > 0")
+    corpus = spread(docs.select(doc, text), doc)
+    words = corpus.select(F.col(doc).alias("doc"), hashed(plain_words(F.col(text))).alias("doc_words")).filter("size(doc_words) > 0")
     each = words.select("doc", "doc_words", F.explode(sizes).alias("p")).filter("size(doc_words) >= p")
     grams = each.select(
         "doc", "p", F.posexplode(F.transform(F.sequence(F.lit(1), F.size("doc_words") - F.col("p") + 1), lambda k: F.xxhash64(F.slice("doc_words", k, F.col("p"))))).alias("j", "gram")

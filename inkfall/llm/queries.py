@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkfall.llm import consensus, encoding, leakage, lookalikes, splitting, survivorship
+from inkfall.llm import consensus, encoding, language, leakage, lookalikes, splitting, survivorship
 from inkfall.sources.tables import table
 
 
@@ -75,6 +75,15 @@ def p8_found(spark: SparkSession, folder: str) -> DataFrame:
     return p8_leaks(spark, folder).select("doc_id", "item_id")
 
 
+def p9_segments(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return language.segments(docs, language.fit_profiles(docs))
+
+
+def p9_found(spark: SparkSession, folder: str) -> DataFrame:
+    return language.wrong_labels(table(spark, folder, "documents"), language.languages(p9_segments(spark, folder)))
+
+
 QUERIES = {
     "p1_found": p1_found,
     "p1_pieces": p1_pieces,
@@ -85,6 +94,8 @@ QUERIES = {
     "p7_ids": p7_ids,
     "p7_decoded": p7_decoded,
     "p8_found": p8_found,
+    "p9_found": p9_found,
+    "p9_segments": p9_segments,
 }
 
 ORACLE_SQL = {
