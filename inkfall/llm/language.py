@@ -56,7 +56,7 @@ def _json() -> str:
 
 _QUOTE = re.compile("“[^“”„]{0,300}”")
 _END = re.compile(
-    r"(?:[.!?…।؟]+[\"'”’»)\]]*(?=\s+\S)|[。！？]+[」』”’）]*(?=\S)|[ \t]*\n\s*\n\s*|(?<=[฀-๿])[ \t]+(?=[฀-๿]))"
+    r"(?:[.!?…।؟]+[\"'”’»)\]]*(?=\s+\S)|(?<=[Ͱ-Ͽἀ-῿])[;;](?=\s+\S)|[。！？]+[」』”’）]*(?=\S)|[ \t]*\n\s*\n\s*|(?<=[฀-๿])[ \t]+(?=[฀-๿]))"
 )
 
 
@@ -72,6 +72,12 @@ def sentences_of(text: str) -> list[tuple[int, int]]:
     return out
 
 
+def _hidden(quote: re.Match) -> str:
+    """Blanks for a quoted passage; where it ends a sentence of a script without blanks, that end stays."""
+    q = quote.group()
+    return " " * (len(q) - 2) + q[-2:] if len(q) > 2 and q[-2] in "。！？" else " " * len(q)
+
+
 _DENSE = re.compile("[฀-๿\u3040-ヿ㐀-\u9fff]")
 
 
@@ -238,7 +244,7 @@ def _segments(table, change: float, batch_docs: int = 1000):
         for d, t in enumerate(texts):
             if not t:
                 continue
-            shown = _QUOTE.sub(lambda m: " " * (m.end() - m.start()), t)
+            shown = _QUOTE.sub(_hidden, t)
             if sum(map(str.isalpha, shown)) < 0.5 * sum(map(str.isalpha, t)):
                 shown = t
             for a, b in sentences_of(shown):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkfall.llm import consensus, encoding, language, leakage, lookalikes, splitting, survivorship
+from inkfall.llm import consensus, encoding, language, leakage, lookalikes, sentences, splitting, survivorship
 from inkfall.sources.tables import table
 
 
@@ -42,6 +42,11 @@ def p3_reliability(spark: SparkSession, folder: str) -> DataFrame:
 _SURVIVING = ("extracted_value", "evidence", "section_path", "page")
 
 
+def p4_found(spark: SparkSession, folder: str) -> DataFrame:
+    reports = table(spark, folder, "coverage_reports").filter("source = 'grobid'").select("report_id", "full_pdf_text")
+    return sentences.split_sentences(reports, "report_id", "full_pdf_text").drop("sentence_index").distinct()
+
+
 def p6_survivors(spark: SparkSession, folder: str) -> DataFrame:
     records = table(spark, folder, "field_records").select(
         "record_id", "paper_id", "source_pdf", "field_index", *_SURVIVING, "confidence", "updated_at"
@@ -90,6 +95,7 @@ QUERIES = {
     "p2_found": p2_found,
     "p3_found": p3_found,
     "p3_reliability": p3_reliability,
+    "p4_found": p4_found,
     "p6_found": p6_found,
     "p7_ids": p7_ids,
     "p7_decoded": p7_decoded,
