@@ -105,6 +105,8 @@ def _source_pass(k: int, shared):
             prob = _softmax(sigma + _cube(part.column("tau"), n, k, k)[item])
             hit, w = np.eye(k)[lab][:, None, :], _cube(part.column("q"), n, k)[item][:, :, None]
             both = np.concatenate([w * (hit - prob), w * prob * (1 - prob), w * hit], 1).reshape(len(src), -1)
+            q = _cube(part.column("q"), n, k)
+            total[-1] = total.get(-1, np.zeros(3 * k * k)) + np.r_[q.sum(0), np.zeros(3 * k * k - k)]
             own, back = np.unique(src, return_inverse=True)
             added = np.zeros((len(own), both.shape[1]))
             np.add.at(added, back, both)
@@ -161,7 +163,7 @@ def fit_consensus(
     names = cut(rated.groupBy("source").agg(F.count("*").alias("n_items")))
     n_sources = names.count()
     small = n_sources <= BROADCAST_SOURCES
-    place = F.row_number().over(Window.orderBy("source")).cast("long") - 1 if small else F.xxhash64("source")
+    place = F.row_number().over(Window.orderBy("source")).cast("long") - 1 if small else F.abs(F.xxhash64("source"))
     numbered = cut(names.withColumn("src", place))
     keyed = rated.join(numbered.select("source", "src"), "source")
     rows = keyed.groupBy(F.struct(*item).alias("item")).agg(F.collect_list(F.struct("src", code.alias("lab"))).alias("ratings"))
@@ -186,26 +188,32 @@ def fit_consensus(
         state = cut(state)
         if at == rounds:
             break
-        share = state.select(*[F.avg(F.col("q")[c]).alias(f"p{c}") for c in range(k)]).first()
-        prior = np.maximum(np.array([share[c] or 1.0 / k for c in range(k)]), 1e-6)
-        # With posteriors and item parameters fixed, a few steps on the sources.
-        for _ in range(2):
-            sums = _source_sums(state, sigma if small else sources, small, k)
-            if small:
-                got = sums.collect()
-                for r in got:
-                    g, c, _ = np.array(r["sums"]).reshape(3, k, k)
-                    sigma[r["src"]] += 0.8 * (g - alpha * sigma[r["src"]]) / (c + alpha)
-            else:
-                step = F.transform(
-                    F.sequence(F.lit(0), F.lit(k * k - 1)),
-                    lambda i: F.get("sigma", i) + 0.8 * (F.get("sums", i) - alpha * F.get("sigma", i)) / (F.get("sums", i + k * k) + alpha),
-                )
-                sources = cut(sources.join(sums, "src").select("src", step.alias("sigma")))
+        # With posteriors and item parameters fixed, a step on the sources; the shares of the classes come along.
+        sums = _source_sums(state, sigma if small else sources, small, k)
+        if small:
+            got = {r["src"]: np.array(r["sums"]).reshape(3, k, k) for r in sums.collect()}
+            shares = got.pop(-1)[0, 0] if -1 in got else None
+            for src, (g, c, _) in got.items():
+                sigma[src] += 0.8 * (g - alpha * sigma[src]) / (c + alpha)
+        else:
+            sums = cut(sums)
+            whole = sums.filter("src = -1").first()
+            shares = np.array(whole["sums"][:k]) if whole else None
+            step = F.transform(
+                F.sequence(F.lit(0), F.lit(k * k - 1)),
+                lambda i: F.get("sigma", i) + 0.8 * (F.get("sums", i) - alpha * F.get("sigma", i)) / (F.get("sums", i + k * k) + alpha),
+            )
+            sources = cut(sources.join(sums, "src").select("src", step.alias("sigma")))
+        if shares is not None and shares.sum() > 0:
+            prior = np.maximum(shares / shares.sum(), 1e-6)
     stats = _source_sums(state, sigma if small else sources, small, k)
     place = F.array_position("q", F.array_max("q")).cast("int")
     n = F.size("ratings")
-    counts = [F.size(F.filter("ratings", lambda r, c=c: r["lab"] == c)) for c in range(k)]
+
+    def given_label(c: int) -> Column:
+        return F.size(F.filter("ratings", lambda r: r["lab"] == c))
+
+    counts = [given_label(c) for c in range(k)]
     same = sum((c * (c - 1) for c in counts[1:]), counts[0] * (counts[0] - 1))
     out = state.select(
         "item.*",
@@ -227,7 +235,7 @@ def _with_sigma(kind: T.StructType) -> T.StructType:
 
 
 def _source_sums(state: DataFrame, sigma, small: bool, k: int) -> DataFrame:
-    """Per source the gradient, the curvature and the expected counts of (class, label), added up over its items."""
+    """Per source the gradient, the curvature and the expected counts of (class, label), added up over its items; at -1 the class counts."""
     if small:
         shared, rows = state.sparkSession.sparkContext.broadcast(sigma), state
     else:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkfall.llm import consensus, encoding, language, leakage, lookalikes, sentences, splitting, survivorship
+from inkfall.llm import consensus, encoding, language, leakage, lookalikes, scan_repair, sentences, splitting, survivorship
 from inkfall.sources.tables import table
 
 
@@ -47,6 +47,12 @@ def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     return sentences.split_sentences(reports, "report_id", "full_pdf_text").drop("sentence_index").distinct()
 
 
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "page_texts").select("page_id", "paper_id", "page_index", "source", F.col("page_text").alias("text"))
+    repair = scan_repair.examine(pages.filter("source = 'paddleocr'"), pages.filter("source <> 'paddleocr'"))
+    return scan_repair.found(repair)
+
+
 def p6_survivors(spark: SparkSession, folder: str) -> DataFrame:
     records = table(spark, folder, "field_records").select(
         "record_id", "paper_id", "source_pdf", "field_index", *_SURVIVING, "confidence", "updated_at"
@@ -96,6 +102,7 @@ QUERIES = {
     "p3_found": p3_found,
     "p3_reliability": p3_reliability,
     "p4_found": p4_found,
+    "p5_found": p5_found,
     "p6_found": p6_found,
     "p7_ids": p7_ids,
     "p7_decoded": p7_decoded,
