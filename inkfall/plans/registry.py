@@ -5,13 +5,302 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from inkfall.functions import text as T
+from inkfall.operators import branches, coverage, evidence, fields, pages, runs, search
+from inkfall.plans.oracles import ORACLE_SQL
+from inkfall.sources.tables import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
+_ALL: dict[str, QueryFn] = {}
+
+
+def query(fn: QueryFn) -> QueryFn:
+    _ALL[fn.__name__] = fn
+    return fn
+
+
+def _items(spark: SparkSession, folder: str) -> DataFrame:
+    return evidence.unique_items(table(spark, folder, "evidence_items"))
+
+
+def _records(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "field_records").dropDuplicates(["record_id"])
+
+
+def _metrics(spark: SparkSession, folder: str) -> DataFrame:
+    blocks = _items(spark, folder).select("paper_id", F.col("item_text").alias("text"), (F.col("coords").isNotNull() | F.col("page").isNotNull()).alias("located"))
+    return coverage.coverage_metrics(table(spark, folder, "coverage_reports"), blocks)
+
+
+@query
+def coverage_metrics(spark, folder):
+    return _metrics(spark, folder).withColumn("computed_value", F.round("computed_value", 9))
+
+
+@query
+def branch_status(spark, folder):
+    return coverage.borderline(_metrics(spark, folder))
+
+
+@query
+def adjudicated(spark, folder):
+    return branches.adjudicated(table(spark, folder, "coverage_reports"))
+
+
+@query
+def pairwise_agreement(spark, folder):
+    return branches.pairwise_agreement(table(spark, folder, "coverage_reports"))
+
+
+@query
+def branch_scores(spark, folder):
+    return branches.branch_scores(table(spark, folder, "coverage_reports"), table(spark, folder, "papers"))
+
+
+def _sentences(spark: SparkSession, folder: str, source: str) -> DataFrame:
+    """The sentences of a branch: cut from its text by stops."""
+    rows = table(spark, folder, "coverage_reports").filter((F.col("source") == source) & F.col("full_pdf_text").isNotNull())
+    return rows.select("paper_id", F.posexplode(T.sentences(F.col("full_pdf_text"))).alias("ord", "s")).select("paper_id", "ord", T.collapse(F.col("s")).alias("sentence"))
+
+
+@query
+def exact_agreement(spark, folder):
+    return branches.exact_agreement(_sentences(spark, folder, "grobid"), _sentences(spark, folder, "pdfplumber"))
+
+
+@query
+def zipped_sentences(spark, folder):
+    return branches.zipped(_sentences(spark, folder, "grobid"), _sentences(spark, folder, "pdfplumber"))
+
+
+@query
+def page_routing(spark, folder):
+    rows = pages.route_pages(pages.classify_pages(table(spark, folder, "page_texts")))
+    return rows.select("page_id", "is_native", F.array_join("triggered_stages", ",").alias("stages"), "selected_extractor", "reason")
+
+
+@query
+def page_summary(spark, folder):
+    return pages.page_summary(table(spark, folder, "page_texts"))
+
+
+@query
+def preceding_section(spark, folder):
+    heads = _items(spark, folder).filter("section_path is not null and page is not null").select("paper_id", "page", F.col("item_id").alias("ord"), "section_path")
+    points = table(spark, folder, "annotations").filter("page_index is not null and paper_id is not null").select("paper_id", (F.col("page_index") + 1).alias("page"))
+    return pages.preceding_section(points, heads)
+
+
+@query
+def noise_sentences(spark, folder):
+    return _items(spark, folder).filter(T.is_noise(F.col("item_text"))).select("paper_id", "item_id")
+
+
+@query
+def numbered_items(spark, folder):
+    return evidence.numbered(_items(spark, folder)).select("paper_id", "item_id", "new_id")
+
+
+@query
+def carried_sections(spark, folder):
+    return evidence.carried_sections(_items(spark, folder)).select("paper_id", "item_id", "section")
+
+
+@query
+def section_scores(spark, folder):
+    return evidence.scored(_items(spark, folder)).select("paper_id", "item_id", "rank_score")
+
+
+@query
+def evidence_within_budget(spark, folder):
+    return evidence.within_budget(evidence.scored(_items(spark, folder))).select("paper_id", "item_id")
+
+
+@query
+def kept_prefix(spark, folder):
+    held = _records(spark, folder).filter("lower(trim(confidence)) in ('h', 'high')").select("paper_id", F.explode("loc").alias("item_id"))
+    return evidence.kept_prefix(_items(spark, folder), held, 10_000).select("paper_id", "item_id", "running")
+
+
+@query
+def provenance(spark, folder):
+    return evidence.provenance(_records(spark, folder).filter("paper_id is not null"), _items(spark, folder))
+
+
+@query
+def unresolved_locations(spark, folder):
+    loc = _records(spark, folder).filter("paper_id is not null").select("record_id", "paper_id", F.explode("loc").alias("item_id")).distinct()
+    return loc.join(_items(spark, folder).select("paper_id", "item_id"), ["paper_id", "item_id"], "left_anti")
+
+
+@query
+def annotation_sentences(spark, folder):
+    reports = table(spark, folder, "coverage_reports").filter("source = 'grobid'")
+    ranges = reports.select("paper_id", F.posexplode("sentence_to_char_range").alias("range_index", "r")).select("paper_id", "range_index", F.col("r.char_start").alias("start"), F.col("r.char_end").alias("end"))
+    points = table(spark, folder, "annotations").dropDuplicates(["ann_id"]).select(F.col("ann_id").alias("id"), "paper_id", F.col("char_start").alias("at"))
+    return evidence.containing_range(points, ranges)
+
+
+@query
+def sentence_offsets(spark, folder):
+    rows = table(spark, folder, "coverage_reports").select("report_id", F.coalesce("full_pdf_text", F.lit("")).alias("t"), F.posexplode("sentence_records").alias("ord", "s"))
+    at = F.call_function("instr", F.col("t"), F.col("s.sentence")) - 1
+    return rows.select("report_id", "ord", at.alias("char_start"), F.when(at >= 0, at + F.length("s.sentence")).otherwise(-1).alias("char_end"))
+
+
+@query
+def quote_context(spark, folder):
+    notes = table(spark, folder, "annotations").dropDuplicates(["ann_id"]).select("ann_id", "paper_id", "sentence_text")
+    texts = table(spark, folder, "coverage_reports").filter("source = 'grobid' and full_pdf_text is not null").select("paper_id", "full_pdf_text")
+    both = notes.join(texts, "paper_id").filter("sentence_text <> ''").withColumn("at", F.call_function("instr", F.col("full_pdf_text"), F.col("sentence_text"))).filter("at > 0")
+    prefix = F.substring(F.col("full_pdf_text"), F.greatest(F.col("at") - 20, F.lit(1)), F.least(F.col("at") - 1, F.lit(20)))
+    return both.select("ann_id", prefix.alias("prefix"), F.substring(F.col("full_pdf_text"), F.col("at") + F.length("sentence_text"), F.lit(20)).alias("suffix"))
+
+
+@query
+def merged_fields(spark, folder):
+    return fields.merged(_records(spark, folder))
+
+
+@query
+def every_field(spark, folder):
+    return fields.every_field(fields.merged(_records(spark, folder)), table(spark, folder, "extraction_map"))
+
+
+@query
+def ranked_candidates(spark, folder):
+    return fields.ranked_candidates(_records(spark, folder))
+
+
+@query
+def flagged_fields(spark, folder):
+    c = F.lower(F.trim("confidence"))
+    return _records(spark, folder).filter(c.isin("l", "nr")).select("record_id", "paper_id", "field_index", c.alias("confidence")).orderBy("field_index", "paper_id", "record_id")
+
+
+@query
+def not_reported(spark, folder):
+    return fields.not_reported(_records(spark, folder))
+
+
+def field_names(spark: SparkSession, folder: str) -> list[str]:
+    """The field map's names in order; the map is a configuration table of one row per field."""
+    return [r[0] for r in table(spark, folder, "extraction_map").orderBy("field_index").select("field_name").collect()]
+
+
+@query
+def wide_export(spark, folder):
+    kept = field_names(spark, folder)
+    out = fields.wide(_records(spark, folder), kept)
+    return out.select("paper_id", F.concat_ws("|", *[F.col(f"`{n}`") for n in kept]).alias("row_text"))
+
+
+@query
+def record_problems(spark, folder):
+    return fields.problems(_records(spark, folder))
+
+
+def _usage(spark: SparkSession, folder: str) -> DataFrame:
+    e = table(spark, folder, "events")
+    tokens = F.floor(F.abs("value") * 10).cast("bigint")
+    return e.select(F.col("event_id").alias("seq"), F.col("event_type").alias("stage"), tokens.alias("input_tokens"), F.floor(tokens / 2).alias("cached_tokens"), F.floor(tokens / 3).alias("output_tokens"), (F.col("user_id") % 3).alias("version"), (F.col("user_id") % 7).alias("prefix"))
+
+
+@query
+def stage_summaries(spark, folder):
+    return runs.stage_summaries(_usage(spark, folder)).withColumn("cache_rate", F.round("cache_rate", 9))
+
+
+@query
+def low_cache(spark, folder):
+    return runs.low_cache(runs.stage_summaries(_usage(spark, folder))).select("stage", "requests")
+
+
+@query
+def prefix_drift(spark, folder):
+    return runs.drifting(_usage(spark, folder))
+
+
+@query
+def usage_totals(spark, folder):
+    return runs.totals(_usage(spark, folder)).withColumn("cache_rate", F.round("cache_rate", 9)).withColumn("output_ratio", F.round("output_ratio", 9))
+
+
+@query
+def expensive_requests(spark, folder):
+    u = _usage(spark, folder)
+    return u.select("seq", (F.col("input_tokens") + F.col("output_tokens")).alias("total")).orderBy(F.desc("total"), "seq").limit(5)
+
+
+@query
+def pending_papers(spark, folder):
+    p = table(spark, folder, "papers")
+    done = p.filter("n_pages > 2")
+    return runs.pending(p, done)
+
+
+@query
+def chunk_ranges(spark, folder):
+    return runs.chunk_ranges(table(spark, folder, "extraction_map"))
+
+
+@query
+def budget_checks(spark, folder):
+    return runs.budget_checks(_items(spark, folder), table(spark, folder, "stage_budgets"))
+
+
+@query
+def web_annotations(spark, folder):
+    return runs.web_annotations(table(spark, folder, "annotations").dropDuplicates(["ann_id"]))
+
+
+@query
+def lexical_checks(spark, folder):
+    return search.lexical_checks(table(spark, folder, "presence_checks"), table(spark, folder, "coverage_reports"))
+
+
+@query
+def nearest_vectors(spark, folder):
+    v = table(spark, folder, "embeddings")
+    return search.nearest(v, v.filter("vec_id % 100 = 0")).withColumn("score", F.round("score", 6))
+
+
+@query
+def text_functions(spark, folder):
+    x = F.col("item_text")
+    return _items(spark, folder).select(
+        "paper_id", "item_id", T.collapse(x).alias("collapsed"), T.estimated_tokens(x).alias("tokens"), F.size(T.words(x)).alias("n_words"), T.weird_chars(x).alias("n_weird"), T.snippet(T.collapse(x)).alias("snippet"),
+        F.size(F.regexp_extract_all(x, F.lit(T.QUANTITY), F.lit(0))).alias("n_quantities"), F.array_join(F.slice(F.regexp_extract_all(x, F.lit(T.ENTITY), F.lit(0)), 1, 10), "|").alias("entities"), F.size(T.sentences(x)).alias("n_sentences"),
+    )
+
+
+@query
+def file_years(spark, folder):
+    return table(spark, folder, "papers").select("paper_id", T.first_year(F.col("source_pdf")).alias("year"))
+
+
+@query
+def payload_labels(spark, folder):
+    c = table(spark, folder, "candidates").dropDuplicates(["candidate_id"])
+    return c.select("candidate_id", F.try_variant_get(F.try_parse_json(T.json_text(F.coalesce("payload", F.lit("")))), "$.label", "string").alias("label"))
+
+
+@query
+def nfkc_texts(spark, folder):
+    return table(spark, folder, "presence_checks").dropDuplicates(["check_id"]).select("check_id", T.nfkc(F.col("needle")).alias("plain"))
+
+
+@query
+def quote_similarity(spark, folder):
+    n = table(spark, folder, "annotations").dropDuplicates(["ann_id"]).filter("quote_selector.exact <> sentence_text")
+    return n.select("ann_id", F.round(T.similarity(F.col("quote_selector.exact"), F.col("sentence_text")), 9).alias("ratio"))
 
 
 def queries() -> dict[str, QueryFn]:
-    return {}
+    return dict(_ALL)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLE_SQL)
