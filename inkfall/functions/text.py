@@ -77,7 +77,7 @@ def estimated_tokens(x: Column) -> Column:
 
 def sentences(x: Column) -> Column:
     """Cut behind . ! ? and blanks; nothing empty."""
-    return F.filter(F.transform(F.split(x, r"(?<=[.!?])\s+"), F.trim), lambda s: s != "")
+    return F.filter(F.transform(F.split(x, r"(?U)(?<=[.!?])\s+"), collapse), lambda s: s != "")
 
 
 def first_year(x: Column) -> Column:

@@ -73,7 +73,7 @@ _METRICS = f"""
 
 
 def _sentences(source: str) -> str:
-    cut = "list_filter([trim(y) for y in string_split(regexp_replace(full_pdf_text, '([.!?])\\s+', '\\1' || chr(1), 'g'), chr(1))], lambda w: w <> '')"
+    cut = "list_filter([" + _collapse("y") + " for y in string_split(regexp_replace(full_pdf_text, '([.!?])" + _S + "+', '\\1' || chr(1), 'g'), chr(1))], lambda w: w <> '')"
     return f"""(select paper_id, ord, {_collapse("s")} as sentence from (select paper_id, unnest(l) as s, generate_subscripts(l, 1) as ord from (select paper_id, {cut} as l from coverage_reports where source = '{source}' and full_pdf_text is not null)))"""
 
 
