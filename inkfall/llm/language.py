@@ -125,8 +125,21 @@ def ngrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
     return unit[new], key[new], np.diff(np.r_[new, len(key)]), letters
 
 
+def _slices(batch: pa.RecordBatch, letters: int = 200_000) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with about ``letters`` characters each, so that a task's arrays stay small."""
+    sizes = [len(t) if t else 0 for t in batch.column("text").to_pylist()]
+    at = total = 0
+    for i, n in enumerate(sizes):
+        total += n
+        if total >= letters:
+            yield batch.slice(at, i + 1 - at)
+            at, total = i + 1, 0
+    if at < batch.num_rows:
+        yield batch.slice(at)
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in (part for big in batches for part in _slices(big)):
         langs = np.array(batch.column("lang").to_pylist(), dtype=object)
         texts = batch.column("text").to_pylist()
         for lang in sorted(set(langs.tolist())):
@@ -193,9 +206,9 @@ def distances(table, unit: np.ndarray, key: np.ndarray, n: np.ndarray, units: in
     unit, key, rank = unit[kept], key[kept], rank[kept]
     at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
     at = np.where(keys[at] == key, at, len(keys))
-    off = np.minimum(np.abs(ranks[at] - rank[:, None]), PROFILE) / PROFILE
+    off = np.minimum(np.abs(ranks[at] - rank[:, None].astype(np.int32)), PROFILE) / np.float32(PROFILE)
     off[at == len(keys)] = 1.0
-    off = np.where(ranks[at] == PROFILE, 1.0, off)
+    off[ranks[at] == PROFILE] = 1.0
     first = np.flatnonzero(np.r_[True, unit[1:] != unit[:-1]])
     out[unit[first]] = np.add.reduceat(off, first, axis=0)
     size[unit[first]] = np.diff(np.r_[first, len(unit)])
@@ -204,7 +217,7 @@ def distances(table, unit: np.ndarray, key: np.ndarray, n: np.ndarray, units: in
 
 def _agreeing(table):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for big in batches for part in _slices(big)):
             texts = batch.column("text").to_pylist()
             unit, key, n, _ = ngrams(texts)
             dist, _ = distances(table, unit, key, n, len(texts))
@@ -229,13 +242,12 @@ def smooth(cost: np.ndarray, change: float = SWITCH) -> np.ndarray:
     return np.array(path[::-1])
 
 
-def _segments(table, change: float, batch_docs: int = 1000):
+def _segments(table, change: float):
     langs = table[0]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for big in batches:
-            for at in range(0, big.num_rows, batch_docs):
-                yield part(big.slice(at, batch_docs))
+            yield from map(part, _slices(big))
 
     def part(batch: pa.RecordBatch) -> pa.RecordBatch:
         keys, texts = batch.column("key"), batch.column("text").to_pylist()
