@@ -52,9 +52,11 @@ def with_paper(records: DataFrame, papers: DataFrame) -> DataFrame:
     """
     known = papers.select(file_key(F.col("source_pdf")).alias("_key"), F.col("paper_id").alias("_paper")).filter("_key is not null")
     known = known.groupBy("_key").agg(F.min("_paper").alias("_paper"))
-    keyed = records.withColumn("_key", F.when(F.col("paper_id").isNull(), file_key(F.col("source_pdf"))))
-    found = keyed.join(known, "_key", "left")
-    return found.withColumn("paper_id", F.coalesce("paper_id", "_paper")).select(*records.columns)
+    # Rows that have their id take no part in the join: their null keys would all meet in one task.
+    lacking = records.filter("paper_id is null").withColumn("_key", file_key(F.col("source_pdf")))
+    keyed = lacking.filter("_key is not null").join(known, "_key", "left").withColumn("paper_id", F.col("_paper"))
+    whole = records.filter("paper_id is not null").unionByName(keyed.select(*records.columns))
+    return whole.unionByName(lacking.filter("_key is null").select(*records.columns))
 
 
 def surviving(
