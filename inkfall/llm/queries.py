@@ -47,10 +47,17 @@ def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     return sentences.split_sentences(reports, "report_id", "full_pdf_text").drop("sentence_index").distinct()
 
 
-def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+def _repair(spark: SparkSession, folder: str) -> scan_repair.Repair:
     pages = table(spark, folder, "page_texts").select("page_id", "paper_id", "page_index", "source", F.col("page_text").alias("text"))
-    repair = scan_repair.examine(pages.filter("source = 'paddleocr'"), pages.filter("source <> 'paddleocr'"))
-    return scan_repair.found(repair)
+    return scan_repair.examine(pages.filter("source = 'paddleocr'"), pages.filter("source <> 'paddleocr'"))
+
+
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    return scan_repair.found(_repair(spark, folder))
+
+
+def p5_pages(spark: SparkSession, folder: str) -> DataFrame:
+    return scan_repair.reflowed(_repair(spark, folder))
 
 
 def p6_survivors(spark: SparkSession, folder: str) -> DataFrame:
@@ -103,6 +110,7 @@ QUERIES = {
     "p3_reliability": p3_reliability,
     "p4_found": p4_found,
     "p5_found": p5_found,
+    "p5_pages": p5_pages,
     "p6_found": p6_found,
     "p7_ids": p7_ids,
     "p7_decoded": p7_decoded,

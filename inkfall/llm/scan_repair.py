@@ -187,21 +187,23 @@ def _first_word(line: str) -> str:
 
 def _heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        first = []
+        first, open_ = [], []
         for text, dropped in zip(batch.column("text").to_pylist(), batch.column("dropped").to_pylist(), strict=True):
             body = _body(text, set(dropped or ()))
             first.append(_first_word(body[0][1]) if body else None)
-        yield pa.RecordBatch.from_arrays([batch.column("paper_id"), batch.column("page_index"), pa.array(first, pa.string())], ["paper_id", "page_index", "head"])
+            open_.append(bool(body and _ends_broken(body[-1][1])))
+        columns = [batch.column("paper_id"), batch.column("page_index"), pa.array(first, pa.string()), pa.array(open_, pa.bool_())]
+        yield pa.RecordBatch.from_arrays(columns, ["paper_id", "page_index", "head", "open"])
 
 
 _WORDS = "page_id bigint, line_no int, pos int, word string, before string, after string, head string, tail string, cut_at int"
 
 
-def _page_words(text: str, dropped: set[int], overleaf: str | None) -> list[tuple]:
+def _page_words(text: str, dropped: set[int], overleaf: str | None, taken: bool) -> list[tuple]:
     """Line, place, word, and for a word broken at the line's end its two parts; words in reading order."""
     body = _body(text, dropped)
     out: list[list] = []
-    skip_first = False
+    skip_first = taken
     for k, (n, line) in enumerate(body):
         tokens = line.split()
         broken = _ends_broken(line)
@@ -236,11 +238,11 @@ def _plain(word: str | None) -> str:
 def _all_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows: list[tuple] = []
-        cols = (batch.column(c).to_pylist() for c in ("page_id", "text", "dropped", "overleaf"))
-        for pid, text, dropped, overleaf in zip(*cols, strict=True):
-            words = _page_words(text, set(dropped or ()), overleaf)
+        cols = (batch.column(c).to_pylist() for c in ("page_id", "text", "dropped", "overleaf", "taken"))
+        for pid, text, dropped, overleaf, taken in zip(*cols, strict=True):
+            words = _page_words(text, set(dropped or ()), overleaf, taken)
             names = [w if w is not None else h + t for _, _, w, h, t in words]
-            for k, (n, pos, w, h, t) in enumerate(words):
+            for k, (n, pos, w, h, t) in enumerate(words):  # a page's first word that another page's last goes on with is counted there
                 before = _plain(names[k - 1]) if k else ""
                 after = _plain(names[k + 1]) if k + 1 < len(names) else ""
                 rows.append((pid, n, pos, w, before, after, h, t, len(h) if h is not None else None))
@@ -418,13 +420,18 @@ def examine(pages: DataFrame, clean: DataFrame) -> Repair:
     dropped = cut(furniture(pages))
     lists = dropped.groupBy("page_id").agg(F.collect_list("line_no").alias("dropped"))
     with_lists = pages.join(lists, "page_id", "left")
-    heads = cut(spread(with_lists.select("paper_id", "page_index", "text", "dropped")).mapInArrow(_heads, "paper_id string, page_index int, head string").filter("head is not null"))
-    heads = heads.groupBy("paper_id", "page_index").agg(F.min("head").alias("head"))
+    heads = cut(spread(with_lists.select("paper_id", "page_index", "text", "dropped")).mapInArrow(_heads, "paper_id string, page_index int, head string, open boolean").filter("head is not null"))
+    heads = heads.groupBy("paper_id", "page_index").agg(F.min("head").alias("head"), F.max("open").alias("open"))
     ready = with_lists
     for ahead in (1, 2, 3):
         h = heads.select("paper_id", (F.col("page_index") - ahead).alias("page_index"), F.col("head").alias(f"h{ahead}"))
-        ready = ready.join(h, ["paper_id", "page_index"], "left")
-    ready = ready.select("page_id", "text", "dropped", F.coalesce("h1", "h2", "h3").alias("overleaf"))
+        b = heads.select("paper_id", (F.col("page_index") + ahead).alias("page_index"), F.col("open").alias(f"o{ahead}"))
+        ready = ready.join(h, ["paper_id", "page_index"], "left").join(b, ["paper_id", "page_index"], "left")
+    own = heads.select("paper_id", "page_index", "head")
+    ready = ready.join(own, ["paper_id", "page_index"], "left")
+    suspended = F.lower(F.regexp_replace("head", r"[^\p{L}/]", "")).isin(*_SUSPENDED)
+    goes_on = F.coalesce(F.coalesce("o1", "o2", "o3") & F.col("head").rlike(r"^[\p{L}\p{N}!¢|]") & ~suspended, F.lit(False))
+    ready = ready.select("page_id", "text", "dropped", F.coalesce("h1", "h2", "h3").alias("overleaf"), goes_on.alias("taken"))
     words = cut(ready.mapInArrow(_all_words, _WORDS))
 
     # Vocabulary: surface forms of clean pages and of whole words on scanned ones.
@@ -514,3 +521,51 @@ def found(repair: Repair) -> DataFrame:
     b = repair.breaks.select("page_id", "line_no", F.lit("break").alias("kind"), "word")
     m = repair.misread.select("page_id", "line_no", F.lit("misread").alias("kind"), "word")
     return f.unionByName(b).unionByName(m).distinct()
+
+
+def _rebuilt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pages without furniture, with whole words and right readings, in paragraphs."""
+    for batch in batches:
+        out = []
+        cols = (batch.column(c).to_pylist() for c in ("text", "dropped", "overleaf", "taken", "fixes", "wholes"))
+        for text, dropped, overleaf, taken, fixes, wholes in zip(*cols, strict=True):
+            gone = set(dropped or ())
+            fix = {(f["line_no"], f["pos"]): (f["raw"], f["word"]) for f in fixes or ()}
+            whole = {w["line_no"]: w["word"] for w in wholes or ()}
+            body = _body(text, gone)
+            follow = {n: _first_word(body[k + 1][1]) if k + 1 < len(body) else (overleaf or "") for k, (n, _) in enumerate(body)}
+            paragraphs: list[list[str]] = [[]]
+            skip, before = taken, 0
+            for n, line in body:
+                indent = len(line) - len(line.lstrip()) >= 2
+                blank = any(not x.strip() for x in text.split("\n")[before : n - 1])
+                if (indent or blank) and paragraphs[-1] and not skip:
+                    paragraphs.append([])
+                tokens = line.split()
+                for pos, t in enumerate(tokens):
+                    if pos == 0 and skip:
+                        continue
+                    if pos == len(tokens) - 1 and n in whole:
+                        part, tail = _strip(t), _strip(follow[n])
+                        lead = t[: t.find(part)] if part else ""
+                        rest = follow[n][follow[n].find(tail) + len(tail) :] if tail else ""
+                        t = lead + whole[n] + rest
+                    elif (n, pos) in fix:
+                        t = t.replace(*fix[n, pos], 1)
+                    paragraphs[-1].append(t)
+                skip, before = n in whole, n
+            out.append("\n\n".join(" ".join(p) for p in paragraphs if p))
+        yield pa.RecordBatch.from_arrays([batch.column("page_id"), pa.array(out, pa.string())], ["page_id", "text"])
+
+
+def reflowed(repair: Repair) -> DataFrame:
+    """``page_id`` and ``text``: every page as continuous paragraphs.
+
+    Furniture is gone, right readings stand for misread words, and a word broken at a line's or a page's end stands
+    whole where it began. A paragraph begins after an empty line or with an indented one. Each page's corrections, no more than
+    its words, meet its text in one join; a page of which nothing is left gives an empty text.
+    """
+    fixes = repair.misread.filter("head is null").groupBy("page_id").agg(F.collect_list(F.struct("line_no", "pos", "raw", "word")).alias("fixes"))
+    wholes = repair.breaks.groupBy("page_id").agg(F.collect_list(F.struct("line_no", "word")).alias("wholes"))
+    pages = repair.pages.join(fixes, "page_id", "left").join(wholes, "page_id", "left")
+    return pages.mapInArrow(_rebuilt, "page_id bigint, text string")

@@ -129,9 +129,13 @@ def test_scanned_pages(spark):
     two = "ACTA TEST, Vol. 1\nfore treatment, pre- and before the two groups\n\n13"
     three = "ACTA TEST, Vol. 1\nthe two groups were repeated by technicians\n14"
     pages = spark.createDataFrame([(1, "P", 0, one), (2, "P", 1, two), (3, "P", 2, three), (4, "Q", 0, None), (5, "Q", 1, ""), (1, "P", 0, one)], "page_id bigint, paper_id string, page_index int, text string")
-    got = {tuple(r) for r in scan_repair.found(scan_repair.examine(pages, clean)).collect()}
+    repair = scan_repair.examine(pages, clean)
+    got = {tuple(r) for r in scan_repair.found(repair).collect()}
     assert got == {
         (1, 1, "furniture", ""), (1, 5, "furniture", ""), (2, 1, "furniture", ""), (2, 4, "furniture", ""), (3, 1, "furniture", ""), (3, 3, "furniture", ""),
         (1, 2, "misread", "measurements"), (1, 2, "break", "technicians"), (1, 3, "misread", "between"), (1, 3, "break", "long-term"), (1, 4, "break", "before"),
     }
+    flow = {r.page_id: r.text for r in scan_repair.reflowed(repair).collect()}
+    assert flow[1] == "measurements were repeated by technicians between the two groups before long-term measurements were repeated before"
+    assert flow[2] == "treatment, pre- and before the two groups" and flow[5] == ""
     assert scan_repair.found(scan_repair.examine(pages.limit(0), clean)).count() == 0
