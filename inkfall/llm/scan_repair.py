@@ -536,10 +536,12 @@ def _rebuilt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             follow = {n: _first_word(body[k + 1][1]) if k + 1 < len(body) else (overleaf or "") for k, (n, _) in enumerate(body)}
             paragraphs: list[list[str]] = [[]]
             skip, before = taken, 0
-            for n, line in body:
+            width = max((len(x) for _, x in body), default=0)
+            for k, (n, line) in enumerate(body):
+                heading = len(line) < 0.6 * width and len(line.split()) <= 5 and line.strip()[:1].isupper() and line[-1].isalnum() and k + 1 < len(body) and body[k + 1][1].lstrip()[:1].isupper()
                 indent = len(line) - len(line.lstrip()) >= 2
                 blank = any(not x.strip() for x in text.split("\n")[before : n - 1])
-                if (indent or blank) and paragraphs[-1] and not skip:
+                if (indent or blank or heading) and paragraphs[-1] and not skip:
                     paragraphs.append([])
                 tokens = line.split()
                 for pos, t in enumerate(tokens):
@@ -553,6 +555,8 @@ def _rebuilt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     elif (n, pos) in fix:
                         t = t.replace(*fix[n, pos], 1)
                     paragraphs[-1].append(t)
+                if heading:
+                    paragraphs.append([])
                 skip, before = n in whole, n
             out.append("\n\n".join(" ".join(p) for p in paragraphs if p))
         yield pa.RecordBatch.from_arrays([batch.column("page_id"), pa.array(out, pa.string())], ["page_id", "text"])
