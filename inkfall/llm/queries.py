@@ -47,9 +47,13 @@ def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     return sentences.split_sentences(reports, "report_id", "full_pdf_text").drop("sentence_index").distinct()
 
 
-def _repair(spark: SparkSession, folder: str) -> scan_repair.Repair:
+def _pages(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     pages = table(spark, folder, "page_texts").select("page_id", "paper_id", "page_index", "source", F.col("page_text").alias("text"))
-    return scan_repair.examine(pages.filter("source = 'paddleocr'"), pages.filter("source <> 'paddleocr'"))
+    return pages.filter("source = 'paddleocr'"), pages.filter("source <> 'paddleocr'")
+
+
+def _repair(spark: SparkSession, folder: str) -> scan_repair.Repair:
+    return scan_repair.examine(*_pages(spark, folder))
 
 
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -60,6 +64,13 @@ def p5_pages(spark: SparkSession, folder: str) -> DataFrame:
     return scan_repair.reflowed(_repair(spark, folder))
 
 
+def p5_texts(spark: SparkSession, folder: str) -> DataFrame:
+    reports = table(spark, folder, "coverage_reports").filter("source = 'paddleocr'")
+    reports = reports.select("report_id", "paper_id", F.col("full_pdf_text").alias("text"), F.col("page_texts").alias("own"))
+    notes = table(spark, folder, "annotations").filter("ocr_derived").select("ann_id", "paper_id", "page_index", F.col("sentence_text").alias("text"))
+    return scan_repair.repaired_texts(reports, notes, *_pages(spark, folder))
+
+
 def p6_survivors(spark: SparkSession, folder: str) -> DataFrame:
     records = table(spark, folder, "field_records").select(
         "record_id", "paper_id", "source_pdf", "field_index", *_SURVIVING, "confidence", "updated_at"
@@ -111,6 +122,7 @@ QUERIES = {
     "p4_found": p4_found,
     "p5_found": p5_found,
     "p5_pages": p5_pages,
+    "p5_texts": p5_texts,
     "p6_found": p6_found,
     "p7_ids": p7_ids,
     "p7_decoded": p7_decoded,

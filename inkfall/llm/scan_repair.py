@@ -389,11 +389,18 @@ def candidates(asked: DataFrame, vocabulary: DataFrame, blocks: int | None = Non
     return a.groupBy("shard", "block").cogroup(v.groupBy("shard", "block")).applyInPandas(_retrieve, "w string, meant string, errors int")
 
 
+class Known:
+    """What the pages tell of words: the ``vocabulary``, the counts of ``neighbours``, and the words ``asked`` with their readings (``pairs``)."""
+
+    def __init__(self, vocabulary: DataFrame, neighbours: DataFrame | None = None, asked: DataFrame | None = None, pairs: DataFrame | None = None):
+        self.vocabulary, self.neighbours, self.asked, self.pairs = vocabulary, neighbours, asked, pairs
+
+
 class Repair:
     """What was found on scanned pages: ``dropped`` (page_id, line_no), ``breaks`` and ``misread`` (page_id, line_no, word ...)."""
 
-    def __init__(self, dropped: DataFrame, breaks: DataFrame, misread: DataFrame, pages: DataFrame):
-        self.dropped, self.breaks, self.misread, self.pages = dropped, breaks, misread, pages
+    def __init__(self, dropped: DataFrame, breaks: DataFrame, misread: DataFrame, pages: DataFrame, known: Known):
+        self.dropped, self.breaks, self.misread, self.pages, self.known = dropped, breaks, misread, pages, known
 
 
 def _cased(word: Column, meant: Column, surface: Column) -> Column:
@@ -449,7 +456,19 @@ def examine(pages: DataFrame, clean: DataFrame) -> Repair:
         )
     )
 
-    # Broken words: the commoner of the two forms.
+    known = Known(vocabulary)
+    broken = _whole(words, known)
+    every = _every(words, broken)
+    known.neighbours = counted.filter(is_pair).select("w", "n").unionByName(
+        every.filter("after <> ''").groupBy(F.concat(F.lower("word"), F.lit("\t"), F.col("after")).alias("w")).agg(F.count("*").alias("n"))
+    ).groupBy("w").agg(F.sum("n").alias("n"))
+    readings = _readings(every, known)
+    return Repair(dropped, _breaks(broken, readings), readings, ready, known)
+
+
+def _whole(words: DataFrame, known: Known) -> DataFrame:
+    """Broken words: the commoner of the two forms."""
+    vocabulary = known.vocabulary
     parts = words.filter("head is not null")
     plain, own = F.concat("head", "tail"), F.concat("head", F.lit("-"), "tail")
     forms = parts.select("page_id", "line_no", "pos", "head", "tail", "before", "after", F.lower(plain).alias("joined"), F.lower(own).alias("kept"))
@@ -459,23 +478,32 @@ def examine(pages: DataFrame, clean: DataFrame) -> Repair:
     hyphened = (F.coalesce("n_kept", F.lit(0)) > F.coalesce("n_joined", F.lit(0))) | (
         (F.coalesce("n_joined", F.lit(0)) == 0) & (F.coalesce("n_kept", F.lit(0)) == 0) & (F.col("head").rlike(r"[\p{Lu}\d]$") | F.col("tail").rlike(r"^[\p{Lu}\d]") | F.col("head").contains("-"))
     )
-    broken = cut(forms.select("page_id", "line_no", "pos", "head", "tail", "before", "after", F.when(hyphened, own).otherwise(plain).alias("word")))
+    return cut(forms.select("page_id", "line_no", "pos", "head", "tail", "before", "after", F.when(hyphened, own).otherwise(plain).alias("word")))
 
-    # Misreadings: candidates for every distinct word of the scanned pages.
+
+def _every(words: DataFrame, broken: DataFrame) -> DataFrame:
     every = words.filter("word is not null").select("page_id", "line_no", "pos", "word", "before", "after", F.lit(None).cast("string").alias("head"), F.lit(None).cast("string").alias("tail"))
-    every = every.unionByName(broken.select(*every.columns))
+    return every.unionByName(broken.select(*every.columns))
+
+
+def _readings(every: DataFrame, known: Known) -> DataFrame:
+    """Misreadings: candidates for every distinct word that was not asked before, ranked at each place."""
+    vocabulary, neighbours = known.vocabulary, known.neighbours
     asked = every.select(F.lower("word").alias("w")).distinct().filter((F.length("w") >= 2) & (F.length("w") <= 64) & ~F.col("w").rlike(r"^[\d.,:/-]+$"))
+    if known.asked is not None:
+        asked = asked.join(known.asked, "w", "left_anti")
     good = vocabulary.filter("clean + scan >= 2 and length(w) >= 2").select("w")
     near = candidates(asked, good)
-    known = vocabulary.select(F.col("w").alias("meant"), (F.col("clean") + F.col("scan")).alias("n_meant"), "surface")
+    meant = vocabulary.select(F.col("w").alias("meant"), (F.col("clean") + F.col("scan")).alias("n_meant"), "surface")
     mine = vocabulary.select("w", "clean", F.col("scan").alias("scan"))
-    pairs = near.join(known, "meant").join(mine, "w", "left").fillna({"clean": 0, "scan": 0})
+    pairs = near.join(meant, "meant").join(mine, "w", "left").fillna({"clean": 0, "scan": 0})
     # A reading must be clearly the commoner word.
     pairs = cut(pairs.filter(F.col("n_meant") > 2 * (F.col("clean") + F.col("scan"))))
+    if known.pairs is None:
+        known.asked, known.pairs = asked, pairs
+    else:
+        pairs = pairs.unionByName(known.pairs)
 
-    neighbours = counted.filter(is_pair).select("w", "n").unionByName(
-        every.filter("after <> ''").groupBy(F.concat(F.lower("word"), F.lit("\t"), F.col("after")).alias("w")).agg(F.count("*").alias("n"))
-    ).groupBy("w").agg(F.sum("n").alias("n"))
     at = every.withColumn("w", F.lower("word")).join(pairs, "w")
     tab = F.lit("\t")
     # Counts of the pairs of the reading and of the word with its neighbours.
@@ -500,10 +528,12 @@ def examine(pages: DataFrame, clean: DataFrame) -> Repair:
     numbers = every.filter(F.col("word").rlike(r"\d") & F.col("word").rlike(_ODD)).withColumn("reading", _number_column(F.col("word"))).filter("reading is not null")
     numbers = numbers.withColumn("w", F.lower("word")).join(vocabulary.filter("clean > 0").select("w"), "w", "left_anti")
     numbers = numbers.select("page_id", "line_no", "pos", F.col("word").alias("raw"), F.col("reading").alias("word"), "head", "tail")
-    readings = cut(fixed.join(numbers.select("page_id", "line_no", "pos"), ["page_id", "line_no", "pos"], "left_anti").unionByName(numbers))
+    return cut(fixed.join(numbers.select("page_id", "line_no", "pos"), ["page_id", "line_no", "pos"], "left_anti").unionByName(numbers))
+
+
+def _breaks(broken: DataFrame, readings: DataFrame) -> DataFrame:
     right = broken.join(readings.select("page_id", "line_no", "pos", F.col("word").alias("right")), ["page_id", "line_no", "pos"], "left")
-    breaks = right.select("page_id", "line_no", F.coalesce("right", "word").alias("word"), "head", "tail")
-    return Repair(dropped, breaks, readings, ready)
+    return right.select("page_id", "line_no", F.coalesce("right", "word").alias("word"), "head", "tail")
 
 
 _ODD = "[" + "".join(re.escape(x.split(":")[0]) for x in DIGITS.split()) + "]"
@@ -526,7 +556,7 @@ def found(repair: Repair) -> DataFrame:
 def _rebuilt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pages without furniture, with whole words and right readings, in paragraphs."""
     for batch in batches:
-        out = []
+        out, begins, ends = [], [], []
         cols = (batch.column(c).to_pylist() for c in ("text", "dropped", "overleaf", "taken", "fixes", "wholes"))
         for text, dropped, overleaf, taken, fixes, wholes in zip(*cols, strict=True):
             gone = set(dropped or ())
@@ -537,6 +567,7 @@ def _rebuilt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             paragraphs: list[list[str]] = [[]]
             skip, before = taken, 0
             width = max((len(x) for _, x in body), default=0)
+            starts = closes = False
             for k, (n, line) in enumerate(body):
                 heading = len(line) < 0.6 * width and len(line.split()) <= 5 and line.strip()[:1].isupper() and line[-1].isalnum() and k + 1 < len(body) and body[k + 1][1].lstrip()[:1].isupper()
                 indent = len(line) - len(line.lstrip()) >= 2
@@ -557,9 +588,19 @@ def _rebuilt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     paragraphs[-1].append(t)
                 if heading:
                     paragraphs.append([])
+                if k == 0:
+                    starts = not taken and (indent or heading)
+                title = len(line) < 0.6 * width and len(line.split()) <= 5 and line.strip()[:1].isupper() and line[-1].isalnum()
+                closes = title or len(line) < 0.8 * width and bool(_CLOSED.search(line))
                 skip, before = n in whole, n
+            begins.append(starts)
+            ends.append(closes)
             out.append("\n\n".join(" ".join(p) for p in paragraphs if p))
-        yield pa.RecordBatch.from_arrays([batch.column("page_id"), pa.array(out, pa.string())], ["page_id", "text"])
+        columns = [batch.column("page_id"), pa.array(out, pa.string()), pa.array(begins, pa.bool_()), pa.array(ends, pa.bool_())]
+        yield pa.RecordBatch.from_arrays(columns, ["page_id", "text", "begins", "ends"])
+
+
+_CLOSED = re.compile(r"[.!?:;][)\]”’»\"']*$")
 
 
 def reflowed(repair: Repair) -> DataFrame:
@@ -569,7 +610,127 @@ def reflowed(repair: Repair) -> DataFrame:
     whole where it began. A paragraph begins after an empty line or with an indented one. Each page's corrections, no more than
     its words, meet its text in one join; a page of which nothing is left gives an empty text.
     """
+    return _flow(repair).select("page_id", "text")
+
+
+def _flow(repair: Repair) -> DataFrame:
+    """The reflowed pages, and whether the first line of each begins a paragraph and its last one ends one."""
     fixes = repair.misread.filter("head is null").groupBy("page_id").agg(F.collect_list(F.struct("line_no", "pos", "raw", "word")).alias("fixes"))
     wholes = repair.breaks.groupBy("page_id").agg(F.collect_list(F.struct("line_no", "word")).alias("wholes"))
     pages = repair.pages.join(fixes, "page_id", "left").join(wholes, "page_id", "left")
-    return pages.mapInArrow(_rebuilt, "page_id bigint, text string")
+    return pages.mapInArrow(_rebuilt, "page_id bigint, text string, begins boolean, ends boolean")
+
+
+def _at_pages(text: str, pages: list[tuple[int, str | None]]) -> list[tuple[int, str]] | None:
+    """The pages that ``text`` is made of, in order and with nothing but blanks between; None if they are not its pages."""
+    at, out = 0, []
+    for index, page in sorted(((i, p) for i, p in pages if p and p.strip() and i is not None), key=lambda x: x[0]):
+        core = page.strip()
+        i = text.find(core, at)
+        if i < 0 or text[at:i].strip():
+            return None
+        out.append((index, page))
+        at = i + len(core)
+    return out if out and not text[at:].strip() else None
+
+
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows: list[tuple] = []
+        for rid, paper, text, *lists in zip(*(batch.column(c).to_pylist() for c in ("report_id", "paper_id", "text", "own", "known")), strict=True):
+            found = (_at_pages(text, [(x["page"], x["page_text"]) for x in pages if x]) for pages in lists if pages)
+            parts = next((p for p in found if p), None)
+            rows += [(rid, paper, i, t) for i, t in parts] if parts else [(rid, paper, None, text)]
+        cols = list(zip(*rows, strict=True)) if rows else [[] for _ in range(4)]
+        kinds = [pa.int64(), pa.string(), pa.int32(), pa.string()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["report_id", "paper_id", "page_index", "text"])
+
+
+def _framed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sentences as texts of their own: the lines that are furniture of their page, and the other halves of words broken at either end."""
+    plain = str.maketrans(dict.fromkeys(HYPHENS, "-"))
+    for batch in batches:
+        texts, gone = [], []
+        for text, page, dropped, overleaf in zip(*(batch.column(c).to_pylist() for c in ("text", "page", "dropped", "overleaf")), strict=True):
+            if page is not None and text.strip():
+                out = set(dropped or ())
+                furniture_lines = {x.strip() for n, x in enumerate(page.split("\n"), 1) if n in out}
+                keys = {k for x in furniture_lines if (k := fold_line(x)).strip("# ")}
+                kept = [x for x in text.split("\n") if x.strip() not in furniture_lines and fold_line(x) not in keys]
+                text = "\n".join(kept)
+                body = "\n".join(x for _, x in _body(page, out))
+                core = "\n".join(x.rstrip() for x in kept if x.strip()).strip()
+                low, key = body.translate(plain), core.translate(plain)
+                at = low.find(key) if key else -1
+                if at >= 0 and low.find(key, at + 1) < 0:
+                    ahead = body[:at].split("\n")
+                    first = core.split()[0]
+                    if len(ahead) > 1 and not ahead[-1].strip() and _ends_broken(ahead[-2]) and first[0].isalnum() and _strip(first).lower() not in _SUSPENDED:
+                        text = ahead[-2].split()[-1] + "\n" + text.lstrip()
+                    if _ends_broken(core):
+                        behind = body[at + len(core) :].split() or [overleaf or ""]
+                        text = text.rstrip() + "\n" + behind[0]
+            texts.append(text)
+            gone.append([])
+        columns = [batch.column("page_id"), pa.array(texts, pa.string()), pa.array(gone, pa.list_(pa.int32())), pa.nulls(len(texts), pa.string()), pa.array([False] * len(texts))]
+        yield pa.RecordBatch.from_arrays(columns, ["page_id", "text", "dropped", "overleaf", "taken"])
+
+
+_READY = "page_id bigint, text string, dropped array<int>, overleaf string, taken boolean"
+
+
+def examine_texts(texts: DataFrame, known: Known) -> Repair:
+    """Broken words and misreadings of ``texts`` (page_id, text, dropped, overleaf, taken) by what is ``known`` of words; they are not counted in it."""
+    texts = cut(texts)
+    words = cut(spread(texts).mapInArrow(_all_words, _WORDS))
+    broken = _whole(words, known)
+    readings = _readings(_every(words, broken), known)
+    return Repair(None, _breaks(broken, readings), readings, texts, known)
+
+
+def repaired_texts(reports: DataFrame, sentences: DataFrame, pages: DataFrame, clean: DataFrame) -> DataFrame:
+    """``kind`` (report, annotation), ``ref_id`` and ``text``: report texts and sentences of scans in continuous paragraphs.
+
+    ``reports`` have report_id, paper_id, text and own (page, page_text), ``sentences`` ann_id, paper_id, page_index and text, ``pages``
+    and ``clean`` are those of ``examine``. A report is made of the pages it was recorded with or of those of its paper, if they are
+    what its text consists of; pages that ``pages`` has not are examined along with it. Paragraphs go on overleaf unless the last line
+    is a short closed one or a title, or the next page begins with an indent or a heading. A text whose pages
+    are not known, and every sentence, is repaired by itself with the words and neighbours of all pages; lines of a sentence
+    that are furniture on its page go, and a word broken at its beginning or end stands whole if the sentence has
+    one place on its page. Null texts are left out; repeated keys count once; an empty text stays empty.
+    """
+    pages = cut(pages.filter("text is not null and page_id is not null").dropDuplicates(["page_id"]).select("page_id", "paper_id", "page_index", "text"))
+    by_paper = pages.groupBy("paper_id").agg(F.collect_list(F.struct(F.col("page_index").alias("page"), F.col("text").alias("page_text"))).alias("known"))
+    reports = reports.filter("text is not null and report_id is not null").dropDuplicates(["report_id"])
+    parts = cut(spread(reports.join(by_paper, "paper_id", "left")).mapInArrow(_parts, "report_id bigint, paper_id string, page_index int, text string"))
+    place = ["paper_id", "page_index", "text"]
+    parts = parts.join(pages.groupBy(*place).agg(F.min("page_id").alias("page_id")), place, "left")
+    parts = parts.withColumn("new", F.col("page_index").isNotNull() & F.col("page_id").isNull())
+    # Pages that only a report has get keys below zero.
+    parts = cut(parts.withColumn("page_id", F.when(F.col("new"), -F.abs(F.xxhash64("report_id", "page_index"))).otherwise(F.col("page_id"))))
+    repair = examine(pages.unionByName(parts.filter("new").select(*pages.columns)), clean)
+
+    none = [F.lit(None).cast("array<int>").alias("dropped"), F.lit(None).cast("string").alias("overleaf"), F.lit(False).alias("taken")]
+    alone = parts.filter("page_index is null").select(F.col("report_id").alias("ref_id"), F.lit("report").alias("kind"), "text", *none)
+    paged = repair.pages.join(pages.select("page_id", "paper_id", "page_index"), "page_id")
+    paged = paged.groupBy("paper_id", "page_index").agg(F.min_by(F.struct("text", "dropped", "overleaf"), "page_id").alias("p"))
+    paged = paged.select("paper_id", "page_index", F.col("p.text").alias("page"), "p.dropped", "p.overleaf")
+    notes = sentences.filter("text is not null and ann_id is not null").dropDuplicates(["ann_id"]).join(paged, ["paper_id", "page_index"], "left")
+    framed = spread(notes.select(F.col("ann_id").alias("page_id"), "text", "page", "dropped", "overleaf")).mapInArrow(_framed, _READY)
+    framed = framed.withColumnRenamed("page_id", "ref_id").withColumn("kind", F.lit("annotation"))
+    # Keys of both kinds in one numbering: even for reports, odd for sentences.
+    both = alone.unionByName(framed).withColumn("page_id", 2 * F.col("ref_id") + (F.col("kind") == "annotation").cast("int"))
+    single = reflowed(examine_texts(both.drop("ref_id", "kind"), repair.known))
+    kind = F.when(F.pmod("page_id", F.lit(2)) == 1, "annotation").otherwise("report").alias("kind")
+    single = single.select(kind, F.floor((F.col("page_id") - F.pmod("page_id", F.lit(2))) / 2).cast("bigint").alias("ref_id"), "text")
+
+    flow = parts.filter("page_index is not null").select("report_id", "page_index", "page_id").join(_flow(repair), "page_id")
+    flow = flow.groupBy("report_id").agg(F.array_sort(F.collect_list(F.struct("page_index", "text", "begins", "ends"))).alias("ps"))
+    start = F.struct(F.lit("").alias("text"), F.lit(False).alias("ends"))
+
+    def added(done: Column, p: Column) -> Column:
+        gap = F.when(done["text"] == "", "").when(done["ends"] | p["begins"], "\n\n").otherwise(" ")
+        return F.struct(F.concat(done["text"], gap, p["text"]).alias("text"), p["ends"].alias("ends"))
+
+    joined = F.aggregate(F.filter("ps", lambda p: p["text"] != ""), start, added)["text"]
+    return flow.select(F.lit("report").alias("kind"), F.col("report_id").alias("ref_id"), joined.alias("text")).unionByName(single)

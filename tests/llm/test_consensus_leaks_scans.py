@@ -139,3 +139,25 @@ def test_scanned_pages(spark):
     assert flow[1] == "measurements were repeated by technicians between the two groups before long-term measurements were repeated before"
     assert flow[2] == "treatment, pre- and before the two groups" and flow[5] == ""
     assert scan_repair.found(scan_repair.examine(pages.limit(0), clean)).count() == 0
+
+
+def test_scanned_reports_and_sentences(spark):
+    clean = spark.createDataFrame([("measurements were repeated by long-term technicians between the two groups before treatment",)] * 30, "text string")
+    one = "ACTA TEST, Vol. 1\nmeasurernents were repeated by tech-\nnicians betwcen the two groups before be-\n12"
+    two = "ACTA TEST, Vol. 1\nfore treatment, pre- and before the two groups\n\n13"
+    three = "ACTA TEST, Vol. 1\n   The two groups were repeated by technicians\n14"
+    pages = spark.createDataFrame([(1, "P", 0, one), (2, "P", 1, two), (3, "P", 2, three)], "page_id bigint, paper_id string, page_index int, text string")
+    whole = "\n\n".join((one, two, three))
+    loose = "the gr0ups were measurernents by tech-\nnicians"
+    reports = [(7, "P", whole, None), (8, "Q", loose, None), (9, "Q", None, None), (10, "Q", "", None), (7, "P", whole, None), (11, "R", three, [(0, three)])]
+    reports = spark.createDataFrame(reports, "report_id bigint, paper_id string, text string, own array<struct<page int, page_text string>>")
+    notes = [(7, "P", 0, "ACTA TEST, Vol. 1\nmeasurernents were repeated by tech‐"), (8, "P", 0, "nicians betwcen the two groups"), (9, "P", 0, "before be-\n12"), (10, None, None, "betwcen the two"), (11, "P", 0, None)]
+    notes = spark.createDataFrame(notes, "ann_id bigint, paper_id string, page_index int, text string")
+    got = {(r.kind, r.ref_id): r.text for r in scan_repair.repaired_texts(reports, notes, pages, clean).collect()}
+    third = "The two groups were repeated by technicians"
+    assert got == {
+        ("report", 7): f"measurements were repeated by technicians between the two groups before before treatment, pre- and before the two groups\n\n{third}",
+        ("report", 8): "the groups were measurements by technicians", ("report", 10): "", ("report", 11): third,
+        ("annotation", 7): "measurements were repeated by technicians", ("annotation", 8): "technicians between the two groups",
+        ("annotation", 9): "before before", ("annotation", 10): "between the two",
+    }
