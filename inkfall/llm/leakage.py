@@ -5,6 +5,7 @@ from __future__ import annotations
 from bisect import bisect_left
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -80,16 +81,24 @@ def myers(pattern: list[int], text: list[int]) -> list[int]:
     return out
 
 
-def _most(first: list[int], second: list[int], a: int, end: int, piece: int) -> tuple[int, int]:
-    """The most whole pieces in [a, end) with those of ``first`` before a split and of ``second`` behind it, and the split."""
-    one = [i for i in first if a <= i <= end - piece]
-    two = [i for i in second if a <= i <= end - piece]
-    best, split = len(two), a
-    for k, i in enumerate(one):
-        n = k + 1 + len(two) - bisect_left(two, i + piece)
-        if n > best:
-            best, split = n, i + piece
-    return best, split
+def split_distance(pattern: list[int], text: np.ndarray) -> int:
+    """The least distance of ``pattern``, in two parts at the best split, to two parts of ``text`` in order, and one for what is between.
+
+    Two edit-distance tables row by row: of the first part, and of both, which begins anywhere behind the first's best end.
+    """
+    at = np.arange(len(text) + 1)
+    one, two = np.zeros(len(text) + 1, np.int64), np.ones(len(text) + 1, np.int64)
+
+    def row(old: np.ndarray, other: np.ndarray) -> np.ndarray:
+        new = old + 1
+        np.minimum(new[1:], old[:-1] + other, out=new[1:])
+        return np.minimum.accumulate(new - at) + at
+
+    for w in pattern:
+        other = text != w
+        one, two = row(one, other), row(two, other)
+        two = np.minimum(two, np.minimum.accumulate(one) + 1)
+    return int(two.min())
 
 
 def stretch_distance(item: list[int], doc: list[int], hits: list[tuple[int, int]], words: int, allowed: int, piece: int, left: int) -> int | None:
@@ -98,7 +107,7 @@ def stretch_distance(item: list[int], doc: list[int], hits: list[tuple[int, int]
     ``hits`` are (place in item, place in document) of whole pieces. A stretch may be interrupted once by any
     amount of other text: it is then the sum of its two parts' distances, in order, and one for the interruption.
     """
-    n, m = len(item), len(doc)
+    n = len(item)
     width = allowed + 1
     bands: dict[int, set[tuple[int, int]]] = {}
     for i, j in hits:
@@ -122,41 +131,34 @@ def stretch_distance(item: list[int], doc: list[int], hits: list[tuple[int, int]
                 else:  # moving on by one word saves one edit at most
                     step = x - allowed
             a += step
-    if best is not None:
-        return best
-    order = sorted(places)
-    for x, d in enumerate(order):
-        one, shift = places[d], (d - 1) * width
-        for e in order[x + 2 :]:
-            two, later = places[e], (e - 1) * width
-            if len(set(one) | set(two)) < left or one[0] > two[-1] - piece:
-                continue
-            a, last = max(0, min(one[0], two[0]) + piece - words), min(n - words, max(one[-1], two[-1]))
-            while a <= last:
-                got, split = _most(one, two, a, a + words, piece)
-                step = 1
-                if got >= left and split > a:
-                    nxt = bisect_left(two, split)
-                    least = None
-                    for s in {split, min(two[nxt] if nxt < len(two) else split, a + words - 1)}:
-                        if not a < s < a + words:
-                            continue
-                        total = 1 + min(myers(item[a:s], doc[max(0, a + shift - allowed) : max(0, s + shift + 2 * width + allowed)]))
-                        if total <= allowed:
-                            total += min(myers(item[s : a + words], doc[max(0, s + later - allowed) : max(0, a + words + later + 2 * width + allowed)]))
-                        least = total if least is None else min(least, total)
-                    if least is not None and least <= allowed:
-                        return least
-                    if least is not None:
-                        step = least - allowed
-                a += step
-    return None
+    # Interrupted: a window needs whole pieces, wherever they are, and all but the edited of its words somewhere in the document.
+    at = sorted({i for i, _ in hits})
+    have, text = set(doc), np.array(doc, np.int64)
+    seen = [0]
+    for w in item:
+        seen.append(seen[-1] + (w in have))
+    a, last = max(0, at[0] + piece - words), min(n - words, at[-1])
+    while a <= last:
+        limit = allowed if best is None else best - 1
+        if limit < 1:
+            break
+        step = 1
+        if seen[a + words] - seen[a] >= words - limit + 1 and bisect_left(at, a + words - piece + 1) - bisect_left(at, a) >= left:
+            x = split_distance(item[a : a + words], text)
+            if x <= limit:
+                best = x
+            else:
+                step = x - limit
+        a += step
+    return best
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         keep, dist = [], []
-        for at, r in enumerate(batch.select(["item_words", "doc_words", "hits", "words", "allowed", "piece", "left"]).to_pylist()):
+        needed = batch.select(["item_words", "doc_words", "hits", "words", "allowed", "piece", "left"])
+        for at in range(batch.num_rows):
+            r = needed.slice(at, 1).to_pylist()[0]
             hits = [(h["i"], h["j"]) for h in r["hits"]]
             d = stretch_distance(r["item_words"], r["doc_words"], hits, r["words"], r["allowed"], r["piece"], r["left"])
             if d is not None:
@@ -207,15 +209,7 @@ def find_leaks(
     pairs = hits.groupBy("doc", "item").agg(F.collect_set(F.struct("i", "j")).alias("hits"))
     pairs = pairs.withColumn("n", F.size(F.array_distinct(F.transform("hits", lambda h: h["i"]))))
     pairs = pairs.join(own, "item").filter("n >= left").drop("n")
-    # Of the document only the words around the hits go to the verification.
-    reach = F.col("words") + 2 * F.col("allowed") + 2
-    low = F.greatest(F.array_min(F.transform("hits", lambda h: h["j"])) - reach, F.lit(0))
-    high = F.array_max(F.transform("hits", lambda h: h["j"])) + reach
-    full = pairs.join(words, "doc").withColumn("low", low).withColumn("high", high)
-    full = full.select(
-        "doc", "item", "item_words", F.slice("doc_words", F.col("low") + 1, F.col("high") - F.col("low")).alias("doc_words"),
-        F.transform("hits", lambda h: F.struct(h["i"].alias("i"), (h["j"] - F.col("low")).alias("j"))).alias("hits"),
-        "words", "allowed", "piece", "left",
-    )
+    # All words of the document go to the verification: a part of an interrupted stretch may be far from any whole piece.
+    full = pairs.join(words, "doc").select("doc", "item", "item_words", "doc_words", "hits", "words", "allowed", "piece", "left")
     found = full.mapInArrow(_verify, "doc bigint, item bigint, distance int")
     return found.groupBy(F.col("doc").alias(doc), F.col("item").alias(item)).agg(F.min("distance").alias("distance"))

@@ -161,3 +161,26 @@ def test_scanned_reports_and_sentences(spark):
         ("annotation", 7): "measurements were repeated by technicians", ("annotation", 8): "technicians between the two groups",
         ("annotation", 9): "before before", ("annotation", 10): "between the two",
     }
+
+
+def test_interrupted_within_a_piece(spark):
+    rng = random.Random(8)
+    item = [f"w{i}x" for i in range(60)]
+    part = list(item[:24])
+    for k in (1, 5, 21):
+        part[k] = f"z{k}"
+    filler = lambda n: [f"f{rng.randrange(9999)}" for _ in range(n)]
+    far = item[:18] + filler(300) + [*item[18:21], "z", *item[22:24]]  # no whole piece behind the interruption
+    short = item[:10] + filler(4) + item[10:16] + ["z"] + item[17:24]
+    docs = {1: filler(5) + part[:14] + filler(40) + part[14:] + filler(9), 2: far, 3: short, 4: filler(5) + part[14:] + filler(40) + part[:14]}
+    df = spark.createDataFrame([(d, " ".join(w)) for d, w in docs.items()], "doc_id bigint, text string")
+    ev = spark.createDataFrame([(1, " ".join(item))], "item_id bigint, passage string")
+    assert {r.doc_id: r.distance for r in leakage.find_leaks(df, ev).collect()} == {1: 4, 2: 2, 3: 2}
+
+
+def test_best_split_equals_brute_force():
+    rng = random.Random(9)
+    for _ in range(60):
+        p, t = ([rng.randrange(4) for _ in range(rng.randrange(1, n))] for n in (9, 14))
+        best = min(min(brute(p[:s], t[:c])) + min(brute(p[s:], t[c:])) for s in range(len(p) + 1) for c in range(len(t) + 1))
+        assert leakage.split_distance(p, np.array(t)) == best + 1
