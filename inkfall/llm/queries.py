@@ -42,9 +42,16 @@ def p3_reliability(spark: SparkSession, folder: str) -> DataFrame:
 _SURVIVING = ("extracted_value", "evidence", "section_path", "page")
 
 
+def _sentences(reports: DataFrame) -> DataFrame:
+    return sentences.split_sentences(reports.select("report_id", "full_pdf_text"), "report_id", "full_pdf_text").drop("sentence_index").distinct()
+
+
+def p4_sentences(spark: SparkSession, folder: str) -> DataFrame:
+    return _sentences(table(spark, folder, "coverage_reports"))
+
+
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
-    reports = table(spark, folder, "coverage_reports").filter("source = 'grobid'").select("report_id", "full_pdf_text")
-    return sentences.split_sentences(reports, "report_id", "full_pdf_text").drop("sentence_index").distinct()
+    return _sentences(table(spark, folder, "coverage_reports").filter("source = 'grobid'"))
 
 
 def _pages(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
@@ -120,6 +127,7 @@ QUERIES = {
     "p3_found": p3_found,
     "p3_reliability": p3_reliability,
     "p4_found": p4_found,
+    "p4_sentences": p4_sentences,
     "p5_found": p5_found,
     "p5_pages": p5_pages,
     "p5_texts": p5_texts,

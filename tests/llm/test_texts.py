@@ -81,3 +81,19 @@ def test_languages(spark):
     assert all(0 <= r.confidence <= 1 for r in found.collect())
     empty = docs.limit(0)
     assert language.segments(empty, language.fit_profiles(empty)).count() == 0
+
+
+def test_sentences_of_every_source(spark):
+    from inkfall.llm.queries import QUERIES
+    from inkfall.sources.tables import table
+
+    folder = "/root/testdata/sf0.001"
+    every, grobid = ({tuple(r) for r in QUERIES[q](spark, folder).collect()} for q in ("p4_sentences", "p4_found"))
+    reports = {r.report_id: r for r in table(spark, folder, "coverage_reports").filter("trim(full_pdf_text) <> ''").collect()}
+    assert {r[0] for r in every} == set(reports)
+    assert {r for r in every if reports[r[0]].source == "grobid"} == grobid
+    for rid, r in reports.items():
+        left = list(r.full_pdf_text)
+        for _, a, b in (x for x in every if x[0] == rid):
+            left[a:b] = " " * (b - a)
+        assert not "".join(left).strip()
