@@ -105,8 +105,6 @@ def _source_pass(k: int, shared):
             prob = _softmax(sigma + _cube(part.column("tau"), n, k, k)[item])
             hit, w = np.eye(k)[lab][:, None, :], _cube(part.column("q"), n, k)[item][:, :, None]
             both = np.concatenate([w * (hit - prob), w * prob * (1 - prob), w * hit], 1).reshape(len(src), -1)
-            q = _cube(part.column("q"), n, k)
-            total[-1] = total.get(-1, np.zeros(3 * k * k)) + np.r_[q.sum(0), np.zeros(3 * k * k - k)]
             own, back = np.unique(src, return_inverse=True)
             added = np.zeros((len(own), both.shape[1]))
             np.add.at(added, back, both)
@@ -188,23 +186,22 @@ def fit_consensus(
         state = cut(state)
         if at == rounds:
             break
-        # With posteriors and item parameters fixed, a step on the sources; the shares of the classes come along.
+        # With posteriors and item parameters fixed, a step on the sources.
         sums = _source_sums(state, sigma if small else sources, small, k)
         if small:
             got = {r["src"]: np.array(r["sums"]).reshape(3, k, k) for r in sums.collect()}
-            shares = got.pop(-1)[0, 0] if -1 in got else None
             for src, (g, c, _) in got.items():
                 sigma[src] += 0.8 * (g - alpha * sigma[src]) / (c + alpha)
         else:
             sums = cut(sums)
-            whole = sums.filter("src = -1").first()
-            shares = np.array(whole["sums"][:k]) if whole else None
             step = F.transform(
                 F.sequence(F.lit(0), F.lit(k * k - 1)),
                 lambda i: F.get("sigma", i) + 0.8 * (F.get("sums", i) - alpha * F.get("sigma", i)) / (F.get("sums", i + k * k) + alpha),
             )
             sources = cut(sources.join(sums, "src").select("src", step.alias("sigma")))
-        if shares is not None and shares.sum() > 0:
+        # The shares of the classes: each item once, however many ratings it has.
+        shares = np.array([x or 0.0 for x in state.agg(*[F.sum(F.col("q")[c]).alias(f"q{c}") for c in range(k)]).first()])
+        if shares.sum() > 0:
             prior = np.maximum(shares / shares.sum(), 1e-6)
     stats = _source_sums(state, sigma if small else sources, small, k)
     place = F.array_position("q", F.array_max("q")).cast("int")
@@ -235,7 +232,7 @@ def _with_sigma(kind: T.StructType) -> T.StructType:
 
 
 def _source_sums(state: DataFrame, sigma, small: bool, k: int) -> DataFrame:
-    """Per source the gradient, the curvature and the expected counts of (class, label), added up over its items; at -1 the class counts."""
+    """Per source the gradient, the curvature and the expected counts of (class, label), added up over its items."""
     if small:
         shared, rows = state.sparkSession.sparkContext.broadcast(sigma), state
     else:

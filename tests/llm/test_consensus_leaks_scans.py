@@ -184,3 +184,17 @@ def test_best_split_equals_brute_force():
         p, t = ([rng.randrange(4) for _ in range(rng.randrange(1, n))] for n in (9, 14))
         best = min(min(brute(p[:s], t[:c])) + min(brute(p[s:], t[c:])) for s in range(len(p) + 1) for c in range(len(t) + 1))
         assert leakage.split_distance(p, np.array(t)) == best + 1
+
+
+def test_join_path_counts_each_item_once(spark, monkeypatch):
+    rng = random.Random(6)
+    rows = []
+    for i in range(60):
+        for j in rng.sample(range(7), 7 if i % 4 == 0 else 1 + i % 3):
+            rows.append((i, f"s{j}", L[i % 4] if rng.random() < 0.6 else rng.choice(L)))
+    df = spark.createDataFrame(rows, "item bigint, source string, label string")
+    one = {r.item: (r.label, r.confidence) for r in consensus.fit_consensus(df, ["item"], rounds=2)[0].collect()}
+    monkeypatch.setattr(consensus, "BROADCAST_SOURCES", 1)
+    two = {r.item: (r.label, r.confidence) for r in consensus.fit_consensus(df, ["item"], rounds=2)[0].collect()}
+    assert one.keys() == two.keys()
+    assert all(one[i][0] == two[i][0] and abs(one[i][1] - two[i][1]) < 1e-9 for i in one)
