@@ -26,17 +26,33 @@ def p2_found(spark: SparkSession, folder: str) -> DataFrame:
     return needles.unionByName(quotes.select(F.lit("quote").alias("kind"), F.col("ann_id").alias("ref_id")))
 
 
-def p3_consensus(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+def p2_texts(spark: SparkSession, folder: str) -> DataFrame:
+    def texts(kind: str, rows: DataFrame, key: str, text: str) -> DataFrame:
+        return rows.select(F.lit(kind).alias("kind"), F.col(key).alias("ref_id"), F.col(text).alias("t")).filter("t is not null")
+
+    notes = table(spark, folder, "annotations")
+    every = texts("needle", table(spark, folder, "presence_checks"), "check_id", "needle")
+    every = every.unionByName(texts("report", table(spark, folder, "coverage_reports"), "report_id", "full_pdf_text"))
+    for kind, part in (("quote", "exact"), ("prefix", "prefix"), ("suffix", "suffix")):
+        every = every.unionByName(texts(kind, notes, "ann_id", f"quote_selector.{part}"))
+    return lookalikes.by_look(every.dropDuplicates(["kind", "ref_id"]), ["kind", "ref_id"], "t").select("kind", "ref_id", F.col("look").alias("text"))
+
+
+def _p3(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     rated = consensus.latest_ratings(table(spark, folder, "candidates"), ["paper_id", "field_index"])
     return consensus.fit_consensus(rated, ["paper_id", "field_index"])
 
 
+def p3_consensus(spark: SparkSession, folder: str) -> DataFrame:
+    return _p3(spark, folder)[0].select("paper_id", "field_index", "label", "confidence", "agreement")
+
+
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
-    return p3_consensus(spark, folder)[0].filter("disagreed").select("paper_id", "field_index", "label")
+    return _p3(spark, folder)[0].filter("disagreed").select("paper_id", "field_index", "label")
 
 
 def p3_reliability(spark: SparkSession, folder: str) -> DataFrame:
-    return p3_consensus(spark, folder)[1].drop("confusion")
+    return _p3(spark, folder)[1].drop("confusion")
 
 
 _SURVIVING = ("extracted_value", "evidence", "section_path", "page")
@@ -124,6 +140,8 @@ QUERIES = {
     "p1_found": p1_found,
     "p1_pieces": p1_pieces,
     "p2_found": p2_found,
+    "p2_texts": p2_texts,
+    "p3_consensus": p3_consensus,
     "p3_found": p3_found,
     "p3_reliability": p3_reliability,
     "p4_found": p4_found,
@@ -132,9 +150,11 @@ QUERIES = {
     "p5_pages": p5_pages,
     "p5_texts": p5_texts,
     "p6_found": p6_found,
+    "p6_survivors": p6_survivors,
     "p7_ids": p7_ids,
     "p7_decoded": p7_decoded,
     "p8_found": p8_found,
+    "p8_leaks": p8_leaks,
     "p9_found": p9_found,
     "p9_segments": p9_segments,
 }

@@ -97,3 +97,15 @@ def test_sentences_of_every_source(spark):
         for _, a, b in (x for x in every if x[0] == rid):
             left[a:b] = " " * (b - a)
         assert not "".join(left).strip()
+
+
+def test_whole_results_are_queries(spark):
+    from inkfall.llm.queries import QUERIES
+
+    folder = "/root/testdata/sf0.001"
+    got = {q: QUERIES[q](spark, folder).collect() for q in ("p2_texts", "p3_consensus", "p3_found")}
+    assert {r.kind for r in got["p2_texts"]} >= {"needle", "report", "quote"}
+    assert len({(r.kind, r.ref_id) for r in got["p2_texts"]}) == len(got["p2_texts"])
+    whole = {(r.paper_id, r.field_index): r.label for r in got["p3_consensus"]}
+    assert len(whole) > len(got["p3_found"]) and all(whole[r.paper_id, r.field_index] == r.label for r in got["p3_found"])
+    assert {"p6_survivors", "p8_leaks"} <= set(QUERIES)
