@@ -25,3 +25,17 @@ def cut(df: DataFrame) -> DataFrame:
     """The same rows, computed once and kept in the shared checkpoint folder."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def release(df: DataFrame) -> None:
+    """Remove the files of a ``cut`` whose rows are no longer needed, as what followed was cut itself; other frames are left alone."""
+    plan = df._jdf.queryExecution().analyzed()
+    while plan.nodeName() == "Project":
+        plan = plan.children().head()
+    if not plan.getClass().getSimpleName() == "LogicalRDD":
+        return
+    file = plan.rdd().getCheckpointFile()
+    if file.isDefined():
+        sc = df.sparkSession.sparkContext
+        path = sc._jvm.org.apache.hadoop.fs.Path(file.get())
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
