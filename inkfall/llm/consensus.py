@@ -6,17 +6,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from inkfall.checkpoints import cut
+from inkfall.checkpoints import cut, release
 
 # The labels in use.
 LABELS = ("low", "some concerns", "high", "unclear")
 
-#: Up to this many sources their parameters (n_labels^2 doubles each) go to the tasks as one broadcast; beyond, by a join.
-BROADCAST_SOURCES = 50_000
+#: Ratings of a block, the rows that a task works on together.
+BLOCK = 20_000
+#: Bytes of the sources' parameters, one copy a block, up to which they are sent to all tasks rather than the blocks to them.
+BROADCAST_BYTES = 32 << 20
 
 
 def label_of(payload: Column, labels: tuple[str, ...] = LABELS) -> Column:
@@ -39,93 +42,117 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(-1, keepdims=True)
 
 
-def _ratings_of(batch: pa.RecordBatch, k: int, table: np.ndarray | None):
-    """Source, label, item place and sigma of every rating of a batch."""
-    ratings = batch.column("ratings")
-    flat = ratings.flatten()
-    item = np.repeat(np.arange(batch.num_rows), np.diff(ratings.offsets.to_numpy()))
-    src = flat.field("src").to_numpy(zero_copy_only=False).astype(np.int64)
-    lab = flat.field("lab").to_numpy(zero_copy_only=False).astype(np.int64)
-    sigma = table[src] if table is not None else flat.field("sigma").flatten().to_numpy(zero_copy_only=False).reshape(-1, k, k)
-    return src, lab, item, sigma
-
+def _lists(x: np.ndarray) -> pa.Array:
+    offsets = pa.array(np.arange(0, x.size + 1, x.shape[1], dtype=np.int32))
+    return pa.ListArray.from_arrays(offsets, pa.array(x.reshape(-1)))
 
-def _cube(column: pa.Array, *shape: int) -> np.ndarray:
-    return np.array(column.flatten().to_numpy(zero_copy_only=False)).reshape(shape)
 
+def _numbers(values) -> np.ndarray:
+    return values.values.to_numpy(zero_copy_only=False)
 
-def _item_pass(k: int, beta: float, steps: int, shared, first: bool, prior: np.ndarray):
-    """mapInArrow function: item parameters by dual coordinate steps, and posteriors; the first time shares of votes."""
 
-    def posterior(prob: np.ndarray, lab: np.ndarray, item: np.ndarray, n: int) -> np.ndarray:
-        picked = np.log(np.maximum(np.take_along_axis(prob, lab[:, None, None], 2)[:, :, 0], 1e-12))
-        score = np.zeros((n, k))
-        np.add.at(score, item, picked)
-        return _softmax(score + np.log(prior))
+def _pack(shape: pa.Schema):
+    """mapInArrow function: a block's ratings as flat arrays; sources get places within their block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = shared.value if shared is not None else None
-        for part in batches:
-            n = part.num_rows
-            if not n:
-                continue
-            src, lab, item, sigma = _ratings_of(part, k, table)
-            hit = np.eye(k)[lab][:, None, :]
-            if first:
-                tau, q = np.zeros((n, k, k)), np.zeros((n, k))
-                np.add.at(q, item, np.eye(k)[lab])
-                q = q / q.sum(1, keepdims=True)
-            else:
-                tau = _cube(part.column("tau"), n, k, k)
-                q = posterior(_softmax(sigma + tau[item]), lab, item, n)
-                for _ in range(steps):
-                    prob, w = _softmax(sigma + tau[item]), q[item][:, :, None]
-                    grad, curve = np.zeros((n, k, k)), np.zeros((n, k, k))
-                    np.add.at(grad, item, w * (hit - prob))
-                    np.add.at(curve, item, w * prob * (1 - prob))
-                    tau = tau + 0.5 * (grad - beta * tau) / (curve + beta)
-                q = posterior(_softmax(sigma + tau[item]), lab, item, n)
-            columns = [part.column("item"), part.column("ratings"), _lists(tau.reshape(n, -1)), _lists(q)]
-            yield pa.RecordBatch.from_arrays(columns, ["item", "ratings", "tau", "q"])
+        for batch in batches:
+            for at in range(batch.num_rows):
+                items = batch.column("items")[at].values
+                ratings = items.field("ratings")
+                flat = ratings.flatten()
+                names = flat.field("source").dictionary_encode()
+                cells = {
+                    "block": batch.column("block")[at].as_py(),
+                    "items": items.field("item"),
+                    "sizes": np.diff(ratings.offsets.to_numpy()),
+                    "sources": names.dictionary,
+                    "src": names.indices.to_numpy(zero_copy_only=False),
+                    "lab": flat.field("lab").to_numpy(zero_copy_only=False),
+                }
+                yield _row(shape, cells)
 
     return run
 
 
-def _source_pass(k: int, shared):
-    """mapInArrow function: per source the partial gradient, curvature and expected (class, label) counts."""
+def _row(shape: pa.Schema, cells: dict) -> pa.RecordBatch:
+    """One row of scalars and lists."""
+    columns = []
+    for f in shape:
+        x = cells.get(f.name)
+        if x is None or not pa.types.is_list(f.type):
+            columns.append(pa.array([x], f.type))
+        else:
+            inner = x if isinstance(x, pa.Array) else pa.array(x)
+            columns.append(pa.ListArray.from_arrays(pa.array([0, len(inner)], pa.int32()), inner).cast(f.type))
+    return pa.RecordBatch.from_arrays(columns, schema=shape)
+
+
+def _pass(k: int, beta: float, steps: int, prior: np.ndarray, shape: pa.Schema):
+    """mapInArrow function over blocks: item parameters by dual coordinate steps, posteriors, and what they say of the sources.
+
+    Without ``tau`` (the first time) the posteriors are the shares of votes. ``sums`` are per source of the block the gradient,
+    the curvature and the expected (class, label) counts; ``shares`` the sum of posteriors, ``moved`` how far they moved.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = shared.value if shared is not None else None
-        total: dict[int, np.ndarray] = {}
-        for part in batches:
-            n = part.num_rows
-            if not n:
-                continue
-            src, lab, item, sigma = _ratings_of(part, k, table)
-            prob = _softmax(sigma + _cube(part.column("tau"), n, k, k)[item])
-            hit, w = np.eye(k)[lab][:, None, :], _cube(part.column("q"), n, k)[item][:, :, None]
-            both = np.concatenate([w * (hit - prob), w * prob * (1 - prob), w * hit], 1).reshape(len(src), -1)
-            own, back = np.unique(src, return_inverse=True)
-            added = np.zeros((len(own), both.shape[1]))
-            np.add.at(added, back, both)
-            for s, row in zip(own.tolist(), added, strict=True):
-                total[s] = total[s] + row if s in total else row
-            if len(total) > 20_000:
-                yield _sums(total)
-                total = {}
-        if total:
-            yield _sums(total)
+        for batch in batches:
+            for at in range(batch.num_rows):
+                cell = {c: batch.column(c)[at] for c in batch.schema.names}
+                sizes, src, lab = (_numbers(cell[c]) for c in ("sizes", "src", "lab"))
+                given = dict(zip(cell["given"].values.field("source").to_pylist(), cell["given"].values.field("sigma").to_pylist(), strict=True))
+                names = cell["sources"].values
+                sigma = np.array([given[s] for s in names.to_pylist()]).reshape(-1, k, k)[src]
+                n = len(sizes)
+                item = np.repeat(np.arange(n), sizes)
+                hit = np.eye(k)[lab][:, None, :]
+
+                def summed(x: np.ndarray, item=item, n=n) -> np.ndarray:
+                    out = np.zeros((n, *x.shape[1:]))
+                    np.add.at(out, item, x)
+                    return out
+
+                def posterior(tau: np.ndarray, sigma=sigma, item=item, lab=lab, summed=summed) -> np.ndarray:
+                    picked = np.take_along_axis(_softmax(sigma + tau[item]), lab[:, None, None].astype(np.int64), 2)[:, :, 0]
+                    return _softmax(summed(np.log(np.maximum(picked, 1e-12))) + np.log(prior))
+
+                if cell["tau"].as_py() is None:
+                    tau = np.zeros((n, k, k))
+                    q = summed(hit[:, 0, :])
+                    q, old = q / q.sum(1, keepdims=True), None
+                else:
+                    tau, old = _numbers(cell["tau"]).reshape(n, k, k), _numbers(cell["q"]).reshape(n, k)
+                    q = posterior(tau)
+                    for _ in range(steps):
+                        prob, w = _softmax(sigma + tau[item]), q[item][:, :, None]
+                        tau = tau + 0.5 * (summed(w * (hit - prob)) - beta * tau) / (summed(w * prob * (1 - prob)) + beta)
+                    q = posterior(tau)
+                prob, w = _softmax(sigma + tau[item]), q[item][:, :, None]
+                both = np.concatenate([w * (hit - prob), w * prob * (1 - prob), w * hit], 1).reshape(len(src), -1)
+                sums = np.zeros((len(names), both.shape[1]))
+                np.add.at(sums, src, both)
+                cells = {c: cell[c].as_py() for c in ("block",)} | {"items": cell["items"].values, "sources": names}
+                cells |= {"sizes": sizes, "src": src, "lab": lab, "tau": tau.reshape(-1), "q": q.reshape(-1), "sums": _lists(sums)}
+                yield _row(shape, cells | {"shares": q.sum(0), "moved": float(n if old is None else np.abs(q - old).max(1).sum())})
 
     return run
 
 
-def _lists(x: np.ndarray) -> pa.Array:
-    offsets = pa.array(np.arange(0, x.size + 1, x.shape[1], dtype=np.int32))
-    return pa.ListArray.from_arrays(offsets, pa.array(x.reshape(-1)))
+def _unpack(k: int, shape: pa.Schema):
+    """mapInArrow function: a row for every item of a block."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(batch.num_rows):
+                sizes, lab, q = (_numbers(batch.column(c)[at]) for c in ("sizes", "lab", "q"))
+                q = q.reshape(len(sizes), k)
+                counts = np.zeros((len(sizes), k), np.int64)
+                np.add.at(counts, (np.repeat(np.arange(len(sizes)), sizes), lab), 1)
+                same, pairs = (counts * (counts - 1)).sum(1), sizes.astype(np.int64) * (sizes - 1)
+                agreement = pa.array(same / np.maximum(pairs, 1), mask=pairs == 0)
+                columns = [batch.column("items")[at].values, pa.array(q.argmax(1)), pa.array(q.max(1)), agreement, pa.array(sizes), pa.array(counts.max(1) < sizes)]
+                yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, shape, strict=True)], schema=shape)
 
-def _sums(total: dict[int, np.ndarray]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), _lists(np.stack(list(total.values())))], ["src", "sums"])
+    return run
 
 
 def fit_consensus(
@@ -134,111 +161,93 @@ def fit_consensus(
     labels: tuple[str, ...] = LABELS,
     alpha: float = 2.0,
     beta: float = 8.0,
-    rounds: int = 12,
+    rounds: int = 100,
     item_steps: int = 3,
+    tolerance: float = 5e-4,
 ) -> tuple[DataFrame, DataFrame]:
     """Consensus per item and reliability per source from ``item``, ``source``, ``label`` rows.
 
     Minimax conditional entropy: the chance that source i gives item j of class c the label k is proportional to
     exp(sigma_i[c,k] + tau_j[c,k]). The dual with quadratic penalties ``alpha`` (sources) and ``beta`` (items) is
     climbed block by block, all coordinates of one side by damped Newton steps with the other side fixed, in turn
-    with the label posteriors; class shares come from the posteriors. It begins at each item's shares of votes.
+    with the label posteriors; class shares come from the posteriors. It begins at each item's shares of votes and ends
+    when the posteriors move by less than ``tolerance`` on average, after ``rounds`` at the latest.
 
     The first result has ``item``, ``label``, ``confidence`` (its posterior), ``agreement`` (share of pairs of
     sources that give the same label; null of a single source), ``n_sources`` and ``disagreed``; the second ``source``,
-    ``reliability`` (posterior-weighted share of right labels), ``n_items`` and the sigma values.
+    ``reliability`` (posterior-weighted share of right labels), ``n_items`` and the expected (class, label) counts.
 
-    An item has one label per source, so its row is bounded by the number of sources. Per round the tasks send
-    one partial sum per source. Rows with a null key, source or unknown label don't count; an empty input gives
+    Items lie in blocks of about ``BLOCK`` ratings, by hash. Each round every block gets the parameters of the sources that
+    occur in it, by a join, and gives partial sums for them; sources are known by themselves, not by numbers, and nothing of
+    them comes to the driver. An item has one label per source, so its ratings are bounded by the number of sources. Rows
+    with a null key, source or label, or with a label that is none of ``labels``, don't count; an empty input gives
     empty results. Repeated rows of one source and item count once (the last in label order). Ties of the
     posterior go to the first of ``labels``.
     """
     spark = ratings.sparkSession
     k = len(labels)
     rated = ratings.filter(" and ".join(f"`{c}` is not null" for c in [*item, "source"])).filter(F.col("label").isin(*labels))
-    rated = rated.groupBy(*item, "source").agg(F.max("label").alias("label"))
     code = F.array_position(F.array(*[F.lit(x) for x in labels]), F.col("label")).cast("int") - 1
-    names = cut(rated.groupBy("source").agg(F.count("*").alias("n_items")))
-    n_sources = names.count()
-    small = n_sources <= BROADCAST_SOURCES
-    place = F.row_number().over(Window.orderBy("source")).cast("long") - 1 if small else F.abs(F.xxhash64("source"))
-    numbered = cut(names.withColumn("src", place))
-    keyed = rated.join(numbered.select("source", "src"), "source")
-    rows = keyed.groupBy(F.struct(*item).alias("item")).agg(F.collect_list(F.struct("src", code.alias("lab"))).alias("ratings"))
-    rows = cut(rows)
-    kind = T.StructType([rows.schema["item"], rows.schema["ratings"], T.StructField("tau", T.ArrayType(T.DoubleType())), T.StructField("q", T.ArrayType(T.DoubleType()))])
-    sigma = np.tile(np.eye(k) * 1.0, (max(n_sources, 1), 1, 1))
-    sources = None if small else cut(numbered.select("src", F.array(*[F.lit(float(x)) for x in np.eye(k).reshape(-1)]).alias("sigma")))
+    rated = rated.groupBy(*item, "source").agg(F.max("label").alias("label"))
+    rated = cut(rated.select(F.struct(*item).alias("item"), "source", code.alias("lab")))
+    n = rated.count()
+    n_blocks = max(1, -(-n // BLOCK), min(spark.sparkContext.defaultParallelism, n // 1000))
+    # By block first: the groups below then need no shuffle of their own.
+    placed = rated.withColumn("block", F.pmod(F.xxhash64("item"), F.lit(n_blocks))).repartition("block")
+    blocks = placed.groupBy("block", "item").agg(F.collect_list(F.struct("source", "lab")).alias("ratings"))
+    blocks = blocks.groupBy("block").agg(F.collect_list(F.struct("item", "ratings")).alias("items"))
+    packed = _state_type(rated.schema["item"].dataType, rated.schema["source"].dataType)
+    first = T.StructType(packed.fields[:6])
+    state = cut(blocks.mapInArrow(_pack(to_arrow_schema(first)), first))
+    need = cut(state.select("block", F.explode("sources").alias("source")))
+    eye = F.array(*[F.lit(float(x)) for x in np.eye(k).reshape(-1)])
+    sources = cut(rated.groupBy("source").agg(F.count("*").alias("n_items")).withColumn("sigma", eye))
+    small = need.count() * (k * k * 8 + 64) <= BROADCAST_BYTES
+    release(rated)
+    state = state.select("*", F.lit(None).cast("array<double>").alias("tau"), F.lit(None).cast("array<double>").alias("q"))
     prior = np.full(k, 1.0 / k)
-    state = rows
     for at in range(rounds + 1):
-        first = at == 0
-        if small:
-            shared, given = spark.sparkContext.broadcast(sigma), state
-        else:
-            shared = None
-            flat = state.select("item", *([] if first else ["tau"]), F.explode("ratings").alias("r")).select("item", *([] if first else ["tau"]), "r.src", "r.lab")
-            flat = flat.join(sources, "src")
-            given = flat.groupBy("item").agg(F.collect_list(F.struct("src", "lab", "sigma")).alias("ratings"), *([] if first else [F.first("tau").alias("tau")]))
-        state = given.mapInArrow(_item_pass(k, beta, item_steps, shared, first, prior), kind if small else _with_sigma(kind))
-        if not small:
-            state = state.withColumn("ratings", F.transform("ratings", lambda r: F.struct(r["src"], r["lab"])))
-        state = cut(state)
-        if at == rounds:
+        given = need.join(sources, "source").groupBy("block").agg(F.collect_list(F.struct("source", "sigma")).alias("given"))
+        rows = state.join(F.broadcast(given) if small else given, "block")
+        old, state = state, cut(rows.mapInArrow(_pass(k, beta, item_steps, prior, to_arrow_schema(packed)), packed))
+        release(old)
+        told = state.agg(F.sum("moved"), F.sum(F.size("items")), *[F.sum(F.col("shares")[c]) for c in range(k)]).first()
+        # The shares of the classes: each item once, however many ratings it has.
+        shares = np.array([x or 0.0 for x in told[2:]])
+        if at == rounds or not told[1] or told[0] < tolerance * told[1]:
             break
+        prior = np.maximum(shares / shares.sum(), 1e-6)
         # With posteriors and item parameters fixed, a step on the sources.
-        sums = _source_sums(state, sigma if small else sources, small, k)
-        if small:
-            got = {r["src"]: np.array(r["sums"]).reshape(3, k, k) for r in sums.collect()}
-            for src, (g, c, _) in got.items():
-                sigma[src] += 0.8 * (g - alpha * sigma[src]) / (c + alpha)
-        else:
-            sums = cut(sums)
-            step = F.transform(
-                F.sequence(F.lit(0), F.lit(k * k - 1)),
-                lambda i: F.get("sigma", i) + 0.8 * (F.get("sums", i) - alpha * F.get("sigma", i)) / (F.get("sums", i + k * k) + alpha),
-            )
-            sources = cut(sources.join(sums, "src").select("src", step.alias("sigma")))
-        # The shares of the classes: each item once, however many ratings it has.
-        shares = np.array([x or 0.0 for x in state.agg(*[F.sum(F.col("q")[c]).alias(f"q{c}") for c in range(k)]).first()])
-        if shares.sum() > 0:
-            prior = np.maximum(shares / shares.sum(), 1e-6)
-    stats = _source_sums(state, sigma if small else sources, small, k)
-    place = F.array_position("q", F.array_max("q")).cast("int")
-    n = F.size("ratings")
-
-    def given_label(c: int) -> Column:
-        return F.size(F.filter("ratings", lambda r: r["lab"] == c))
-
-    counts = [given_label(c) for c in range(k)]
-    same = sum((c * (c - 1) for c in counts[1:]), counts[0] * (counts[0] - 1))
-    out = state.select(
-        "item.*",
-        F.element_at(F.array(*[F.lit(x) for x in labels]), place).alias("label"),
-        F.array_max("q").alias("confidence"),
-        F.when(n > 1, same / (n * (n - 1))).alias("agreement"),
-        n.alias("n_sources"),
-        (F.greatest(*counts) < n).alias("disagreed"),
-    )
+        step = F.transform(
+            F.sequence(F.lit(0), F.lit(k * k - 1)),
+            lambda i: F.get("sigma", i) + 0.8 * (F.get("sums", i) - alpha * F.get("sigma", i)) / (F.get("sums", i + k * k) + alpha),
+        )
+        past, sources = sources, cut(sources.join(_source_sums(state, k), "source").select("source", "n_items", step.alias("sigma")))
+        release(past)
+    shape = T.StructType([
+        T.StructField("item", packed["items"].dataType.elementType), T.StructField("place", T.IntegerType()), T.StructField("confidence", T.DoubleType()),
+        T.StructField("agreement", T.DoubleType()), T.StructField("n_sources", T.IntegerType()), T.StructField("disagreed", T.BooleanType()),
+    ])
+    flat = state.select("items", "sizes", "lab", "q").mapInArrow(_unpack(k, to_arrow_schema(shape)), shape)
+    name = F.element_at(F.array(*[F.lit(x) for x in labels]), F.col("place") + 1)
+    out = flat.select("item.*", name.alias("label"), "confidence", "agreement", "n_sources", "disagreed")
     seen = F.slice("sums", 2 * k * k + 1, k * k)
     right = sum((F.get(seen, F.lit(c * k + c)) for c in range(1, k)), F.get(seen, F.lit(0)))
-    reliability = numbered.join(stats, "src").select("source", (right / F.col("n_items")).alias("reliability"), "n_items", seen.alias("confusion"))
+    reliability = sources.join(_source_sums(state, k), "source").select("source", (right / F.col("n_items")).alias("reliability"), "n_items", seen.alias("confusion"))
     return out, reliability
 
 
-def _with_sigma(kind: T.StructType) -> T.StructType:
-    r = T.ArrayType(T.StructType([T.StructField("src", T.LongType()), T.StructField("lab", T.IntegerType()), T.StructField("sigma", T.ArrayType(T.DoubleType()))]))
-    return T.StructType([kind["item"], T.StructField("ratings", r), kind["tau"], kind["q"]])
+def _state_type(item: T.DataType, source: T.DataType) -> T.StructType:
+    whole, real = T.ArrayType(T.IntegerType()), T.ArrayType(T.DoubleType())
+    kinds = [
+        ("block", T.LongType()), ("items", T.ArrayType(item)), ("sizes", whole), ("sources", T.ArrayType(source)), ("src", whole), ("lab", whole),
+        ("tau", real), ("q", real), ("sums", T.ArrayType(real)), ("shares", real), ("moved", T.DoubleType()),
+    ]
+    return T.StructType([T.StructField(c, k) for c, k in kinds])
 
 
-def _source_sums(state: DataFrame, sigma, small: bool, k: int) -> DataFrame:
-    """Per source the gradient, the curvature and the expected counts of (class, label), added up over its items."""
-    if small:
-        shared, rows = state.sparkSession.sparkContext.broadcast(sigma), state
-    else:
-        flat = state.select("item", "tau", "q", F.explode("ratings").alias("r")).select("item", "tau", "q", "r.src", "r.lab")
-        rows = flat.join(sigma, "src").select("item", "tau", "q", F.array(F.struct("src", "lab", "sigma")).alias("ratings"))
-        shared = None
-    parts = rows.mapInArrow(_source_pass(k, shared), "src long, sums array<double>")
+def _source_sums(state: DataFrame, k: int) -> DataFrame:
+    """Per source the gradient, the curvature and the expected counts of (class, label), added up over the blocks."""
+    parts = state.select(F.explode(F.arrays_zip("sources", "sums")).alias("p")).select("p.sources", "p.sums")
     cells = [F.sum(F.col("sums")[i]).alias(f"s{i}") for i in range(3 * k * k)]
-    return parts.groupBy("src").agg(*cells).select("src", F.array(*[f"s{i}" for i in range(3 * k * k)]).alias("sums"))
+    return parts.groupBy(F.col("sources").alias("source")).agg(*cells).select("source", F.array(*[f"s{i}" for i in range(3 * k * k)]).alias("sums"))

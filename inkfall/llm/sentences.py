@@ -19,6 +19,8 @@ INSIDE = "e.g i.e eg ie cf cfr vs viz approx ca circa al etc resp incl excl z z.
 
 #: Scores: what a candidate gains or loses for what stands before and behind it.
 KNOWN, PLAIN, LOWER, INITIAL, NUMBERED, UNBALANCED, TINY = -6.0, 3.0, -8.0, -5.0, -6.0, -9.0, -12.0
+#: Characters of a sentence that cost nothing, and how many more of them cost 1.
+LONG, STEEP = 350, 150
 
 # What closes each opening sign, wide and narrow brackets alike.
 PAIRS = {"“": "”", "«": "»", "„": "“”", "「": "」", "『": "』", "(": ")）", "（": "）)", "[": "]", "{": "}", "【": "】", "《": "》", "〈": "〉", "‹": "›"}
@@ -39,7 +41,8 @@ _CANDIDATE = re.compile(
 _WORD_BEFORE = re.compile(rf"[^\s(\[{{（“„«\"‘:=<>/]*$")
 _NEXT = re.compile(rf"[\s{_ZERO}]*((?:[\"“„«‘'(\[（「『¿¡*•–—-][\s{_ZERO}]*)*)[{_ZERO}]*(\S)(\S*)")
 _ORDINAL = re.compile(r"(?:^|\s)(?:am|der|dem|den|des|das|die|zum|vom|im|ab|bis|seit|beim|zur|jeder|jedem|jeden|und)\s+\d{1,2}\.$", re.I)
-_NUMBER_ONLY = re.compile(r"^[\s(]*(?:\d+(?:\.\d+)*|[IVXLC]+|[A-Z])[.)]?\s*$")
+_NUMBER_ONLY = re.compile(r"[\s(]*(?:\d+(?:\.\d+)*|[IVXLC]+|[A-Z])[.)]?\s*")
+_MORE = re.compile(r"[^\s\dA-Z(.)]")  # what no text that is but a number has
 _HEADING = re.compile(r"^\s*(?:(?:\d+(?:\.\d+)*|[IVX]+)[.)]?\s+)?[^\W\d_][^\n.!?:;,]{1,44}$")
 
 
@@ -57,10 +60,10 @@ def _fold(word: str) -> str:
     return "".join(shapes().get(c, c) for c in plain)
 
 
-def _stop_score(text: str, begin: int, stop: int, end: int) -> float:
-    """How well a sentence ends at ``end``: the stop begins at ``stop``, the paragraph at ``begin``."""
+def _stop_score(text: str, begin: int, stop: int, end: int, last: int) -> float:
+    """How well a sentence ends at ``end``: the stop begins at ``stop``, the paragraph at ``begin``; it goes to ``last``."""
     mark = text[stop]
-    nxt = _NEXT.match(text, end)
+    nxt = _NEXT.match(text, end, last)
     if nxt is None:
         return PLAIN
     lead, first, rest = nxt.groups()
@@ -103,9 +106,9 @@ def _stop_score(text: str, begin: int, stop: int, end: int) -> float:
     return 0.0
 
 
-def _dense_score(text: str, stop: int, end: int) -> float:
+def _dense_score(text: str, stop: int, end: int, last: int) -> float:
     closed = end - stop > 1 and any(c in _CLOSE for c in text[stop:end])
-    if closed and end < len(text) and text[end] in "とというのをがはで、，,":
+    if closed and end < last and text[end] in "とというのをがはで、，,":
         return LOWER
     return PLAIN
 
@@ -114,6 +117,7 @@ def candidates(text: str, begin: int, end: int) -> list[tuple[int, int, float]]:
     """Places in a paragraph where a sentence may end: its end, the next one's earliest begin, and the score."""
     out = []
     first_line = True
+    filled = _trim(text, begin, end)[1]
     for m in _CANDIDATE.finditer(text, begin, end):
         if m["line"]:
             line = text[begin : m.start()]
@@ -125,9 +129,9 @@ def candidates(text: str, begin: int, end: int) -> list[tuple[int, int, float]]:
         if m["thai"]:
             out.append((m.start(), m.end(), PLAIN))
             continue
-        if m.end() >= end or not text[m.end() : end].strip():
+        if m.end() >= filled:
             continue
-        score = _dense_score(text[:end], m.start(), m.end()) if m["dense"] else _stop_score(text[:end], begin, m.start(), m.end())
+        score = _dense_score(text, m.start(), m.end(), end) if m["dense"] else _stop_score(text, begin, m.start(), m.end(), end)
         out.append((m.end(), m.end(), score))
     return out
 
@@ -162,32 +166,62 @@ def _depths(text: str, begin: int, places: list[int]) -> list[int]:
 
 
 def _length_score(text: str, a: int, b: int) -> float:
-    body = text[a:b].strip()
-    if not body or _NUMBER_ONLY.match(body):
+    """Of a span without blanks around."""
+    if a >= b or _NUMBER_ONLY.fullmatch(text, a, b):
         return TINY
-    n = len(body)
-    return (-1.0 if n < 8 and ord(body[0]) < 0x2E80 else 0.0) - max(0, n - 350) / 150
+    return (-1.0 if b - a < 8 and ord(text[a]) < 0x2E80 else 0.0) - max(0, b - a - LONG) / STEEP
 
 
-def spans(text: str, reach: int = 60) -> list[tuple[int, int]]:
+def spans(text: str) -> list[tuple[int, int]]:
     """Begin and end of every sentence of a text, blanks around left out.
 
     An empty line ends a unit. Within a paragraph the best chain of whole sentences is chosen among all spans
     between candidate places: a span scores by its length, by what stands at its end and behind it (closing and
-    opening words), and by whether quotations and brackets balance in it. ``reach`` is how many candidates a
-    sentence may pass over; where a chain would need more, it is cut there.
+    opening words), and by whether quotations and brackets balance in it. No span is too long to be chosen.
     """
     out: list[tuple[int, int]] = []
     at = 0
     bounds = [(m.start(), m.end()) for m in _PARAGRAPH.finditer(text)]
     for stop, nxt in [*bounds, (len(text), len(text))]:
         if text[at:stop].strip():
-            out += _paragraph(text, at, stop, reach)
+            out += _paragraph(text, at, stop)
         at = nxt
     return out
 
 
-def _paragraph(text: str, begin: int, end: int, reach: int) -> list[tuple[int, int]]:
+class _Begins:
+    """The places where the sentence that ends next may begin, without those that can't win any more.
+
+    Of two begins a < b, b can't win if at every later end the span from a scores as much, and a can't if the span from b
+    scores more. Their spans differ by what the chain before them scores, by their length, by balance (once UNBALANCED at
+    most, never if both stand equally deep), and by TINY if one is but a number. Both tests take the worst case, so what
+    they drop is never part of the best chain; what they keep lies near the end or before an open quotation.
+    """
+
+    def __init__(self, text: str, loose: int):
+        self.text, self.loose = text, loose
+        self.kept: list[tuple[int, int, float, int]] = []  # place in the chain, first character, score so far, depth
+
+    def _turn(self, mine: int, other: int) -> float:
+        """The most that a begin of depth ``other`` can gain by balance on one of depth ``mine``."""
+        return 0.0 if mine == other or other > 2 * self.loose else -UNBALANCED
+
+    def add(self, place: int, at: int, score: float, depth: int) -> None:
+        beaten = False
+        rest = []
+        for old in self.kept:
+            _, a, best, deep = old
+            apart = at - a
+            if not beaten and best - 1.0 - apart / STEEP - self._turn(deep, depth) >= score and _MORE.search(self.text, a, at):
+                beaten = True
+            if score + TINY - self._turn(depth, deep) + max(0, apart - LONG) / STEEP <= best:
+                rest.append(old)
+        if not beaten:
+            rest.append((place, at, score, depth))
+        self.kept = rest
+
+
+def _paragraph(text: str, begin: int, end: int) -> list[tuple[int, int]]:
     found = candidates(text, begin, end)
     if not found:
         return [_trim(text, begin, end)]
@@ -198,21 +232,39 @@ def _paragraph(text: str, begin: int, end: int, reach: int) -> list[tuple[int, i
     # A closing sign that is missing at the end of the paragraph must not hold everything before it together.
     loose = depth[-1]
     n = len(ends)
-    best = [0.0] + [float("-inf")] * n
+    first = [_skip(text, a, end) for a in starts]
+    last = [_skip_back(text, b, begin) for b in ends]
     back = [0] * (n + 1)
+    begins = _Begins(text, loose)
+    begins.add(0, first[0], 0.0, 0)
     for j in range(1, n + 1):
-        for i in range(max(0, j - reach), j):
-            level = abs(depth[j] - depth[i]) if j < n else max(0, abs(depth[j] - depth[i]) - loose)
+        best = float("-inf")
+        for i, a, before, deep in begins.kept:
+            level = abs(depth[j] - deep) if j < n else max(0, abs(depth[j] - deep) - loose)
             inside = UNBALANCED if level or (j < n and depth[j] > loose) else 0.0
-            value = best[i] + score[j - 1] + _length_score(text, starts[i], ends[j - 1]) + inside
-            if value > best[j]:
-                best[j], back[j] = value, i
+            value = before + score[j - 1] + _length_score(text, a, last[j - 1]) + inside
+            if value > best:
+                best, back[j] = value, i
+        if j < n:
+            begins.add(j, first[j], best, depth[j])
     cuts = []
     j = n
     while j:
-        cuts.append((starts[back[j]], ends[j - 1]))
+        cuts.append((first[back[j]], last[j - 1]))
         j = back[j]
-    return [t for a, b in reversed(cuts) if (t := _trim(text, a, b))[0] < t[1]]
+    return [(a, b) for a, b in reversed(cuts) if a < b]
+
+
+def _skip(text: str, at: int, end: int) -> int:
+    while at < end and text[at].isspace():
+        at += 1
+    return at
+
+
+def _skip_back(text: str, at: int, begin: int) -> int:
+    while at > begin and text[at - 1].isspace():
+        at -= 1
+    return at
 
 
 def _trim(text: str, a: int, b: int) -> tuple[int, int]:
@@ -228,7 +280,7 @@ def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def split_sentences(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """``key``, ``sentence_index``, ``char_start``, ``char_end`` and ``sentence`` of every sentence of every text.
+    """``key``, ``sentence_index``, ``char_start`` and ``char_end`` of every sentence of every text.
 
     Offsets count code points from 0, end exclusive. Null, empty and blank texts have no sentence. Each row is
     handled by itself, whatever its length; repeated rows come out repeated; nothing is shuffled.

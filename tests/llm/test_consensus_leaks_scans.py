@@ -33,11 +33,12 @@ def test_consensus_finds_bad_sources(spark):
         assert abs(got[i].agreement - np.mean(pairs)) < 1e-9 and got[i].disagreed == (len(set(v)) > 1)
 
 
-def test_many_sources_go_by_a_join(spark, monkeypatch):
+def test_blocks_and_kinds_of_join_change_nothing(spark, monkeypatch):
     rows = [(i, f"s{j}", L[(i + (j == 4)) % 4]) for i in range(40) for j in range(5)]
     df = spark.createDataFrame(rows, "item bigint, source string, label string")
     one = {r.item: r.label for r in consensus.fit_consensus(df, ["item"], rounds=2)[0].collect()}
-    monkeypatch.setattr(consensus, "BROADCAST_SOURCES", 1)
+    monkeypatch.setattr(consensus, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(consensus, "BLOCK", 7)
     two = {r.item: r.label for r in consensus.fit_consensus(df, ["item"], rounds=2)[0].collect()}
     assert one == two == {i: L[i % 4] for i in range(40)}
 
@@ -194,7 +195,8 @@ def test_join_path_counts_each_item_once(spark, monkeypatch):
             rows.append((i, f"s{j}", L[i % 4] if rng.random() < 0.6 else rng.choice(L)))
     df = spark.createDataFrame(rows, "item bigint, source string, label string")
     one = {r.item: (r.label, r.confidence) for r in consensus.fit_consensus(df, ["item"], rounds=2)[0].collect()}
-    monkeypatch.setattr(consensus, "BROADCAST_SOURCES", 1)
+    monkeypatch.setattr(consensus, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(consensus, "BLOCK", 7)
     two = {r.item: (r.label, r.confidence) for r in consensus.fit_consensus(df, ["item"], rounds=2)[0].collect()}
     assert one.keys() == two.keys()
     assert all(one[i][0] == two[i][0] and abs(one[i][1] - two[i][1]) < 1e-9 for i in one)

@@ -1,5 +1,6 @@
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from inkfall.llm import splitting, survivorship
@@ -23,6 +24,21 @@ def test_round_trip_limits_and_overlap(spark):
         assert all(a.char_end - b.char_start == 8 for a, b in zip(own, own[1:], strict=False))
 
 
+def test_overlaps_below_and_above_half_the_limit(spark):
+    for over in (4, 5, 6, 9):
+        own = pieces(spark, [("P", "1", "s", "One two three, four. " * 40, None)], (("s", 10, over),))
+        assert all(a.char_end - b.char_start == min(4 * over, a.char_end) for a, b in zip(own, own[1:], strict=False))
+        assert own[-1].char_end == 840 and all(r.piece_tokens <= 10 for r in own)
+    with pytest.raises(Exception, match="an overlap of 10 tokens does not go with a limit of 10"):
+        pieces(spark, [("P", "1", "s", "x" * 99, None)], (("s", 10, 10),))
+
+
+def test_running_sums(spark):
+    df = spark.createDataFrame([(list(range(n)),) for n in (0, 1, 2, 3, 10, 101)], "x array<int>")
+    got = [r.y for r in df.select(splitting._running(F.col("x")).alias("y")).collect()]
+    assert got == [[sum(range(i + 1)) for i in range(n)] for n in (0, 1, 2, 3, 10, 101)]
+
+
 def test_cuts_at_sentences(spark):
     rows = pieces(spark, [("P", "1", "s", "Twenty five letters here. And then some more text.", None)])
     assert rows[0].piece_text == "Twenty five letters here. "

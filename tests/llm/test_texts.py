@@ -1,3 +1,4 @@
+import random
 import unicodedata
 
 import pytest
@@ -46,6 +47,31 @@ def test_sentences(text, want):
     assert [text[a:b] for a, b in sentences.spans(text)] == want
 
 
+def all_chains(text):
+    """The best chain over all begins, none left out."""
+
+    class Every(sentences._Begins):
+        def add(self, place, at, score, depth):
+            self.kept.append((place, at, score, depth))
+
+    own, sentences._Begins = sentences._Begins, Every
+    try:
+        return sentences.spans(text)
+    finally:
+        sentences._Begins = own
+
+
+def test_long_quotations_and_random_chains():
+    for n in (58, 59, 60, 61, 62, 200):
+        text = "She said: “" + "This is an inner sentence. " * n + "That was all.” Then she left."
+        assert [text[a:b] for a, b in sentences.spans(text)] == [text[:-15], "Then she left."]
+    rng = random.Random(3)
+    parts = ["et al. ", "Fig. 3. ", "12. ", "A. ", "“", "”", "(", ")", "The dog ran. ", "x ", "e.g. ", "No. ", "She said so! ", "... ", "and more words to fill a line, " * 6, "。", "日本語です。", "「", "」"]
+    for _ in range(600):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(2, 60)))
+        assert sentences.spans(text) == all_chains(text)
+
+
 def test_sentences_of_odd_rows(spark):
     df = spark.createDataFrame([(1, None, "z"), (2, "", "z"), (3, "A bed was here. " * 3000, "z"), (4, "((( “ ", "z")], "id bigint, t string, sentence_index string")
     got = sentences.split_sentences(df, "id", "t").groupBy("id").count().collect()
