@@ -56,7 +56,7 @@ def _running(sizes: Column) -> Column:
         place = lambda i: F.floor(i / width).cast("int")
         return _let(_let(blocks, ahead), lambda done: F.transform(x, lambda _, i: F.get(done, place(i)) + total(F.slice(x, place(i) * width + 1, F.pmod(i, width) + 1))))
 
-    return F.when(F.size(sizes) == 1, sizes).otherwise(_let(sizes, within))
+    return F.when(F.size(sizes) <= 1, sizes).otherwise(_let(sizes, within))
 
 
 def split_oversized(
