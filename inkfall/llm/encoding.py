@@ -3,15 +3,20 @@
 from __future__ import annotations
 
 import base64
-import os
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from inkfall.checkpoints import cut
+
 TOKENIZERS = "/opt/tokenizers"
+#: Words that are no piece of the vocabulary and go to all tasks with it, the commonest ones.
+HOT = 100_000
 
 # Fixed value: how the tokenizer cuts a text into words; (?U) gives blanks their Unicode meaning.
 WORDS = r"(?U)'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -23,13 +28,6 @@ def _ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
 
 
-@lru_cache(4)
-def _encoder(path: str):
-    import tiktoken
-
-    return tiktoken.Encoding(os.path.basename(path), pat_str=r"[\s\S]+", mergeable_ranks=_ranks(path), special_tokens={})
-
-
 def vocabulary(spark, path: str) -> DataFrame:
     """``id`` and ``piece`` (its bytes) of the tokenizer; ``word`` where the bytes are a text by themselves."""
     rows = [(i, bytearray(b)) for b, i in _ranks(path).items()]
@@ -41,15 +39,97 @@ def words_of(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(WORDS), F.lit(0))
 
 
-def _encode_words(path: str):
+class _Pieces:
+    """Words whose ids are known, as flat arrays: the vocabulary's and, with more than one id each, ``more``."""
+
+    def __init__(self, ranks: dict[bytes, int], more: list[tuple[str, list[int]]] = ()):
+        own = [(w, i) for b, i in ranks.items() if (w := _text(b)) is not None]
+        self.words = pa.array([w for w, _ in own] + [w for w, _ in more], pa.string())
+        self.sizes = np.array([1] * len(own) + [len(x) for _, x in more], np.int64)
+        self.ids = np.array([i for _, i in own] + [i for _, x in more for i in x], np.int32)
+
+    def places(self, words: pa.Array) -> pa.Array:
+        return pc.index_in(words, value_set=self.words)
+
+
+def _text(piece: bytes) -> str | None:
+    try:
+        return piece.decode()
+    except UnicodeDecodeError:
+        return None
+
+
+def _encoder(ranks: dict[bytes, int]):
+    import tiktoken
+
+    # A word is one piece: it is merged as a whole.
+    return tiktoken.Encoding("words", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
+
+
+def _counted(ranks):
+    """mapInArrow function: the words that are no piece, with partial counts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces = _Pieces(ranks.value)
+        for batch in batches:
+            flat = batch.column("words").flatten()
+            told = flat.filter(pieces.places(flat).is_null()).value_counts()
+            yield pa.RecordBatch.from_arrays([told.field("values"), told.field("counts")], ["word", "n"])
+
+    return run
+
+
+def _open_words(ranks, hot):
+    """mapInArrow function: of every document its distinct words that are neither pieces nor in ``hot``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces = _Pieces(ranks.value, hot.value)
+        for batch in batches:
+            words = batch.column("words")
+            flat = words.flatten()
+            open_ = pieces.places(flat).is_null()
+            doc = np.repeat(np.arange(batch.num_rows), np.diff(words.offsets.to_numpy()))[open_.to_numpy(zero_copy_only=False)]
+            coded = flat.filter(open_).dictionary_encode()
+            pairs = np.unique(np.stack([doc, coded.indices.to_numpy(zero_copy_only=False)]), axis=1)
+            yield pa.RecordBatch.from_arrays([batch.column("r").take(pa.array(pairs[0])), coded.dictionary.take(pa.array(pairs[1]))], ["r", "word"])
+
+    return run
+
+
+def _encode_words(ranks):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc = _encoder(ranks.value)
+        for batch in batches:
+            ids = [enc.encode_ordinary(w) for w in batch.column("word").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("word"), pa.array(ids, pa.list_(pa.int32()))], ["word", "ids"])
+
+    return run
+
+
+def _put_together(ranks, hot):
+    """mapInArrow function: every word's ids in its place."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = _encoder(path)
+        pieces = _Pieces(ranks.value, hot.value)
         for batch in batches:
-            words = batch.column("word").to_pylist()
-            ids = [enc._core_bpe.encode_single_piece(w.encode("utf-8")) for w in words]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("word"), pa.array(ids, pa.list_(pa.int32()))], ["word", "ids"]
-            )
+            words = batch.column("words")
+            flat = words.flatten()
+            place = pieces.places(flat)
+            sizes, ids = pieces.sizes, pieces.ids
+            rest = batch.column("rest").flatten()
+            if len(rest):  # the words of these documents that came by the join, each with the same ids wherever it is
+                own = rest.field("ids")
+                place = pc.coalesce(place, pc.add(pc.index_in(flat, value_set=rest.field("word")), len(sizes)))
+                sizes = np.r_[sizes, np.diff(own.offsets.to_numpy())]
+                ids = np.r_[ids, own.flatten().to_numpy(zero_copy_only=False)]
+            place = place.to_numpy(zero_copy_only=False).astype(np.int64)
+            begin = np.r_[0, np.cumsum(sizes)]
+            n = sizes[place]
+            end = np.r_[0, np.cumsum(n)]
+            out = ids[np.repeat(begin[place] - end[:-1], n) + np.arange(end[-1])]
+            bounds = words.offsets.to_numpy().astype(np.int64)
+            lists = pa.ListArray.from_arrays(pa.array(end[bounds - bounds[0]], pa.int32()), pa.array(out, pa.int32()))
+            yield pa.RecordBatch.from_arrays([batch.column("r").field("k"), lists], ["k", "ids"])
 
     return run
 
@@ -59,32 +139,37 @@ def encode(
     key: str = "doc_id",
     text: str = "text",
     tokenizer: str = f"{TOKENIZERS}/byte_bpe_50k.tiktoken",
+    hot: int = HOT,
 ) -> DataFrame:
     """``key`` and ``ids`` of every document; null and empty texts give an empty list.
 
-    Words that are a piece of the vocabulary by themselves, which are nearly all and all the frequent ones, get
-    their id from the broadcast vocabulary (its size is fixed: the ids of the tokenizer). Each other distinct word
-    is encoded once, and its ids are joined back by document and position. Strings that look like special tokens
-    are ordinary text. ``key`` must identify a document; repeated rows with one key and text give one row. A null
+    Texts are split into words; words that are a piece of the vocabulary have its id. Each other distinct word of the corpus
+    is encoded once: the ``hot`` commonest of them go to all tasks with the vocabulary, so no frequent word is shuffled as
+    often as it occurs; the ids of the others are joined back by word and put in their places. Only the
+    driver reads the tokenizer's file. Strings that look like special tokens are ordinary text. Repeated
+    rows of one key and text give one row, different texts of one key a row each; a null
     key is a key like any other. Other columns are not looked at.
     """
     spark = docs.sparkSession
-    src = docs.select(F.col(key).alias("k"), F.coalesce(F.col(text), F.lit("")).alias("t"))
-    one = src.groupBy("k").agg(F.max("t").alias("t"))
-    words = one.select("k", F.posexplode_outer(words_of(F.col("t"))).alias("pos", "word"))
-    known = F.broadcast(vocabulary(spark, tokenizer).filter("word is not null").select(F.col("word").alias("v"), "id"))
-    first = words.join(known, F.col("word") == F.col("v"), "left").select("k", "pos", "word", "id")
-    # Of the other words a document gives one row each, with all positions.
-    other = first.filter("id is null and word is not null").groupBy("k", "word").agg(F.collect_list("pos").alias("at"))
-    table = other.select("word").distinct().mapInArrow(_encode_words(tokenizer), "word string, ids array<int>")
-    rare = other.join(table, "word").groupBy("k").agg(F.collect_list(F.struct("at", "ids")).alias("rare"))
-    # No shuffle here: the exploded rows of a document stay where the document is.
-    placed = F.when(F.col("id").isNotNull(), F.struct("pos", F.array("id").alias("ids")))
-    common = first.groupBy("k").agg(F.collect_list(placed).alias("common"))
-    both = common.join(rare, common["k"].eqNullSafe(rare["k"]), "left").select(common["k"], "common", "rare")
-    spread = F.flatten(F.transform("rare", lambda r: F.transform(r["at"], lambda p: F.struct(p.alias("pos"), r["ids"].alias("ids")))))
-    every = F.array_sort(F.concat("common", F.coalesce(spread, F.array().cast("array<struct<pos:int,ids:array<int>>>"))))
-    return both.select(F.col("k").alias(key), F.flatten(F.transform(every, lambda x: x["ids"])).alias("ids"))
+    ranks = spark.sparkContext.broadcast(_ranks(tokenizer))
+    t = F.coalesce(F.col(text), F.lit(""))
+    src = docs.select(F.struct(F.col(key).alias("k"), F.md5(t).alias("digest")).alias("r"), t.alias("t"))
+    kind = src.schema["r"].dataType.simpleString()
+    one = src.repartition("r").distinct()
+    words = src.select(words_of(F.col("t")).alias("words"))
+    counts = cut(words.mapInArrow(_counted(ranks), "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n")))
+    table = counts.select("word").mapInArrow(_encode_words(ranks), "word string, ids array<int>")
+    common = counts.orderBy(F.desc("n"), "word").limit(hot).select("word").mapInArrow(_encode_words(ranks), "word string, ids array<int>")
+    common = [(w, ids) for w, ids in common.collect()]
+    first = spark.sparkContext.broadcast(common)
+    if len(common) < hot:
+        whole = one.withColumn("rest", F.lit(None).cast("array<struct<word:string,ids:array<int>>>"))
+    else:
+        asked = one.select("r", words_of(F.col("t")).alias("words")).mapInArrow(_open_words(ranks, first), f"r {kind}, word string")
+        rest = asked.join(table, "word").groupBy("r").agg(F.collect_list(F.struct("word", "ids")).alias("rest"))
+        whole = one.join(rest, "r", "left")
+    out = whole.select("r", words_of(F.col("t")).alias("words"), "rest").mapInArrow(_put_together(ranks, first), f"k {dict(docs.dtypes)[key]}, ids array<int>")
+    return out.withColumnRenamed("k", key)
 
 
 def decode(

@@ -85,8 +85,13 @@ def test_encoding_is_the_library_s(spark):
     t.encode_special_tokens = True
     texts = ["Hello  world, it's 2024!", "<|endoftext|> 🧪📊\t\n\n x", "漢字 नमस्ते", "", None, "  ", "tail   ", "a" * 5000, "word " * 4000]
     df = spark.createDataFrame([(i, x, "z") for i, x in enumerate(texts)], "doc_id bigint, text string, ids string")
-    got = {r.doc_id: list(r.ids) for r in encoding.encode(df.unionByName(df)).collect()}
-    assert got == {i: t.encode(x or "", add_special_tokens=False).ids for i, x in enumerate(texts)}
+    want = {i: t.encode(x or "", add_special_tokens=False).ids for i, x in enumerate(texts)}
+    for hot in (0, 1, 3, 100_000):  # some, none or all of the words by the join
+        rows = encoding.encode(df.unionByName(df), hot=hot).collect()
+        assert len(rows) == len(texts) and {r.doc_id: list(r.ids) for r in rows} == want
+    odd = spark.createDataFrame([(None, "a", 1), (None, "b", 1), ("x", "a", 2)], "doc_id string, text string, r int")
+    assert sorted((r.doc_id or "", list(r.ids)) for r in encoding.encode(odd).collect()) == [("", [64]), ("", [65]), ("x", [64])]
+    assert encoding.encode(odd.limit(0)).count() == 0
     back = {r.doc_id: r.text for r in encoding.decode(encoding.encode(df)).collect()}
     assert back == {i: x or "" for i, x in enumerate(texts)}
     assert encoding.encode(df.limit(0)).collect() == []
