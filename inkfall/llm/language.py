@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from inkfall.checkpoints import cut
 from inkfall.partitioning import spread
 
 # The languages, each with its other codes and names.
@@ -54,7 +55,7 @@ def _json() -> str:
     return json.dumps({n: code for code, names in NAMES.items() for n in (code, *names.split())})
 
 
-_QUOTE = re.compile("“[^“”„]{0,300}”")
+_QUOTE = re.compile("“[^“”„]*”")
 _END = re.compile(
     r"(?:[.!?…।؟]+[\"'”’»)\]]*(?=\s+\S)|(?<=[Ͱ-Ͽἀ-῿])[;;](?=\s+\S)|[。！？]+[」』”’）]*(?=\S)|[ \t]*\n\s*\n\s*|(?<=[฀-๿])[ \t]+(?=[฀-๿]))"
 )
@@ -73,8 +74,13 @@ def sentences_of(text: str) -> list[tuple[int, int]]:
 
 
 def _hidden(quote: re.Match) -> str:
-    """Blanks for a quoted passage; where it ends a sentence of a script without blanks, that end stays."""
+    """Blanks for a quoted title or sentence; one of several sentences is text like any other.
+
+    Where it ends a sentence of a script without blanks, that end stays.
+    """
     q = quote.group()
+    if len(sentences_of(q[1:-1])) > 1:
+        return q
     return " " * (len(q) - 2) + q[-2:] if len(q) > 2 and q[-2] in "。！？" else " " * len(q)
 
 
@@ -86,8 +92,13 @@ def _whole(text: str, letters: int) -> bool:
     return letters >= 12 or letters >= 4 and len(_DENSE.findall(text)) * 2 > letters
 
 
+_PLAIN = str.maketrans({chr(o): " " for o in range(128) if not chr(o).isalpha()})
+
+
 def _letters(text: str) -> str:
     """Letters and marks in one form and lower case; anything else one blank; a blank at either end."""
+    if text.isascii():
+        return " " + " ".join(text.lower().translate(_PLAIN).split()) + " "
     t = unicodedata.normalize("NFKC", re.sub("[­​-‏⁠﻿]", "", text)).lower()
     return " " + " ".join(_WORD.findall(t)) + " "
 
@@ -96,33 +107,64 @@ _WORD = re.compile(r"[^\W\d_]+(?:[̀-ͯऀ-ःऺ-ॏ॑-ॗॢॣً-ٟัิ-
 
 
 def ngrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Unit, key and count of every n-gram of up to ORDER letters in every text, and the letters of each text."""
+    """Unit, key and count of every n-gram of up to ORDER letters in every text, by unit and key, and the letters of each text.
+
+    An n-gram's key is 21 bits a letter. For sorting, letters are numbered as they occur, which leaves room for the unit in one number.
+    """
     plain = [_letters(t) for t in texts]
     sizes = np.array([len(p) for p in plain], dtype=np.int64)
     points = np.frombuffer("".join(plain).encode("utf-32-le"), dtype=np.uint32).astype(np.int64)
+    letters = np.maximum(sizes - 2, 0)
+    seen = np.zeros(0x110000, dtype=bool)
+    seen[points] = True
+    alphabet = np.flatnonzero(seen)
+    number = np.zeros(0x110000, dtype=np.int64)
+    number[alphabet] = np.arange(len(alphabet))
+    width = max(len(alphabet) - 1, 1).bit_length()
+    small = number[points]
     unit = np.repeat(np.arange(len(plain)), sizes)
-    keys, units = [], []
+    place = ORDER * width + 2
+    if place + len(plain).bit_length() > 63:  # too many different letters for one number: texts by themselves, in halves
+        return _halves(texts)
+    codes = []
     for n in range(1, ORDER + 1):
         if len(points) < n:
             continue
-        key = np.zeros(len(points) - n + 1, dtype=np.int64)
+        m = len(points) - n + 1
+        code = (unit[:m] << place) | (n << ORDER * width)
         for i in range(n):
-            key = (key << 21) | points[i : len(points) - n + 1 + i]
-        same = unit[: len(points) - n + 1] == unit[n - 1 :]
+            code |= small[i : m + i] << (n - 1 - i) * width
+        same = unit[:m] == unit[n - 1 :]
         if n == 1:
             same &= points != 32
-        keys.append(key[same])
-        units.append(unit[: len(points) - n + 1][same])
-    letters = np.maximum(sizes - 2, 0)
-    if not keys:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), letters
-    key, unit = np.concatenate(keys), np.concatenate(units)
-    order = np.lexsort((key, unit))
-    key, unit = key[order], unit[order]
-    if not len(key):
-        return unit, key, np.zeros(0, np.int64), letters
-    new = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (unit[1:] != unit[:-1])])
-    return unit[new], key[new], np.diff(np.r_[new, len(key)]), letters
+        codes.append(code[same])
+    code = np.concatenate(codes) if codes else np.zeros(0, np.int64)
+    code.sort()
+    if not len(code):
+        return code, code, code, letters
+    new = np.flatnonzero(np.r_[True, code[1:] != code[:-1]])
+    count = np.diff(np.r_[new, len(code)])
+    code = code[new]
+    mask = (1 << width) - 1
+    n = code >> ORDER * width & 3
+    key = alphabet[code & mask]
+    for i in range(1, ORDER):
+        key |= np.where(n > i, alphabet[code >> i * width & mask], 0) << 21 * i
+    return code >> place, key, count, letters
+
+
+def _halves(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    if len(texts) > 1:
+        m = len(texts) // 2
+        a, b = ngrams(texts[:m]), ngrams(texts[m:])
+        return np.r_[a[0], b[0] + m], *(np.r_[x, y] for x, y in zip(a[1:], b[1:], strict=True))
+    points = np.frombuffer(_letters(texts[0]).encode("utf-32-le"), dtype=np.uint32).astype(np.int64)
+    keys = [points[points != 32]]
+    for n in range(2, ORDER + 1):
+        m = len(points) - n + 1
+        keys.append(sum(points[i : m + i] << 21 * (n - 1 - i) for i in range(n)))
+    key, count = np.unique(np.concatenate(keys), return_counts=True)
+    return np.zeros(len(key), np.int64), key, count, np.array([len(points) - 2])
 
 
 def _slices(batch: pa.RecordBatch, letters: int = 200_000) -> Iterator[pa.RecordBatch]:
@@ -153,13 +195,14 @@ def fit_profiles(docs: DataFrame, key: str = "doc_id", text: str = "text", label
 
     Fitted on about ``sample`` labelled documents per language (all where there are fewer), drawn by a hash of the key.
     Wrong labels are taken as they are: ranks bear them while they are the lesser part. Then documents whose own
-    nearest profile is another than their label's are left out, and the profiles are fitted again.
+    nearest profile is another than their label's are left out, and the profiles are fitted again. The corpus' texts are read
+    once, for the drawing; the drawn ones are kept.
     """
-    named = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), label_code(F.col(label)).alias("lang")).filter("lang is not null and length(text) > 20")
+    named = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), label_code(F.col(label)).alias("lang")).filter("lang is not null")
     sizes = {r["lang"]: r["n"] for r in named.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     share = F.from_json(F.lit("{" + ",".join(f'"{k}":{min(1.0, sample / n)}' for k, n in sizes.items()) + "}"), "map<string,double>")
     drawn = named.filter(F.pmod(F.xxhash64("key"), F.lit(1_000_003)) < F.try_element_at(share, F.col("lang")) * 1_000_003)
-    drawn = spread(drawn, "key").select("lang", "text")
+    drawn = cut(spread(drawn.filter("length(text) > 20").select("lang", "text")))
 
     def top(rows: DataFrame) -> dict[str, list[int]]:
         counts = rows.mapInArrow(_count, "lang string, key bigint, n bigint").groupBy("lang", "key").agg(F.sum("n").alias("n"))
@@ -173,46 +216,74 @@ def fit_profiles(docs: DataFrame, key: str = "doc_id", text: str = "text", label
     first = top(drawn)
     if not first:
         return {}
-    right = drawn.mapInArrow(_agreeing(_table(first)), "lang string, text string")
+    right = drawn.mapInArrow(_agreeing(Table(first)), "lang string, text string")
     return top(right) or first
 
 
-def _table(profiles: dict[str, list[int]]) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """The languages, all keys of the profiles in order, and the rank of each key in each language (PROFILE if absent)."""
-    langs = sorted(profiles)
-    keys = np.unique(np.concatenate([np.array(p, dtype=np.int64) for p in profiles.values()]))
-    ranks = np.full((len(keys) + 1, len(langs)), PROFILE, dtype=np.int32)
-    for x, lang in enumerate(langs):
-        ranks[np.searchsorted(keys, np.array(profiles[lang], dtype=np.int64)), x] = np.arange(len(profiles[lang]))
-    return langs, keys, ranks
-
-
-def distances(table, unit: np.ndarray, key: np.ndarray, n: np.ndarray, units: int) -> tuple[np.ndarray, np.ndarray]:
+class Table:
+    """The profiles side by side: for every n-gram in any of them its rank in each language (PROFILE if absent)."""
+
+    def __init__(self, profiles: dict[str, list[int]]):
+        self.langs = sorted(profiles)
+        self.keys = np.unique(np.concatenate([np.array(p, dtype=np.int64) for p in profiles.values()]))
+        self.ranks = np.full((len(self.keys), len(self.langs)), PROFILE, dtype=np.int16)
+        for x, lang in enumerate(self.langs):
+            self.ranks[np.searchsorted(self.keys, np.array(profiles[lang], dtype=np.int64)), x] = np.arange(len(profiles[lang]))
+        # Keys by a hash without clashes: a factor is tried until no two share a slot.
+        self.bits = 2 * max(len(self.keys) - 1, 1).bit_length()
+        factors = np.random.default_rng(0)
+        while True:
+            self.factor = np.uint64(int(factors.integers(1 << 62)) * 2 + 1)
+            slots = self._slots(self.keys)
+            if len(np.unique(slots)) == len(slots):
+                break
+        self.at = np.zeros(1 << self.bits, dtype=np.int32)
+        self.at[slots] = np.arange(len(self.keys))
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return (keys.astype(np.uint64) * self.factor >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def places(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of every key its row, and whether it has one."""
+        at = self.at[self._slots(keys)]
+        return at, self.keys[at] == keys
+
+
+def distances(table: Table, unit: np.ndarray, key: np.ndarray, n: np.ndarray, units: int) -> tuple[np.ndarray, np.ndarray]:
     """Out-of-place distance of every unit to every language, as a sum over its n-grams in PROFILE, and their number.
 
-    A unit's n-grams rank by count; equal counts share a rank; those after the first PROFILE don't count.
+    A unit's n-grams rank by count; equal counts share a rank; those after the first PROFILE don't count. n-grams come by
+    unit and key, so only those that occur more than once need sorting, and only those in a profile comparing.
     """
-    langs, keys, ranks = table
-    out, size = np.zeros((units, len(langs))), np.zeros(units)
+    out, size = np.zeros((units, len(table.langs))), np.zeros(units, dtype=np.int64)
     if not len(unit):
         return out, size
-    order = np.lexsort((key, -n, unit))
-    unit, key, n = unit[order], key[order], n[order]
-    start = np.flatnonzero(np.r_[True, unit[1:] != unit[:-1]])
-    begin = np.repeat(start, np.diff(np.r_[start, len(unit)]))
-    tie = np.flatnonzero(np.r_[True, (unit[1:] != unit[:-1]) | (n[1:] != n[:-1])])
-    rank = np.repeat(tie, np.diff(np.r_[tie, len(unit)])) - begin
-    kept = np.arange(len(unit)) - begin < PROFILE
-    unit, key, rank = unit[kept], key[kept], rank[kept]
-    at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-    at = np.where(keys[at] == key, at, len(keys))
-    off = np.minimum(np.abs(ranks[at] - rank[:, None].astype(np.int32)), PROFILE) / np.float32(PROFILE)
-    off[at == len(keys)] = 1.0
-    off[ranks[at] == PROFILE] = 1.0
-    first = np.flatnonzero(np.r_[True, unit[1:] != unit[:-1]])
-    out[unit[first]] = np.add.reduceat(off, first, axis=0)
-    size[unit[first]] = np.diff(np.r_[first, len(unit)])
-    return out, size
+    often = n > 1
+    first = np.bincount(unit[often], minlength=units)
+    u, c, k = unit[often], n[often], key[often]
+    order = np.lexsort((k, -c, u))
+    u, c, k = u[order], c[order], k[order]
+    place = np.arange(len(u)) - (np.cumsum(first) - first)[u]
+    tie = np.flatnonzero(np.r_[True, (u[1:] != u[:-1]) | (c[1:] != c[:-1])]) if len(u) else np.zeros(0, np.int64)
+    rank = np.repeat(place[tie], np.diff(np.r_[tie, len(u)]))
+    kept = place < PROFILE
+    # Those that occur once share the last rank, in order of their keys.
+    u1, k1 = unit[~often], key[~often]
+    once = np.bincount(u1, minlength=units)
+    place1 = first[u1] + np.arange(len(u1)) - (np.cumsum(once) - once)[u1]
+    kept1 = place1 < PROFILE
+    size += np.minimum(first + once, PROFILE)
+    unit, key, rank = np.r_[u[kept], u1[kept1]], np.r_[k[kept], k1[kept1]], np.r_[rank[kept], first[u1[kept1]]].astype(np.int16)
+    at, known = table.places(key)
+    unit, at, rank = unit[known], at[known], rank[known]
+    theirs = table.ranks[at]
+    off = np.abs(theirs - rank[:, None])
+    np.minimum(off, PROFILE, out=off)
+    off[theirs == PROFILE] = PROFILE
+    inside = np.bincount(unit, minlength=units)
+    for x in range(off.shape[1]):
+        out[:, x] = np.bincount(unit, weights=off[:, x], minlength=units)
+    return out / PROFILE + (size - inside)[:, None], size
 
 
 def _agreeing(table):
@@ -221,7 +292,7 @@ def _agreeing(table):
             texts = batch.column("text").to_pylist()
             unit, key, n, _ = ngrams(texts)
             dist, _ = distances(table, unit, key, n, len(texts))
-            near = np.array(table[0], dtype=object)[dist.argmin(1)]
+            near = np.array(table.langs, dtype=object)[dist.argmin(1)]
             keep = [i for i, x in enumerate(batch.column("lang").to_pylist()) if near[i] == x]
             yield batch.take(pa.array(keep, pa.int64()))
 
@@ -243,7 +314,7 @@ def smooth(cost: np.ndarray, change: float = SWITCH) -> np.ndarray:
 
 
 def _segments(table, change: float):
-    langs = table[0]
+    langs = table.langs
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for big in batches:
@@ -293,18 +364,19 @@ def segments(docs: DataFrame, profiles: dict[str, list[int]], key: str = "doc_id
 
     Every sentence is compared with every profile by out-of-place distance; the cheapest path through a document's
     sentences, where a change of language costs ``change``, gives the runs. ``confidence`` is how much farther the
-    second language is, as a share of its distance. Passages in “ ” are not looked at, unless
-    they are most of the text. Null and empty texts and texts without letters give no row; repeated
+    second language is, as a share of its distance. A title or a sentence in “ ” is not looked at, unless such passages
+    are most of the text; one of several sentences is. Null and empty texts and texts without letters give no row; repeated
     rows come out repeated; ties go to the first code. Each row is handled by itself: nothing is shuffled.
     """
-    rows = docs.select(F.col(key).cast("bigint").alias("key"), F.col(text).alias("text")).filter("text is not null")
+    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).filter("text is not null")
     if not profiles:
-        return rows.select(F.col("key").alias(key), *[F.lit(None).cast(k).alias(c) for c, k in _SHAPE[1:]]).limit(0)
-    out = spread(rows, "key").mapInArrow(_segments(_table(profiles), change), ", ".join(f"{c} {k}" for c, k in _SHAPE))
+        return rows.select(F.col("key").alias(key), *[F.lit(None).cast(k).alias(c) for c, k in _SHAPE]).limit(0)
+    shape = (("key", dict(rows.dtypes)["key"]), *_SHAPE)
+    out = spread(rows, "key").mapInArrow(_segments(Table(profiles), change), ", ".join(f"{c} {k}" for c, k in shape))
     return out.withColumnRenamed("key", key)
 
 
-_SHAPE = (("key", "bigint"), ("char_start", "int"), ("char_end", "int"), ("lang", "string"), ("confidence", "double"), ("sentences", "int"), ("letters", "int"))
+_SHAPE = (("char_start", "int"), ("char_end", "int"), ("lang", "string"), ("confidence", "double"), ("sentences", "int"), ("letters", "int"))
 
 
 def languages(found: DataFrame, key: str = "doc_id", least: int = 2) -> DataFrame:

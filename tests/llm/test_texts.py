@@ -140,3 +140,23 @@ def test_whole_results_are_queries(spark):
     whole = {(r.paper_id, r.field_index): r.label for r in got["p3_consensus"]}
     assert len(whole) > len(got["p3_found"]) and all(whole[r.paper_id, r.field_index] == r.label for r in got["p3_found"])
     assert {"p6_survivors", "p8_leaks"} <= set(QUERIES)
+
+
+def test_quotations_count_by_their_sentences_not_their_length(spark):
+    de, en = "Der Hund lief durch den Garten und bellte laut", "The dog ran through the garden and barked very loud today"
+    docs = [(f"d{i}", x * 20, "de") for i, x in enumerate([de + ". "] * 5)] + [(f"e{i}", x * 20, "en") for i, x in enumerate([en + ". "] * 5)]
+    spark_docs = spark.createDataFrame(docs, "doc_id string, text string, lang string")
+    profiles = language.fit_profiles(spark_docs)
+    rows = []
+    for n in (2, 5, 6, 7, 30):  # below and above 300 characters
+        rows.append((f"title {n}", f"{(en + '. ') * n}He calls it “{(de + ', ') * n}und mehr” and went on. {en}.", None))  # most of the text is not quoted
+        rows.append((f"text {n}", f"{en}. {en}. “{(de + '. ') * n}{de}.” {en}. {en}.", None))
+    got = {}
+    for r in language.segments(spark.createDataFrame(rows, spark_docs.schema), profiles).collect():
+        got.setdefault(r.doc_id, set()).add(r.lang)
+    assert got == {k: {"en"} if k.startswith("title") else {"de", "en"} for k, _, _ in rows}
+
+
+def test_ngrams_of_many_different_letters():
+    texts = ["ab ab", "", "字母 " + "".join(map(chr, range(0x4E00, 0x4F00)))]
+    assert all((a == b).all() for a, b in zip(language.ngrams(texts), language._halves(texts), strict=True))
