@@ -89,6 +89,9 @@ def test_leaks(spark):
     ev = spark.createDataFrame([(i, " ".join(w)) for i, w in items.items()] + [(90, None), (91, "")], "item_id bigint, passage string")
     got = sorted((r.doc_id, r.item_id) for r in leakage.find_leaks(df, ev).collect())
     assert got == [(1, 1), (2, 2), (3, 3), (4, 4), (7, 7)]
+    texts = df.selectExpr("concat('d', doc_id) as doc_id", "text"), ev.selectExpr("concat('i', item_id) as item_id", "passage")
+    for least in (True, False):
+        assert sorted((r.doc_id, r.item_id) for r in leakage.find_leaks(*texts, least=least).collect()) == [(f"d{d}", f"i{i}") for d, i in got]
     assert leakage.find_leaks(df.limit(0), ev).count() == 0 and leakage.find_leaks(df, ev.limit(0)).count() == 0
 
 
