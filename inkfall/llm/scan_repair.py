@@ -10,10 +10,11 @@ from functools import lru_cache
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
-from inkfall.checkpoints import cut
+from inkfall.checkpoints import cut, release
 from inkfall.partitioning import spread
 
 # What a scan makes of characters: "read as" then "meant", by space-separated pairs.
@@ -24,8 +25,14 @@ HYPHENS = "-‐‑¬­"
 SUSPENDED = "and or und oder bzw et ou y o e ed und/oder and/or to but nor"
 #: Text lines from the top or the bottom of a page that can be furniture.
 EDGE = 3
-#: Words of a vocabulary shard, each of which gets a trie of its own.
+#: Words of a vocabulary shard, which gets a trie of its own; asked words of a block; prefixes that tell words their shards.
 SHARD = 50_000
+BLOCK = 2_000
+PREFIXES = 200_000
+#: Cost of an edit that is no known misreading, in misreadings.
+OTHER = 3
+#: Rows up to which a table goes to all tasks.
+SMALL = 500_000
 #: A word is taken for a misreading of one this many times as frequent, if it is known elsewhere only by its context.
 RATIO = 20
 
@@ -48,12 +55,21 @@ def _digit_map() -> dict[str, str]:
 
 
 def number_reading(word: str) -> str | None:
-    """The number that a word was, if it has a digit and else only signs that digits are misread as."""
+    """The number that a word was, if it has a digit and else only signs that digits are misread as.
+
+    The automaton of misread digits, stepped along the endless trie of all numbers: digits, and single signs between digits.
+    """
     m = _digit_map()
     if not any(c.isdigit() for c in word) or word.replace(".", "").replace(",", "").isdigit():
         return None
-    out = "".join(m.get(c, c) for c in word)
-    return out if re.fullmatch(r"\d+(?:[.,:/–-]\d+)*", out) else None
+    out, after_digit = [], False
+    for c in word:
+        meant = c if c.isdigit() else m.get(c)
+        if meant is None and not (after_digit and c in ".,:/–-"):
+            return None
+        out.append(meant or c)
+        after_digit = meant is not None
+    return "".join(out) if after_digit else None
 
 
 def fold_line(line: str) -> str:
@@ -132,20 +148,22 @@ def furniture(pages: DataFrame) -> DataFrame:
     lines = cut(spread(pages, "page_id").mapInArrow(_lines, _LINE))
     edge = (F.col("from_top") < EDGE) | (F.col("from_bottom") < EDGE)
     stats = lines.groupBy("key").agg(F.count(F.when(edge & (F.col("shape") > 0), 1)).alias("n_edge"), F.count(F.when(~edge, 1)).alias("n_inside"))
-    near = lines.filter(edge & (F.col("shape") > 0))
+    # Page numbers are known by their form; they would all meet under one key.
+    near = lines.filter(edge & (F.col("shape") > 1))
     own = near.groupBy("paper_id", "key").agg(F.count("*").alias("n_paper"))
     marked = near.join(stats, "key").join(own, ["paper_id", "key"])
     rare_inside = F.col("n_inside") * 10 <= F.col("n_edge")
     repeated = (F.col("n_paper") >= 2) | (F.col("n_edge") >= 3)
     often = (F.col("n_inside") * 20 <= F.col("n_edge")) & ((F.col("n_edge") >= 10) | (F.col("n_paper") >= 2) & (F.col("n_edge") >= 3))
     kind = (
-        F.when(F.col("shape") == 1, 2)
-        .when(F.col("shape") == 3, F.when(often, 2).otherwise(0))
+        F.when(F.col("shape") == 3, F.when(often, 2).otherwise(0))
         .when(rare_inside & repeated, 2)
         .when(rare_inside & (F.col("shape") == 2), 1)
         .otherwise(0)
     )
-    rows = marked.select("page_id", F.struct("from_top", "from_bottom", "line_no", kind.alias("kind")).alias("r"))
+    numbers = lines.filter(edge & (F.col("shape") == 1)).select("page_id", "from_top", "from_bottom", "line_no", F.lit(2).alias("kind"))
+    rows = marked.select("page_id", "from_top", "from_bottom", "line_no", kind.alias("kind")).unionByName(numbers)
+    rows = rows.select("page_id", F.struct("from_top", "from_bottom", "line_no", "kind").alias("r"))
     page = rows.groupBy("page_id").agg(F.collect_list("r").alias("rs"))
 
     def chain(place: str) -> Column:
@@ -166,7 +184,9 @@ def furniture(pages: DataFrame) -> DataFrame:
         return F.array_compact(F.array(*out))
 
     both = F.array_union(chain("from_top"), chain("from_bottom"))
-    return page.select("page_id", F.explode(both).alias("line_no"))
+    out = cut(page.select("page_id", F.explode(both).alias("line_no")))
+    release(lines)
+    return out
 
 
 def _body(text: str, dropped: set[int]) -> list[tuple[int, str]]:
@@ -187,22 +207,28 @@ def _first_word(line: str) -> str:
 
 def _heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        first, open_ = [], []
+        first, at, open_ = [], [], []
         for text, dropped in zip(batch.column("text").to_pylist(), batch.column("dropped").to_pylist(), strict=True):
             body = _body(text, set(dropped or ()))
             first.append(_first_word(body[0][1]) if body else None)
+            at.append(body[0][0] if body else None)
             open_.append(bool(body and _ends_broken(body[-1][1])))
-        columns = [batch.column("paper_id"), batch.column("page_index"), pa.array(first, pa.string()), pa.array(open_, pa.bool_())]
-        yield pa.RecordBatch.from_arrays(columns, ["paper_id", "page_index", "head", "open"])
+        columns = [*(batch.column(c) for c in ("page_id", "paper_id", "page_index")), pa.array(first, pa.string()), pa.array(at, pa.int32()), pa.array(open_, pa.bool_())]
+        yield pa.RecordBatch.from_arrays(columns, ["page_id", "paper_id", "page_index", "head", "head_line", "open"])
 
 
-_WORDS = "page_id bigint, line_no int, pos int, word string, before string, after string, head string, tail string, cut_at int"
+_HEADS = "page_id bigint, paper_id string, page_index int, head string, head_line int, open boolean"
+_WORDS = "page_id bigint, line_no int, pos int, word string, before string, after string, head string, tail string, next_line int, next_word string, beyond string"
 
 
-def _page_words(text: str, dropped: set[int], overleaf: str | None, taken: bool) -> list[tuple]:
-    """Line, place, word, and for a word broken at the line's end its two parts; words in reading order."""
+def _page_words(text: str, dropped: set[int], overleaf: str | None, taken: bool) -> tuple[list[tuple], dict[int, tuple[int, str]]]:
+    """Line, place, word, and for a word broken at the line's end its two parts; words in reading order.
+
+    And of each line that ends with letters the next line (0 overleaf) and its first word, if that may go on with the last one.
+    """
     body = _body(text, dropped)
     out: list[list] = []
+    loose: dict[int, tuple[int, str]] = {}
     skip_first = taken
     for k, (n, line) in enumerate(body):
         tokens = line.split()
@@ -220,10 +246,12 @@ def _page_words(text: str, dropped: set[int], overleaf: str | None, taken: bool)
             w = _inner(t)
             if w:
                 out.append([n, pos, w, None, None])
+                if pos == len(tokens) - 1 and follow and t[-1].isalpha() and (follow[0].islower() or follow[0] in "¢!|"):
+                    loose[n] = (body[k + 1][0] if k + 1 < len(body) else 0, tail)
         skip_first = joins
         if k + 1 == len(body):
             break
-    return [tuple(x) for x in out]
+    return [tuple(x) for x in out], loose
 
 
 _SUSPENDED = frozenset(SUSPENDED.split())
@@ -240,14 +268,17 @@ def _all_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
         cols = (batch.column(c).to_pylist() for c in ("page_id", "text", "dropped", "overleaf", "taken"))
         for pid, text, dropped, overleaf, taken in zip(*cols, strict=True):
-            words = _page_words(text, set(dropped or ()), overleaf, taken)
+            words, loose = _page_words(text, set(dropped or ()), overleaf, taken)
+            last = {n: k for k, (n, *_) in enumerate(words)}
             names = [w if w is not None else h + t for _, _, w, h, t in words]
             for k, (n, pos, w, h, t) in enumerate(words):  # a page's first word that another page's last goes on with is counted there
                 before = _plain(names[k - 1]) if k else ""
                 after = _plain(names[k + 1]) if k + 1 < len(names) else ""
-                rows.append((pid, n, pos, w, before, after, h, t, len(h) if h is not None else None))
-        data = list(zip(*rows, strict=True)) if rows else [[] for _ in range(9)]
-        kinds = [pa.int64(), pa.int32(), pa.int32(), *[pa.string()] * 5, pa.int32()]
+                line, follow = loose.get(n, (None, None)) if last[n] == k and w is not None else (None, None)
+                beyond = _plain(names[k + 2]) if line is not None and k + 2 < len(names) else ""
+                rows.append((pid, n, pos, w, before, after, h, t, line, follow or None, beyond))
+        data = list(zip(*rows, strict=True)) if rows else [[] for _ in range(11)]
+        kinds = [pa.int64(), pa.int32(), pa.int32(), *[pa.string()] * 5, pa.int32(), pa.string(), pa.string()]
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(data, kinds, strict=True)], [x.split()[0] for x in _WORDS.split(", ")])
 
 
@@ -298,28 +329,33 @@ class Automata:
 
 
 class Trie:
-    def __init__(self, words: list[str]):
+    """Words with their counts, letter by letter; ``""`` leads from a word's last letter to the word and its count."""
+
+    def __init__(self, words: list[tuple[str, int]]):
         self.root: dict = {}
-        for w in words:
+        for w, n in words:
             node = self.root
             for c in w:
                 node = node.setdefault(c, {})
-            node[""] = w
+            node[""] = (w, n)
 
-    def near(self, pattern: str, auto: Automata) -> list[str]:
-        """All words within the automata's distance of ``pattern``."""
+    def near(self, pattern: str, auto: Automata, ends: str = "") -> list[tuple]:
+        """All words within the automata's distance of ``pattern``, with their counts and distances; what is under ``ends``."""
         k, m = auto.k, len(pattern)
         masks: dict[str, int] = {}
         for i, c in enumerate(pattern):
             masks[c] = masks.get(c, 0) | 1 << (i + k)
         window = (1 << (2 * k + 1)) - 1
-        out: list[str] = []
+        out: list[tuple] = []
         stack = [(self.root, auto.start, 0)]
         while stack:
             node, state, depth = stack.pop()
-            at = m - depth + k
-            if "" in node and 0 <= at <= 2 * k and state[at] <= k:
-                out.append(node[""])
+            if "" in node:
+                at = m - depth + k
+                if ends:  # a prefix: words under it may still be near
+                    out.append((*node[""], 0))
+                elif 0 <= at <= 2 * k and state[at] <= k:
+                    out.append((*node[""], state[at]))
             for c, child in node.items():
                 if c:
                     nxt = auto.step(state, masks.get(c, 0) >> depth & window)
@@ -327,66 +363,143 @@ class Trie:
                         stack.append((child, nxt, depth + 1))
         return out
 
+    def readings(self, pattern: str, ends: str = "") -> dict[str, tuple[int, int]]:
+        """All words that misreadings alone turn into ``pattern``, however many: the count of each and the fewest misreadings.
+
+        The automaton of misreadings steps from a place in ``pattern`` by a letter as it is, or over what a scan reads to what it meant.
+        """
+        out: dict[str, tuple[int, int]] = {}
+        stack = [(self.root, 0, 0)]
+        best: dict[tuple[int, int], int] = {}
+        while stack:
+            node, i, n = stack.pop()
+            key = (id(node), i)
+            if best.get(key, n + 1) <= n:
+                continue
+            best[key] = n
+            if "" in node and (ends or i == len(pattern)):
+                w, count = node[""]
+                if w not in out or out[w][1] > n:
+                    out[w] = (count, n)
+            if i == len(pattern):
+                continue
+            if pattern[i] in node:
+                stack.append((node[pattern[i]], i + 1, n))
+            for read, meant in _by_letter().get(pattern[i], ()):
+                if pattern.startswith(read, i):
+                    at: dict | None = node
+                    for c in meant:
+                        at = at.get(c)
+                        if at is None:
+                            break
+                        if ends and "" in at:
+                            out.setdefault(at[""][0], (at[""][1], n + 1))
+                    if at is not None:
+                        stack.append((at, i + len(read), n + 1))
+        return out
+
 
 @lru_cache(1)
-def _pairs() -> list[tuple[str, str]]:
-    return [(a.lower(), b) for a, b in (x.split(":") for x in MISREAD.split())] + [("!", "l")]
-
-
-def explained(word: str, meant: str, most: int = 3) -> int | None:
-    """How many misreadings turn ``meant`` into ``word`` (both in lower case), if at most ``most`` do and nothing else differs."""
-    pairs = _pairs()
-    best: dict[tuple[int, int], int] = {(0, 0): 0}
-    done = None
-    stack = [(0, 0)]
-    while stack:
-        i, j = stack.pop()
-        n = best[i, j]
-        while i < len(word) and j < len(meant) and word[i] == meant[j]:
-            for a, b in pairs:
-                if n < most and word.startswith(a, i) and meant.startswith(b, j) and best.get((i + len(a), j + len(b)), 9) > n + 1:
-                    best[i + len(a), j + len(b)] = n + 1
-                    stack.append((i + len(a), j + len(b)))
-            i, j = i + 1, j + 1
-        if i == len(word) and j == len(meant):
-            done = n if done is None else min(done, n)
-            continue
-        if n >= most:
-            continue
-        for a, b in pairs:
-            if word.startswith(a, i) and meant.startswith(b, j) and best.get((i + len(a), j + len(b)), 9) > n + 1:
-                best[i + len(a), j + len(b)] = n + 1
-                stack.append((i + len(a), j + len(b)))
-    return done
+def _by_letter() -> dict[str, list[tuple[str, str]]]:
+    out: dict[str, list[tuple[str, str]]] = {}
+    for x in MISREAD.split():
+        read, meant = x.split(":")
+        out.setdefault(read[0].lower(), []).append((read.lower(), meant))
+    out.setdefault("!", []).append(("!", "l"))
+    return out
+
+
+def explained(word: str, meant: str) -> int | None:
+    """How many misreadings turn ``meant`` into ``word`` (both in lower case), if nothing else differs."""
+    got = Trie([(meant, 1)]).readings(word)
+    return got[meant][1] if got else None
 
 
 def _retrieve(words: pd.DataFrame, vocabulary: pd.DataFrame) -> pd.DataFrame:
-    """Of every asked word the vocabulary words it may have been: complete within two edits, then by misreadings alone."""
-    trie = Trie(vocabulary["w"].tolist())
-    near = {1: Automata(1), 2: Automata(2)}
-    out: list[tuple[str, str, int]] = []
-    for w in words["w"].tolist():
-        forms = {w}
-        for a, b in (("rn", "m"), ("cl", "d"), ("vv", "w"), ("li", "h")):
-            forms |= {f.replace(a, b) for f in list(forms) if a in f} | {f[:i] + b + f[i + len(a) :] for f in list(forms) for i in range(len(f)) if f.startswith(a, i)}
-        found: set[str] = set()
-        for f in forms:
-            found.update(trie.near(f, near[2 if len(f) > 4 else 1]))
-        for c in found:
-            if c != w and (n := explained(w, c)):
-                out.append((w, c, n))
-    return pd.DataFrame(out, columns=["w", "meant", "errors"])
-
-
-def candidates(asked: DataFrame, vocabulary: DataFrame, blocks: int | None = None) -> DataFrame:
-    """``w``, ``meant``, ``errors``: each asked word against every shard of the vocabulary, in blocks."""
-    spark = asked.sparkSession
-    blocks = blocks or max(1, spark.sparkContext.defaultParallelism * 2)
-    shards = max(1, -(-vocabulary.count() // SHARD))
-    a = asked.select("w", F.pmod(F.xxhash64("w"), F.lit(blocks)).alias("block"), F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"))
-    v = vocabulary.select("w", F.pmod(F.hash("w"), F.lit(shards)).alias("shard"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
-    v = v.withColumn("block", F.col("block").cast("bigint"))
-    return a.groupBy("shard", "block").cogroup(v.groupBy("shard", "block")).applyInPandas(_retrieve, "w string, meant string, errors int")
+    """Of every asked word the commoner vocabulary words it may have been.
+
+    Complete in both ways: by misreadings alone, however many, and, of words that clean pages do not have, within two edits
+    of any kind. ``errors`` is the cost of the reading: 1 for a misreading, OTHER for any other edit.
+    """
+    trie = Trie(list(zip(vocabulary["w"].tolist(), vocabulary["n"].tolist(), strict=True)))
+    two = Automata(2)
+    out: list[tuple[str, str, int, bool]] = []
+    for w, n, fresh in zip(words["w"].tolist(), words["n"].tolist(), words["fresh"].tolist(), strict=True):
+        found = {c: (e, True) for c, (count, e) in trie.readings(w).items() if count > 2 * n}
+        if fresh:
+            for c, count, d in trie.near(w, two):
+                if count > 2 * n and c not in found:
+                    found[c] = (OTHER * d, False)
+        found.pop(w, None)
+        out += [(w, c, e, x) for c, (e, x) in found.items()]
+    return pd.DataFrame(out, columns=["w", "meant", "errors", "explained"])
+
+
+def _routes(prefixes: list[tuple[str, int]]):
+    """mapInArrow function: the shards in which an asked word may have readings: where the automata are alive at a prefix's end."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trie, two = Trie(prefixes), Automata(2)
+        for batch in batches:
+            row, shard = [], []
+            for k, (w, fresh) in enumerate(zip(batch.column("w").to_pylist(), batch.column("fresh").to_pylist(), strict=True)):
+                at = {n for n, _ in trie.readings(w, "prefix").values()}
+                if fresh:
+                    at |= {n for _, n, _ in trie.near(w, two, "prefix")}
+                row += [k] * len(at)
+                shard += at
+            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(pa.array(row, pa.int64())) for c in ("w", "n", "fresh")), pa.array(shard, pa.int32())], ["w", "n", "fresh", "shard"])
+
+    return run
+
+
+def shards_of(vocabulary: DataFrame, size: int) -> list[tuple[str, int]]:
+    """Prefixes of the vocabulary in order, each with its shard; a shard has about ``size`` words, or one prefix.
+
+    Prefixes are so long that no shard is much larger than ``size``, as long as there are at most PREFIXES of them.
+    """
+    if vocabulary.count() <= size:
+        return [("", 0)]
+    length, rows = 0, []
+    while True:
+        length += 1
+        counts = vocabulary.groupBy(F.substring("w", 1, length).alias("p")).agg(F.count("*").alias("n"))
+        n, most = counts.agg(F.count("*"), F.max("n")).first()
+        if n > PREFIXES and rows:
+            break
+        rows = sorted(tuple(r) for r in counts.collect()) if n <= PREFIXES else rows
+        if most <= size or n == vocabulary.count():
+            break
+    out, shard, filled = [], 0, 0
+    for p, n in rows:
+        if filled and filled + n > size:
+            shard, filled = shard + 1, 0
+        filled += n
+        out.append((p, shard))
+    return out
+
+
+def candidates(asked: DataFrame, vocabulary: DataFrame, size: int | None = None, block: int | None = None) -> DataFrame:
+    """``w``, ``meant``, ``errors``, ``explained`` of the asked words (w, n, fresh) among those of the vocabulary (w, n).
+
+    The vocabulary lies in shards by prefix; a word goes only where an automaton is still alive after the prefix. The words
+    of a shard are asked in blocks, as many as they fill, so the shard's trie is built once for a block.
+    """
+    prefixes = shards_of(vocabulary, size or SHARD)
+    block = block or BLOCK
+    if len(prefixes) == 1:
+        routed, placed = asked.withColumn("shard", F.lit(0)), vocabulary.withColumn("shard", F.lit(0))
+    else:
+        routed = cut(asked.mapInArrow(_routes(prefixes), "w string, n bigint, fresh boolean, shard int"))
+        names = F.broadcast(asked.sparkSession.createDataFrame(prefixes, "p string, shard int"))
+        length = max(len(p) for p, _ in prefixes)
+        placed = vocabulary.withColumn("p", F.substring("w", 1, length)).join(names, "p").drop("p")
+    blocks = F.ceil(F.col("asked") / block).cast("int")
+    sizes = cut(routed.groupBy("shard").agg(F.count("*").alias("asked")).select("shard", blocks.alias("blocks")))
+    sizes = F.broadcast(sizes)  # one row per shard
+    a = routed.join(sizes, "shard").select("w", "n", "fresh", "shard", F.pmod(F.xxhash64("w"), F.col("blocks")).cast("int").alias("block"))
+    v = placed.join(sizes, "shard").select("w", "n", "shard", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+    return a.groupBy("shard", "block").cogroup(v.groupBy("shard", "block")).applyInPandas(_retrieve, "w string, meant string, errors int, explained boolean")
 
 
 class Known:
@@ -417,29 +530,29 @@ def examine(pages: DataFrame, clean: DataFrame) -> Repair:
     """Find furniture, broken words and misreadings on ``pages`` (page_id, paper_id, page_index, text) of scans.
 
     ``clean`` (text) are pages that were not scanned; with the scanned ones they give the vocabulary and the
-    neighbour counts. A broken word goes on in the next text line that is not furniture, or on the next of the
-    following three pages that has one; it keeps its hyphen if that form is the commoner one. For every distinct word all
-    vocabulary words within two edits are retrieved (Levenshtein automata over a trie); those that differ by
-    misreadings alone are ranked by frequency and by their neighbours in the text. Words of the clean pages are changed only
+    neighbour counts. A broken word goes on in the next text line that is not furniture, or on the next page of the paper that has
+    one; it keeps its hyphen if that form is the commoner one. It may have lost its hyphen: then its parts are put together if
+    that is a known word and one of them is none. For every distinct word the commoner vocabulary words are retrieved by
+    automata over tries of it: all that misreadings alone turn into it and, if clean pages don't have it, all within two
+    edits. They are ranked by frequency, by their neighbours in the text and by the cost of the edits, where one that is no
+    known misreading costs more, and is taken on the word of both neighbours only, in a word of four letters an edit. Words of the clean pages are changed only
     where their neighbours speak strongly for the other word. Null and empty pages have nothing to repair; repeated page rows count once.
     """
     pages = pages.filter("text is not null and page_id is not null").dropDuplicates(["page_id"]).select("page_id", "paper_id", "page_index", "text")
-    dropped = cut(furniture(pages))
+    dropped = furniture(pages)
     lists = dropped.groupBy("page_id").agg(F.collect_list("line_no").alias("dropped"))
     with_lists = pages.join(lists, "page_id", "left")
-    heads = cut(spread(with_lists.select("paper_id", "page_index", "text", "dropped")).mapInArrow(_heads, "paper_id string, page_index int, head string, open boolean").filter("head is not null"))
-    heads = heads.groupBy("paper_id", "page_index").agg(F.min("head").alias("head"), F.max("open").alias("open"))
-    ready = with_lists
-    for ahead in (1, 2, 3):
-        h = heads.select("paper_id", (F.col("page_index") - ahead).alias("page_index"), F.col("head").alias(f"h{ahead}"))
-        b = heads.select("paper_id", (F.col("page_index") + ahead).alias("page_index"), F.col("open").alias(f"o{ahead}"))
-        ready = ready.join(h, ["paper_id", "page_index"], "left").join(b, ["paper_id", "page_index"], "left")
-    own = heads.select("paper_id", "page_index", "head")
-    ready = ready.join(own, ["paper_id", "page_index"], "left")
-    suspended = F.lower(F.regexp_replace("head", r"[^\p{L}/]", "")).isin(*_SUSPENDED)
-    goes_on = F.coalesce(F.coalesce("o1", "o2", "o3") & F.col("head").rlike(r"^[\p{L}\p{N}!¢|]") & ~suspended, F.lit(False))
-    ready = ready.select("page_id", "text", "dropped", F.coalesce("h1", "h2", "h3").alias("overleaf"), goes_on.alias("taken"))
-    words = cut(ready.mapInArrow(_all_words, _WORDS))
+    heads = spread(with_lists.select("page_id", "paper_id", "page_index", "text", "dropped")).mapInArrow(_heads, _HEADS).filter("head is not null")
+    heads = heads.groupBy("paper_id", "page_index").agg(F.min(F.struct("head", "page_id", "head_line")).alias("h"), F.max("open").alias("open"))
+    heads = cut(heads.select("paper_id", "page_index", "h.*", "open"))
+    around = _neighbours(heads)
+    around = around.withColumn("own", F.col("head")).drop("head", "head_line")
+    ready = with_lists.join(around.drop("page_id"), ["paper_id", "page_index"], "left")
+    suspended = F.lower(F.regexp_replace("own", r"[^\p{L}/]", "")).isin(*_SUSPENDED)
+    goes_on = F.coalesce(F.col("opened") & F.col("own").rlike(r"^[\p{L}\p{N}!¢|]") & ~suspended, F.lit(False))
+    ready = cut(ready.select("page_id", "text", "dropped", F.col("overleaf"), goes_on.alias("taken"), "next_page", "next_head_line"))
+    release(heads)
+    words = cut(ready.select("page_id", "text", "dropped", "overleaf", "taken").mapInArrow(_all_words, _WORDS))
 
     # Vocabulary: surface forms of clean pages and of whole words on scanned ones.
     counted = spread(clean.filter("text is not null").select("text")).mapInArrow(_counts, "w string, n bigint").groupBy("w").agg(F.sum("n").alias("n"))
@@ -457,13 +570,73 @@ def examine(pages: DataFrame, clean: DataFrame) -> Repair:
     )
 
     known = Known(vocabulary)
+    words, over = _unmarked(words, known, ready.select("page_id", "next_page", "next_head_line"))
     broken = _whole(words, known)
     every = _every(words, broken)
     known.neighbours = counted.filter(is_pair).select("w", "n").unionByName(
         every.filter("after <> ''").groupBy(F.concat(F.lower("word"), F.lit("\t"), F.col("after")).alias("w")).agg(F.count("*").alias("n"))
     ).groupBy("w").agg(F.sum("n").alias("n"))
     readings = _readings(every, known)
-    return Repair(dropped, _breaks(broken, readings), readings, ready, known)
+    going = over.select("page_id", F.lit(True).alias("goes_on"))
+    ready = ready.join(_small(going), "page_id", "left").withColumn("taken", F.col("taken") | F.coalesce("goes_on", F.lit(False)))
+    return Repair(dropped, _breaks(broken, readings), readings, ready.select("page_id", "text", "dropped", "overleaf", "taken"), known)
+
+
+def _small(df: DataFrame) -> DataFrame:
+    """To all tasks, if it is small; ``df`` is one that was cut."""
+    return F.broadcast(df) if df.count() <= SMALL else df
+
+
+def _neighbours(heads: DataFrame, run: int = 1000) -> DataFrame:
+    """Of every page with text the first word of the next one in its paper (``overleaf``, ``next_page``, ``next_head_line``) and whether the one before ends ``opened``.
+
+    However many pages without text lie between. A paper's pages go in runs of ``run`` indexes, so a long paper is no single task.
+    """
+    part = heads.withColumn("run", F.floor(F.col("page_index") / run))
+    first = F.struct("head", "page_id", "head_line")
+    in_run = Window.partitionBy("paper_id", "run").orderBy("page_index")
+    part = part.withColumn("ahead", F.lead(first).over(in_run)).withColumn("behind", F.lag("open").over(in_run))
+    ends = part.groupBy("paper_id", "run").agg(F.min_by(first, "page_index").alias("first"), F.max_by("open", "page_index").alias("last"))
+    runs = Window.partitionBy("paper_id").orderBy("run")
+    ends = ends.select("paper_id", "run", F.lead("first").over(runs).alias("then"), F.lag("last").over(runs).alias("past"))
+    part = part.join(ends, ["paper_id", "run"])
+    ahead = F.coalesce("ahead", "then")
+    return part.select(
+        "paper_id", "page_index", "page_id", "head", "head_line", ahead["head"].alias("overleaf"), ahead["page_id"].alias("next_page"),
+        ahead["head_line"].alias("next_head_line"), F.coalesce("behind", "past", F.lit(False)).alias("opened"),
+    )
+
+
+def _unmarked(words: DataFrame, known: Known, pages: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """Words broken at a line's end without any hyphen: ``words`` with them as broken ones, and the pages that begin with a second part.
+
+    They are told by the vocabulary: the two parts together are a word of the clean pages or of several places, and one
+    of them by itself is no word of the clean pages.
+    """
+    n = (F.col("clean") + F.col("scan")).alias("n")
+    maybe = words.filter("next_word is not null").select("page_id", "line_no", "pos", "next_line", F.lower("word").alias("head_w"), F.lower("next_word").alias("tail_w"), F.lower(F.concat("word", "next_word")).alias("w"))
+    maybe = maybe.join(known.vocabulary.select("w", F.col("clean").alias("whole"), n), "w").filter("whole > 0 or n > 1")
+    counts = known.vocabulary.filter("clean > 0").select("w", "clean")
+    maybe = maybe.join(counts.select(F.col("w").alias("head_w"), F.col("clean").alias("n_head")), "head_w", "left")
+    maybe = maybe.join(counts.select(F.col("w").alias("tail_w"), F.col("clean").alias("n_tail")), "tail_w", "left")
+    sure = cut(maybe.filter("n_head is null or n_tail is null").select("page_id", "line_no", "pos", "next_line"))
+    marks = _small(sure.select("page_id", "line_no", "pos", F.lit(True).alias("joins")))
+    over = sure.filter("next_line = 0").select("page_id")
+    gone = sure.filter("next_line > 0").select("page_id", F.col("next_line").alias("line_no"))
+    if pages is None:
+        over = over.limit(0)
+    else:
+        over = pages.join(_small(over), "page_id").select(F.col("next_page").alias("page_id"), F.col("next_head_line").alias("line_no"))
+        gone = gone.unionByName(over)
+    gone = gone.select("page_id", "line_no", F.lit(0).alias("pos"), F.lit(True).alias("gone"))
+    place = ["page_id", "line_no", "pos"]
+    rows = words.join(marks, place, "left").join(_small(gone), place, "left").filter("gone is null")
+    joins = F.col("joins").isNotNull()
+    changed = {
+        "head": F.when(joins, F.col("word")).otherwise(F.col("head")), "tail": F.when(joins, F.col("next_word")).otherwise(F.col("tail")),
+        "after": F.when(joins, F.col("beyond")).otherwise(F.col("after")), "word": F.when(~joins, F.col("word")),
+    }
+    return rows.select(*place, *[c.alias(k) for k, c in changed.items()], "before"), over
 
 
 def _whole(words: DataFrame, known: Known) -> DataFrame:
@@ -489,18 +662,18 @@ def _every(words: DataFrame, broken: DataFrame) -> DataFrame:
 def _readings(every: DataFrame, known: Known) -> DataFrame:
     """Misreadings: candidates for every distinct word that was not asked before, ranked at each place."""
     vocabulary, neighbours = known.vocabulary, known.neighbours
-    asked = every.select(F.lower("word").alias("w")).distinct().filter((F.length("w") >= 2) & (F.length("w") <= 64) & ~F.col("w").rlike(r"^[\d.,:/-]+$"))
+    asked = every.select(F.lower("word").alias("w")).distinct().filter(~F.col("w").rlike(r"^[\d.,:/-]+$"))
     if known.asked is not None:
         asked = asked.join(known.asked, "w", "left_anti")
-    good = vocabulary.filter("clean + scan >= 2 and length(w) >= 2").select("w")
-    near = candidates(asked, good)
-    meant = vocabulary.select(F.col("w").alias("meant"), (F.col("clean") + F.col("scan")).alias("n_meant"), "surface")
     mine = vocabulary.select("w", "clean", F.col("scan").alias("scan"))
-    pairs = near.join(meant, "meant").join(mine, "w", "left").fillna({"clean": 0, "scan": 0})
+    asked = asked.join(mine, "w", "left").fillna({"clean": 0, "scan": 0})
     # A reading must be clearly the commoner word.
-    pairs = cut(pairs.filter(F.col("n_meant") > 2 * (F.col("clean") + F.col("scan"))))
+    asked = cut(asked.select("w", (F.col("clean") + F.col("scan")).alias("n"), (F.col("clean") == 0).alias("fresh"), "clean", "scan"))
+    near = candidates(asked.select("w", "n", "fresh"), vocabulary.select("w", (F.col("clean") + F.col("scan")).alias("n")))
+    meant = vocabulary.select(F.col("w").alias("meant"), (F.col("clean") + F.col("scan")).alias("n_meant"), "surface")
+    pairs = cut(near.join(meant, "meant").join(asked.select("w", "clean", "scan"), "w"))
     if known.pairs is None:
-        known.asked, known.pairs = asked, pairs
+        known.asked, known.pairs = asked.select("w"), pairs
     else:
         pairs = pairs.unionByName(known.pairs)
 
@@ -509,23 +682,24 @@ def _readings(every: DataFrame, known: Known) -> DataFrame:
     # Counts of the pairs of the reading and of the word with its neighbours.
     asks = at.select("page_id", "line_no", "pos", "meant", F.explode(F.array(
         F.struct(F.lit(1).alias("side"), F.concat("before", tab, "meant").alias("w")),
-        F.struct(F.lit(1).alias("side"), F.concat("meant", tab, "after").alias("w")),
+        F.struct(F.lit(2).alias("side"), F.concat("meant", tab, "after").alias("w")),
         F.struct(F.lit(0).alias("side"), F.concat("before", tab, F.lower("word")).alias("w")),
         F.struct(F.lit(0).alias("side"), F.concat(F.lower("word"), tab, "after").alias("w")),
     )).alias("q")).select("page_id", "line_no", "pos", "meant", "q.*")
     told = asks.join(neighbours, "w", "left").groupBy("page_id", "line_no", "pos", "meant").agg(
-        F.sum(F.when(F.col("side") == 1, F.coalesce("n", F.lit(0)))).alias("for_it"), F.sum(F.when(F.col("side") == 0, F.coalesce("n", F.lit(0)))).alias("for_word")
+        F.sum(F.when(F.col("side") > 0, F.coalesce("n", F.lit(0)))).alias("for_it"), F.count_distinct(F.when(F.col("n") > 0, F.nullif("side", F.lit(0)))).alias("sides"), F.sum(F.when(F.col("side") == 0, F.coalesce("n", F.lit(0)))).alias("for_word")
     )
     judged = at.join(told, ["page_id", "line_no", "pos", "meant"])
     new = (F.col("clean") == 0) & ((F.col("n_meant") > 4 * F.col("scan")) | (F.col("for_it") > 0))
     strong = (F.col("for_it") >= 5) & (F.col("for_it") > RATIO * F.greatest(F.col("for_word") - 2, F.lit(0))) & (F.col("n_meant") > RATIO * F.col("clean"))
     score = F.log1p("n_meant") + 2 * F.log1p("for_it") - 3.0 * F.col("errors")
-    best = judged.filter(new | strong).groupBy("page_id", "line_no", "pos").agg(
+    told_by_all = (F.col("clean") == 0) & (F.col("sides") == 2) & (F.length("w") * OTHER >= 4 * F.col("errors")) & (F.col("for_it") > F.col("for_word")) & (F.col("n_meant") > RATIO * F.col("scan"))
+    best = judged.filter(F.when(F.col("explained"), new | strong).otherwise(told_by_all)).groupBy("page_id", "line_no", "pos").agg(
         F.max(F.struct(score.alias("s"), F.col("meant").alias("m"), F.col("surface").alias("surface"), F.col("word").alias("word"), F.col("head").alias("head"), F.col("tail").alias("tail"))).alias("b")
     ).select("page_id", "line_no", "pos", "b.*")
     fixed = best.select("page_id", "line_no", "pos", F.col("word").alias("raw"), _cased(F.col("word"), F.col("m"), F.col("surface")).alias("word"), "head", "tail")
     # Numbers by their form; a word that the clean pages have stays a word.
-    numbers = every.filter(F.col("word").rlike(r"\d") & F.col("word").rlike(_ODD)).withColumn("reading", _number_column(F.col("word"))).filter("reading is not null")
+    numbers = every.filter(F.col("word").rlike(r"\d") & F.col("word").rlike(_ODD)).withColumn("reading", _numbers(F.col("word"))).filter("reading is not null")
     numbers = numbers.withColumn("w", F.lower("word")).join(vocabulary.filter("clean > 0").select("w"), "w", "left_anti")
     numbers = numbers.select("page_id", "line_no", "pos", F.col("word").alias("raw"), F.col("reading").alias("word"), "head", "tail")
     return cut(fixed.join(numbers.select("page_id", "line_no", "pos"), ["page_id", "line_no", "pos"], "left_anti").unionByName(numbers))
@@ -539,10 +713,9 @@ def _breaks(broken: DataFrame, readings: DataFrame) -> DataFrame:
 _ODD = "[" + "".join(re.escape(x.split(":")[0]) for x in DIGITS.split()) + "]"
 
 
-def _number_column(word: Column) -> Column:
-    m = _digit_map()
-    out = F.translate(word, "".join(m), "".join(m.values()))
-    return F.when(out.rlike(r"^\d+(?:[.,:/–-]\d+)*$") & (out != word), out)
+@F.pandas_udf(StringType())
+def _numbers(x: pd.Series) -> pd.Series:
+    return x.map(number_reading)
 
 
 def found(repair: Repair) -> DataFrame:
@@ -683,6 +856,7 @@ def examine_texts(texts: DataFrame, known: Known) -> Repair:
     """Broken words and misreadings of ``texts`` (page_id, text, dropped, overleaf, taken) by what is ``known`` of words; they are not counted in it."""
     texts = cut(texts)
     words = cut(spread(texts).mapInArrow(_all_words, _WORDS))
+    words, _ = _unmarked(words, known, None)
     broken = _whole(words, known)
     readings = _readings(_every(words, broken), known)
     return Repair(None, _breaks(broken, readings), readings, texts, known)

@@ -111,12 +111,72 @@ def brute_full(a, b):
 
 def test_automata_find_all_near_words():
     rng = random.Random(3)
-    vocabulary = ["".join(rng.choice("abcd") for _ in range(rng.randrange(1, 9))) for _ in range(400)]
-    trie = scan_repair.Trie(vocabulary)
+    vocabulary = sorted({"".join(rng.choice("abcd") for _ in range(rng.randrange(1, 9))) for _ in range(400)})
+    trie = scan_repair.Trie([(w, 1) for w in vocabulary])
     for k in (1, 2):
         auto = scan_repair.Automata(k)
-        for w in vocabulary[:60]:
-            assert set(trie.near(w, auto)) == {v for v in vocabulary if brute_full(w, v) <= k}
+        for _ in range(60):
+            w = "".join(rng.choice("abcde") for _ in range(rng.randrange(1, 9)))
+            assert sorted((c, d) for c, _, d in trie.near(w, auto)) == sorted((c, d) for c in vocabulary if (d := distance(w, c)) <= k)
+
+
+def all_readings(word):
+    """Every text that misreadings turn into ``word``, with their least number, by trying them all."""
+    out = {("", 0): 0}
+    best = {}
+    for (text, i), n in iter_states(out, word):
+        if i == len(word):
+            best[text] = min(best.get(text, 99), n)
+    return best
+
+
+def iter_states(out, word):
+    stack = list(out.items())
+    while stack:
+        (text, i), n = stack.pop()
+        yield (text, i), n
+        if i < len(word):
+            stack.append(((text + word[i], i + 1), n))
+            for pairs in scan_repair._by_letter().values():
+                stack += [((text + b, i + len(a)), n + 1) for a, b in pairs if word.startswith(a, i)]
+
+
+def test_readings_are_complete():
+    rng = random.Random(5)
+    for _ in range(40):
+        word = "".join(rng.choice("ceoltir1nmx") for _ in range(rng.randrange(1, 7)))
+        every = all_readings(word)
+        some = rng.sample(sorted(every), min(len(every), 30)) + ["zz", word + "z"]
+        trie = scan_repair.Trie([(w, 1) for w in some])
+        assert {w: n for w, (_, n) in trie.readings(word).items()} == {w: every[w] for w in some if w in every}
+
+
+def test_shards_and_blocks_lose_nothing(spark, monkeypatch):
+    rng = random.Random(7)
+    words = sorted({"".join(rng.choice("celotmrnid") for _ in range(rng.randrange(1, 8))) for _ in range(500)})
+    vocabulary = spark.createDataFrame([(w, 9) for w in words], "w string, n bigint")
+    asked = spark.createDataFrame([(w, 1 + k % 5, k % 2 == 0) for k, w in enumerate(words[::7] + ["e", "rn", "x" * 80, "dlln"])], "w string, n bigint, fresh boolean").dropDuplicates(["w"])
+    one, many = (sorted(map(tuple, scan_repair.candidates(asked, vocabulary, size, block).collect())) for size, block in ((1000, 1000), (40, 5)))
+    assert one == many and len(one) > 100
+    monkeypatch.setattr(scan_repair, "PREFIXES", 12)
+    assert sorted(map(tuple, scan_repair.candidates(asked, vocabulary, 40, 5).collect())) == one
+    assert scan_repair.candidates(asked, vocabulary.limit(0)).count() == 0 and scan_repair.candidates(asked.limit(0), vocabulary).count() == 0
+
+
+def test_numbers():
+    for word, want in (("2O14", "2014"), ("l2.S", "12.5"), ("1O,OOO", "10,000"), ("12", None), ("lO", None), ("1..O", None), ("1O.", None), ("3O/l2", "30/12"), ("1x", None)):
+        assert scan_repair.number_reading(word) == want
+
+
+def test_words_without_hyphens_and_pages_without_text(spark):
+    known = "Data were extracted with a form. Patients were excluded early. The whole of it. They were included again. " * 3
+    pages = [(1, "P", 0, "the data were ext\nracted with a form and patients were in\ncluded early for ex"), *[(k, "P", k - 1, " ") for k in range(2, 8)], (8, "P", 7, "cluded were the others with a form"), (9, "Q", 2500, "in the year the data were in-"), (10, "Q", 4999, "cluded with a form again"), (11, "R", 0, "of the\nwhole data")]
+    scans = spark.createDataFrame(pages, "page_id bigint, paper_id string, page_index int, text string")
+    repair = scan_repair.examine(scans, spark.createDataFrame([(known,)], "text string"))
+    got = {(r.page_id, r.line_no, r.word) for r in scan_repair.found(repair).collect() if r.kind == "break"}
+    assert got == {(1, 1, "extracted"), (1, 2, "included"), (1, 3, "excluded"), (9, 1, "included")}
+    texts = {r.page_id: r.text for r in scan_repair.reflowed(repair).collect()}
+    assert texts[1] == "the data were extracted with a form and patients were included early for excluded" and texts[8] == "were the others with a form" and texts[10] == "with a form again"
 
 
 def test_explained():
