@@ -230,21 +230,23 @@ class Table:
         for x, lang in enumerate(self.langs):
             self.ranks[np.searchsorted(self.keys, np.array(profiles[lang], dtype=np.int64)), x] = np.arange(len(profiles[lang]))
         # Keys by a hash without clashes: a factor is tried until no two share a slot.
-        self.bits = 2 * max(len(self.keys) - 1, 1).bit_length()
+        self.bits = max(len(self.keys) - 1, 1).bit_length() + 9
         factors = np.random.default_rng(0)
         while True:
             self.factor = np.uint64(int(factors.integers(1 << 62)) * 2 + 1)
             slots = self._slots(self.keys)
             if len(np.unique(slots)) == len(slots):
                 break
-        self.at = np.zeros(1 << self.bits, dtype=np.int32)
-        self.at[slots] = np.arange(len(self.keys))
+        self.at: np.ndarray | None = None  # made by each task: it is larger than what it is made of
 
     def _slots(self, keys: np.ndarray) -> np.ndarray:
         return (keys.astype(np.uint64) * self.factor >> np.uint64(64 - self.bits)).astype(np.int64)
 
     def places(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Of every key its row, and whether it has one."""
+        if self.at is None:
+            self.at = np.zeros(1 << self.bits, dtype=np.int32)
+            self.at[self._slots(self.keys)] = np.arange(len(self.keys))
         at = self.at[self._slots(keys)]
         return at, self.keys[at] == keys
 
