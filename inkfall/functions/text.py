@@ -33,6 +33,22 @@ NOISE = (
     r"^\s*\d+(?:\.\d+)+\s",
 )
 
+# English words that are no keywords.
+STOPWORDS = (
+    "a about above after again against all am an and any are aren't as at be because been before being below between both but by "
+    "can't cannot could couldn't did didn't do does doesn't doing don't down during each few for from further had hadn't has hasn't "
+    "have haven't having he he'd he'll he's her here here's hers herself him himself his how how's i i'd i'll i'm i've if in into is "
+    "isn't it it's its itself let's me more most mustn't my myself no nor not of off on once only or other ought our ours ourselves out "
+    "over own same shan't she she'd she'll she's should shouldn't so some such than that that's the their theirs them themselves then "
+    "there there's these they they'd they'll they're they've this those through to too under until up very was wasn't we we'd we'll "
+    "we're we've were weren't what what's when when's where where's which while who who's whom why why's with won't would wouldn't you "
+    "you'd you'll you're you've your yours yourself yourselves"
+).split()
+
+# How a reference and how a section heading begin.
+REFERENCE_START = r"(?U)^\s*\[?\d+\]?\s+\w"
+SECTION_START = r"^(?:\d+[.\d]*\s+)?[A-Z][A-Za-z\s]{1,49}[A-Za-z]$"
+
 SPACE = r"(?U)\s+"
 CONTROL = "[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f�]"
 
@@ -42,9 +58,29 @@ def collapse(x: Column) -> Column:
     return F.trim(F.regexp_replace(x, SPACE, " "))
 
 
+def _foldings() -> tuple[dict[str, str], dict[str, str]]:
+    """Characters, after lower-casing, that casefold further: to one character, and to several."""
+    one, more = {}, {}
+    for o in range(0x80, 0x1E944):
+        c = chr(o)
+        if not 0xD800 <= o < 0xE000 and c.casefold() != c.lower():
+            (one if len(c.casefold()) == 1 else more)[c] = c.casefold()
+    return one, more
+
+
+FOLD_ONE, FOLD_MORE = _foldings()
+
+
+def casefold(x: Column) -> Column:
+    """Full case folding: sigma in every place, ligatures and sharp s as letters. Expansions are made only where a text has any."""
+    low = F.translate(F.lower(F.replace(x, F.lit("İ"), F.lit("i̇"))), "".join(FOLD_ONE), "".join(FOLD_ONE.values()))
+    pairs = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in FOLD_MORE.items()])
+    return F.when(low.rlike("[" + "".join(FOLD_MORE) + "]"), F.aggregate(pairs, low, lambda t, p: F.replace(t, p["a"], p["b"]))).otherwise(low)
+
+
 def fold_whitespace(x: Column) -> Column:
-    """Lower case (ß as ss) and collapsed blanks."""
-    return collapse(F.regexp_replace(F.lower(x), "ß", "ss"))
+    """Case-folded, with collapsed blanks."""
+    return collapse(casefold(x))
 
 
 def fold_aggressive(x: Column) -> Column:
@@ -64,7 +100,8 @@ def without_control(x: Column) -> Column:
 
 
 def clean_ocr(x: Column) -> Column:
-    return collapse(F.regexp_replace(x, "[\\x00-\\x1f�]", " "))
+    """Without control and replacement characters, which part no words; blanks collapsed."""
+    return collapse(without_control(x))
 
 
 def words(x: Column) -> Column:
@@ -80,6 +117,60 @@ def sentences(x: Column) -> Column:
     return F.filter(F.transform(F.split(x, r"(?U)(?<=[.!?])\s+"), collapse), lambda s: s != "")
 
 
+def keywords(x: Column) -> Column:
+    """Words that are no stop words."""
+    return F.filter(words(x), lambda w: ~F.array_contains(F.array(*[F.lit(v) for v in STOPWORDS]), F.lower(w)))
+
+
+def short_hash(x: Column, prefix: str = "") -> Column:
+    """The first 16 hex digits of the SHA-256, behind a prefix."""
+    return F.concat(F.lit(f"{prefix}:" if prefix else ""), F.substring(F.sha2(x, 256), 1, 16))
+
+
+def name_year(name: Column) -> Column:
+    """A year between separators or ends of a file name; '' if there is none."""
+    return F.regexp_extract(name, r"(?:^|[_\-\s.])((?:19|20)\d{2})(?:[_\-\s.]|$)", 1)
+
+
+def resolved_year(header: Column, metadata: Column, first_page: Column, name: Column) -> Column:
+    """Year, confidence and source: the header's or the metadata's (h), the first 2000 characters' (m, h if the name says so too), the name's (m), or nr."""
+    year = lambda x: F.nullif(F.coalesce(F.regexp_extract(x, r"(?:19|20)\d{2}", 0), F.lit("")), F.lit(""))
+    named = F.nullif(F.coalesce(name_year(name), F.lit("")), F.lit(""))
+    h, m, p = year(header), year(metadata), year(F.substring(first_page, 1, 2000))
+
+    def out(y: Column, c: Column, source: str) -> Column:
+        return F.struct(y.alias("year"), c.alias("confidence"), F.lit(source).alias("provenance"))
+
+    return (
+        F.when(h.isNotNull(), out(h, F.lit("h"), "tei_header"))
+        .when(m.isNotNull(), out(m, F.lit("h"), "pdf_metadata"))
+        .when(p.isNotNull(), out(p, F.when(named.eqNullSafe(p), "h").otherwise("m"), "first_page_text"))
+        .when(named.isNotNull(), out(named, F.lit("m"), "filename_pattern"))
+        .otherwise(out(F.lit("nr"), F.lit("nr"), ""))
+    )
+
+
+def location_text(page_index: Column, heading: Column) -> Column:
+    """The place of a find, page from 1, with its heading if there is one."""
+    page = F.concat(F.lit("p."), (page_index + 1).cast("string"))
+    return F.when(F.coalesce(heading, F.lit("")) != "", F.concat(page, F.lit(" — "), heading)).otherwise(page)
+
+
+def drifted(found: Column, claimed: Column) -> Column:
+    return F.lower(F.trim(found)) != F.lower(F.trim(F.coalesce(claimed, F.lit(""))))
+
+
+def block_kind(explicit: Column, text: Column) -> Column:
+    """Kind of a block: what it is said to be, else by its text: a reference is other, a heading a section, any other text a paragraph."""
+    t = F.coalesce(text, F.lit(""))
+    return (
+        F.when(explicit.isin("paragraph", "section", "table", "figure"), explicit)
+        .when((t == "") | t.rlike(REFERENCE_START), "other")
+        .when(F.regexp_replace(t, r"(?U)^\s+|\s+$", "").rlike(SECTION_START), "section")
+        .otherwise("paragraph")
+    )
+
+
 def first_year(x: Column) -> Column:
     return F.nullif(F.regexp_extract(x, r"(?:19|20)\d{2}", 0), F.lit(""))
 
@@ -123,6 +214,12 @@ def json_text(raw: Column) -> Column:
     return F.when(t.rlike(r"(?s)^[\{\[].*[\}\]]$"), t).when(fenced != "", fenced).when(braces != "", braces).when(brackets != "", brackets).otherwise(t)
 
 
+@F.pandas_udf(StringType())
+def nfc(x: pd.Series) -> pd.Series:
+    """NFC with collapsed blanks."""
+    return x.map(lambda s: None if s is None else " ".join(unicodedata.normalize("NFC", s).split()))
+
+
 @F.pandas_udf(StringType())
 def nfkc(x: pd.Series) -> pd.Series:
     """NFKC with collapsed blanks."""
@@ -140,3 +237,19 @@ def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
         return 1.0 if not x and not y else 0.0 if not x or not y else difflib.SequenceMatcher(None, x, y).ratio()
 
     return pd.Series([ratio(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
+
+
+def scanned_text(x: Column) -> Column:
+    """Text of a scan in order: without control characters, NFKC, healed lines."""
+    return heal_lines(nfkc(without_control(x)))
+
+
+#: Normalizers of exported values by name.
+NORMALIZERS = {"collapse": collapse, "whitespace": fold_whitespace, "aggressive": fold_aggressive, "line_healing": heal_lines, "unicode": nfkc, "ocr": without_control, "scan": scanned_text}
+
+
+def normalizer(name: str):
+    """The normalizer of a name; an unknown name is an error."""
+    if name not in NORMALIZERS:
+        raise ValueError(f"no normalizer {name!r}; there are {', '.join(NORMALIZERS)}")
+    return NORMALIZERS[name]

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import difflib
+from collections import Counter
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from inkfall.functions import text as T
@@ -70,3 +74,58 @@ def zipped(left: DataFrame, right: DataFrame) -> DataFrame:
     a = left.withColumn("place", F.row_number().over(w)).select("paper_id", "place", F.col("sentence").alias("left_sentence"))
     b = right.withColumn("place", F.row_number().over(w)).select("paper_id", "place", F.col("sentence").alias("right_sentence"))
     return a.join(b, ["paper_id", "place"])
+
+
+def near_agreement(primary: DataFrame, candidate: DataFrame, threshold: float = 0.85) -> DataFrame:
+    """``paper_id`` with counts of sentences (paper_id, ord, sentence) matched exactly and nearly, unmatched ones and the rate.
+
+    Each primary sentence in order takes the first equal candidate that is free, else the free one most like it, if that is at least
+    ``threshold`` alike; what one takes is gone for the next, so a paper's sentences are matched in one place. Equal
+    sentences are found by a table, likeness is asked only where lengths and letters allow it to reach the threshold.
+    """
+    shape = "paper_id string, n_primary int, n_candidate int, n_exact int, n_near int, agreement_rate double"
+
+    def match(key: tuple, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        left, right = (x.sort_values("ord")["sentence"].tolist() for x in (a, b))
+        free: dict[str, list[int]] = {}
+        for i, s in enumerate(right):
+            free.setdefault(s, []).append(i)
+        taken, exact, near = set(), 0, 0
+        letters = [Counter(s) for s in right]
+        for s in left:
+            own = [i for i in free.get(s, ()) if i not in taken]
+            if own:
+                taken.add(own[0])
+                exact += 1
+                continue
+            best, at, mine = 0.0, -1, Counter(s)
+            for i, t in enumerate(right):
+                total = len(s) + len(t)
+                # No likeness is above what the shared letters allow.
+                if i in taken or not total or 2 * sum((mine & letters[i]).values()) / total < max(threshold, best):
+                    continue
+                x = difflib.SequenceMatcher(None, s, t).ratio()
+                if x > best:
+                    best, at = x, i
+            if at >= 0 and best >= threshold:
+                taken.add(at)
+                near += 1
+        paper = (a if len(a) else b)["paper_id"].iloc[0]
+        return pd.DataFrame([(paper, len(left), len(right), exact, near, (exact + near) / len(left) if left else 0.0)], columns=[c.split()[0] for c in shape.split(", ")])
+
+    rows = [df.filter("paper_id is not null").select("paper_id", "ord", "sentence") for df in (primary, candidate)]
+    return rows[0].groupBy("paper_id").cogroup(rows[1].groupBy("paper_id")).applyInPandas(match, shape)
+
+
+def until_verified(checks: DataFrame) -> DataFrame:
+    """The checks (paper_id, ord, verified) of a paper in order up to the first that is verified, which is the last made."""
+    first = checks.filter("verified").groupBy("paper_id").agg(F.min("ord").alias("stop"))
+    return checks.join(first, "paper_id", "left").filter(F.col("stop").isNull() | (F.col("ord") <= F.col("stop"))).drop("stop")
+
+
+def verification_status(score: Column, threshold: float, available: Column, mode: str = "skip") -> Column:
+    """What a semantic check says: a candidate match, none, or what ``mode`` (skip, fail, degrade) makes of a missing index."""
+    if mode not in ("skip", "fail", "degrade"):
+        raise ValueError(f"no mode {mode!r}")
+    missing = {"skip": "skipped", "fail": "error", "degrade": "degraded"}[mode]
+    return F.when(~available, missing).when(score >= threshold, "candidate_match").otherwise("no_match")

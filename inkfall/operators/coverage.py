@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from inkfall.functions import text as T
@@ -27,15 +27,17 @@ def coverage_metrics(reports: DataFrame, blocks: DataFrame, limits: Thresholds =
 
     ``blocks`` (paper_id, text, located) are the text blocks of a paper. A page's native text is the text of the same page
     in the paper's other reports, joined by line ends in report order. Sentence and text metrics are expressions on
-    the report's own row; only pages and blocks are aggregated, with partial sums before the shuffle.
+    the report's own row; only pages and blocks are aggregated, with partial sums before the shuffle. Of pages nothing but
+    their lengths is shuffled: the others' length is the page's sum less its own.
     """
     L = limits
     base = reports.select("report_id", "paper_id", "full_pdf_text", "sentence_records")
-    pages = reports.select("report_id", "paper_id", F.explode("page_texts").alias("p")).select("report_id", "paper_id", "p.page", F.coalesce("p.page_text", F.lit("")).alias("page_text"))
-    pairs = pages.alias("a").join(pages.alias("b"), (F.col("a.paper_id") == F.col("b.paper_id")) & (F.col("a.page") == F.col("b.page")) & (F.col("a.report_id") != F.col("b.report_id")), "left")
-    native = pairs.groupBy("a.report_id", "a.page", F.length("a.page_text").alias("own")).agg(
-        (F.sum(F.length("b.page_text")) + F.count("b.page_text") - 1).alias("native")
-    ).withColumn("native", F.coalesce("native", F.lit(0)))
+    pages = reports.select("report_id", "paper_id", F.explode("page_texts").alias("p")).select("report_id", "paper_id", "p.page", F.length(F.coalesce("p.page_text", F.lit(""))).alias("own"))
+    same = Window.partitionBy("paper_id", "page")
+    mine = Window.partitionBy("paper_id", "page", "report_id")
+    others = F.count("*").over(same) - F.count("*").over(mine)
+    native = pages.withColumn("native", F.when(others > 0, F.sum("own").over(same) - F.sum("own").over(mine) + others - 1).otherwise(0))
+    native = native.select("report_id", "page", "own", "native").distinct()
     per = native.groupBy("report_id").agg(
         F.count(F.when((F.col("own") < L.min_chars) & (F.col("native") > L.min_chars), 1)).alias("short_pages"),
         F.avg(F.when(F.col("native") > 0, F.col("own") / F.col("native"))).alias("ratio"),
@@ -47,9 +49,13 @@ def coverage_metrics(reports: DataFrame, blocks: DataFrame, limits: Thresholds =
     text = F.coalesce("full_pdf_text", F.lit(""))
     low = F.lower(text)
     present = sum((F.contains(low, F.lit(s)).cast("int") for s in L.sections), F.lit(0))
-    refs = F.regexp_count(text, F.lit(r"\b(?:Table|Figure)\s+\d+"))
-    captions = blocks.filter(F.col("text").rlike(r"^(?:Table|Figure)\s+\d+")).select("paper_id").distinct().withColumn("captioned", F.lit(True))
-    rows = base.join(per, "report_id", "left").join(own, "paper_id", "left").join(captions, "paper_id", "left")
+    found = F.regexp_extract_all(text, F.lit(r"\b(?:Table|Figure)\s+\d+"), F.lit(0))
+    refs = F.size(found)
+    # A reference is captioned if a block of the paper has it: the distinct ones are looked for, once per block.
+    wanted = base.select("report_id", "paper_id", F.explode(F.array_distinct(F.transform(found, F.lower))).alias("ref"))
+    wanted = wanted.join(blocks.select("paper_id", F.lower("text").alias("block")), "paper_id").filter(F.contains("block", F.col("ref")))
+    captions = wanted.select("report_id").distinct().withColumn("captioned", F.lit(True))
+    rows = base.join(per, "report_id", "left").join(own, "paper_id", "left").join(captions, "report_id", "left")
 
     def row(name: str, value, threshold, fired):
         return F.struct(F.lit(name).alias("metric_name"), value.cast("double").alias("computed_value"), F.lit(threshold).cast("double").alias("threshold"), F.coalesce(fired, F.lit(False)).alias("triggered"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from inkfall.functions import text as T
@@ -30,12 +30,35 @@ def scored(items: DataFrame) -> DataFrame:
     return items.withColumn("rank_score", T.section_score(F.col("section_path")) + extra)
 
 
+def field_tokens(fields: DataFrame) -> list[str]:
+    """The words of four or more letters a-z in the fields' names, definitions and questions; the field map is a small configuration table."""
+    text = F.concat_ws(" ", "field_name", "definition", "reviewer_question")
+    words = fields.select(F.explode(F.regexp_extract_all(F.lower(text), F.lit("[a-z]{4,}"), F.lit(0))).alias("w")).distinct()
+    return sorted(r[0] for r in words.collect())
+
+
+def keyword_overlap(text: Column, tokens: list[str]) -> Column:
+    """How many of the tokens occur in a text, anywhere in it."""
+    return F.size(F.filter(F.array(*[F.lit(t) for t in tokens]).cast("array<string>"), lambda t: F.contains(F.lower(text), t)))
+
+
+def ranked(items: DataFrame, tokens: list[str]) -> DataFrame:
+    """``rank_score`` with three points more for every token of the fields that the item's text has."""
+    return scored(items).withColumn("rank_score", F.col("rank_score") + 3 * F.coalesce(keyword_overlap(F.col("item_text"), tokens), F.lit(0)))
+
+
 def within_budget(items: DataFrame, max_items: int = 150, max_chars: int = 10_000) -> DataFrame:
     """Greedy choice per paper by (-score, id): an item that would exceed ``max_chars`` is passed over, smaller ones still taken.
 
     The choice is sequential, so a paper's (score, id, length) triples are folded in one array; texts are joined back after it.
+    Left out before, as they can't be chosen: items longer than ``max_chars``, and of each length those behind as many as fill the budget.
     """
-    sized = items.select("paper_id", F.struct((-F.col("rank_score")).alias("s"), F.col("item_id").alias("id"), F.length("item_text").alias("n")).alias("x"))
+    w = Window.partitionBy("paper_id").orderBy(F.desc("rank_score"), "item_id")
+    n = F.length(F.coalesce("item_text", F.lit("")))
+    sized = items.filter("item_id is not null").withColumn("n", n).filter(F.col("n") <= max_chars)
+    # If one item of a length is passed over, no later one of that length fits: of those taken all before them were taken too.
+    sized = sized.withColumn("ahead", F.row_number().over(w.partitionBy("paper_id", "n"))).filter((F.col("ahead") <= max_items) & ((F.col("n") == 0) | (F.col("ahead") * F.col("n") <= max_chars)))
+    sized = sized.select("paper_id", F.struct((-F.col("rank_score")).alias("s"), F.col("item_id").alias("id"), "n").alias("x"))
     per = sized.groupBy("paper_id").agg(F.array_sort(F.collect_list("x")).alias("xs"))
     zero = F.struct(F.lit(0).alias("used"), F.array().cast("array<string>").alias("ids"))
 
@@ -47,6 +70,28 @@ def within_budget(items: DataFrame, max_items: int = 150, max_chars: int = 10_00
     return items.join(chosen, ["paper_id", "item_id"])
 
 
+def packages(chosen: DataFrame) -> DataFrame:
+    """Per paper the chosen items as one JSON text in order of their ids, the same bytes whenever the items are the same."""
+    item = F.struct(F.col("item_id").alias("id"), F.col("item_type").alias("type"), F.col("section_path").alias("section"), "page", "coords", F.coalesce("item_text", F.lit("")).alias("text"))
+    per = chosen.groupBy("paper_id").agg(F.array_sort(F.collect_list(item)).alias("evidence"))
+    doc = F.struct("paper_id", F.size("evidence").alias("evidence_count"), "evidence")
+    return per.select("paper_id", F.size("evidence").alias("evidence_count"), F.to_json(doc, {"ignoreNullFields": "false"}).alias("package"))
+
+
+def reduction(packed: DataFrame, texts: DataFrame) -> DataFrame:
+    """By what share a package is shorter than its paper's text (paper_id, n_chars); 0 if it is not."""
+    both = packed.join(texts, "paper_id")
+    return both.select("paper_id", F.when(F.col("n_chars") > 0, F.greatest(F.lit(0.0), 1 - F.length("package") / F.col("n_chars"))).otherwise(0.0).alias("reduction"))
+
+
+def offsets(items: DataFrame, joiner: int = 2) -> DataFrame:
+    """Where each item's text lies in its paper's items joined in id order by ``joiner`` characters; empty texts have no place."""
+    w = Window.partitionBy("paper_id").orderBy("item_id").rowsBetween(Window.unboundedPreceding, 0)
+    filled = items.filter("item_text <> ''").withColumn("n", F.length("item_text"))
+    end = F.sum(F.col("n") + joiner).over(w) - joiner
+    return filled.select("paper_id", "item_id", (end - F.col("n")).cast("int").alias("start"), end.cast("int").alias("end"))
+
+
 def kept_prefix(items: DataFrame, protected: DataFrame, max_chars: int) -> DataFrame:
     """Items in id order while their running length fits, and all protected ones."""
     w = Window.partitionBy("paper_id").orderBy("item_id").rowsBetween(Window.unboundedPreceding, 0)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 IDENTITY = ("pdf_content_hash", "model_id")
@@ -37,31 +37,83 @@ def totals(usage: DataFrame) -> DataFrame:
     )
 
 
-def pending(inputs: DataFrame, manifest: DataFrame, key: str = "paper_id") -> DataFrame:
+def identities(inputs: DataFrame, map_text: Column, config: Column) -> DataFrame:
+    """The five hashes that say what a result came from: the file, the model, the prompt's and the configuration's text, the field map's."""
+    digest = lambda x: F.coalesce(F.sha2(x, 256), F.lit("nohash"))
+    return inputs.withColumn("map_hash", digest(map_text)).withColumn("config_hash", digest(config)).withColumn("prompt_hash", digest(F.concat_ws("|", map_text, config)))
+
+
+def pending(inputs: DataFrame, manifest: DataFrame, key: str = "paper_id", identity: tuple[str, ...] = IDENTITY) -> DataFrame:
     """Inputs without a complete manifest entry of the same identity; an unknown part of the identity never matches."""
     same = F.lit(True)
-    for c in IDENTITY:
+    for c in identity:
         same = same & F.col(f"i.{c}").isNotNull() & (F.col(f"i.{c}") == F.col(f"m.{c}"))
     done = inputs.alias("i").join(manifest.filter("status = 'complete'").alias("m"), (F.col(f"i.{key}") == F.col(f"m.{key}")) & same, "left_anti")
     return done.select(key).distinct()
 
 
+#: Domains before the last one, which has a chunk of its own.
+DOMAINS = 12
+# The last domain of each chunk, for three and for five chunks.
+CHUNK_ENDS = {5: (3, 5, 9, 12), 3: (5, 12)}
+
+
+def chunk_of(domain: Column, chunks: int = 5) -> Column:
+    """The chunk of a domain (from 1); the domain after the first DOMAINS goes to the last one. Other numbers of chunks share evenly, the first ones more."""
+    ends = CHUNK_ENDS.get(chunks)
+    if ends is None:
+        share, more = divmod(DOMAINS, chunks - 1)
+        ends = [(k + 1) * share + min(k + 1, more) for k in range(chunks - 1)]
+    out = F.when(domain == DOMAINS + 1, chunks)
+    for k, end in enumerate(ends, 1):
+        out = out.when(domain.between(1, end), k)
+    return out
+
+
 def chunk_ranges(fields: DataFrame, chunks: int = 5) -> DataFrame:
-    """Domains laid evenly on chunks (the last on the last one), with the least and largest field of each chunk."""
+    """The least and largest field of each chunk; a field of no known domain is an error."""
     domain = F.split_part("domain_group", F.lit("."), F.lit(1)).cast("int")
-    chunk = F.least(F.floor((domain - 1) * chunks / F.lit(13)) + 1, F.lit(chunks))
+    chunk = F.coalesce(chunk_of(domain, chunks), F.raise_error(F.concat(F.lit("no domain "), F.col("domain_group"))).cast("int"))
     return fields.select(chunk.alias("chunk"), "field_index").groupBy("chunk").agg(F.min("field_index").alias("lo"), F.max("field_index").alias("hi"), F.count("*").alias("n_fields"))
 
 
-def budget_checks(items: DataFrame, budgets: DataFrame) -> DataFrame:
-    """Per paper and stage the estimated tokens of its items against the stage's budget."""
-    est = items.groupBy("paper_id", "stage").agg(F.sum(F.floor(F.length("item_text") / 4)).alias("estimate"))
-    return est.join(budgets.select("stage", "budget_limit"), "stage").select("paper_id", "stage", "estimate", "budget_limit", (F.col("estimate") <= F.col("budget_limit")).alias("within_budget"))
+def chunk_fields(fields: DataFrame, chunks: int = 5) -> DataFrame:
+    """Every field with every chunk whose range holds it; ranges that overlap give it more than once."""
+    ranges = F.broadcast(chunk_ranges(fields, chunks).select("chunk", "lo", "hi"))  # one row per chunk
+    return fields.join(ranges, F.col("field_index").between(F.col("lo"), F.col("hi"))).select("chunk", "field_index")
+
+
+def delta(now: DataFrame, before: DataFrame) -> DataFrame:
+    """How a run's totals differ from those of the run before: cache rate, uncached tokens per request, all tokens; nulls if that one is not complete."""
+    uncached = lambda t: F.when(t["requests"] > 0, (t["input_tokens"] - t["cached_tokens"]) / t["requests"]).otherwise(0.0)
+    tokens = lambda t: t["input_tokens"] + t["output_tokens"]
+    rate = lambda t: F.when(t["input_tokens"] > 0, t["cached_tokens"] / t["input_tokens"]).otherwise(0.0)
+    both = now.agg(F.first(F.struct("*")).alias("n")).crossJoin(before.filter("status = 'complete'").agg(F.first(F.struct("*")).alias("b")))  # one row each
+    n, b = F.col("n"), F.col("b")
+    return both.select((rate(n) - rate(b)).alias("cache_rate_change"), (uncached(n) - uncached(b)).alias("uncached_change"), (tokens(n) - tokens(b)).alias("tokens_change"))
+
+
+def run_report(usage: DataFrame) -> DataFrame:
+    """One row with a run's report as JSON: totals, stages in the order first seen, the five most expensive requests."""
+    stages = stage_summaries(usage).agg(F.array_sort(F.collect_list(F.struct("first_seq", "stage", "requests", "input_tokens", "cached_tokens", "output_tokens"))).alias("stages"))
+    top = usage.select("seq", (F.col("input_tokens") + F.col("output_tokens")).alias("total")).orderBy(F.desc("total"), "seq").limit(5)
+    top = top.agg(F.array_sort(F.collect_list(F.struct((-F.col("total")).alias("o"), "seq"))).alias("top"))
+    parts = totals(usage).crossJoin(stages).crossJoin(top)  # one row each
+    doc = F.struct("status", "input_tokens", "output_tokens", F.transform("stages", lambda x: x.dropFields("first_seq")).alias("per_stage"), F.transform("top", lambda x: x["seq"]).alias("top_requests"))
+    return parts.select(F.to_json(doc).alias("report"))
 
 
 def web_annotations(notes: DataFrame) -> DataFrame:
-    """Annotation records as linked-data JSON with deterministic ids."""
+    """Annotation records as linked-data JSON with ids made from their keys.
+
+    The target has the quotation with its context and, of a scanned sentence, the place on its page, of another one the character range.
+    """
     body = F.struct(F.lit("TextualBody").alias("type"), F.col("body_text").alias("value"))
-    target = F.struct(F.col("paper_id").alias("source"), F.struct(F.col("selector_type").alias("type"), F.col("char_start").alias("start"), F.col("char_end").alias("end"), F.col("xywh").alias("value")).alias("selector"))
+    quote = F.struct(F.lit("TextQuoteSelector").alias("type"), "quote_selector.exact", "quote_selector.prefix", "quote_selector.suffix")
+    range_ = F.struct(F.lit("TextPositionSelector").alias("type"), F.col("char_start").alias("start"), F.col("char_end").alias("end"))
+    place = F.struct(F.lit("FragmentSelector").alias("type"), F.concat(F.lit("xywh="), "xywh").alias("value"), F.col("page_index").alias("page"))
+    scanned = F.col("selector_type") == "FragmentSelector"
+    refined = F.struct(F.when(~scanned, range_).alias("position"), F.when(scanned, place).alias("fragment"))
+    target = F.struct(F.col("paper_id").alias("source"), F.struct(quote.alias("quote"), refined.alias("refinedBy")).alias("selector"))
     doc = F.struct(F.lit("http://www.w3.org/ns/anno.jsonld").alias("@context"), F.concat(F.lit("urn:annotation:"), F.col("ann_id")).alias("id"), F.lit("Annotation").alias("type"), body.alias("body"), target.alias("target"))
     return notes.select("ann_id", F.to_json(doc).alias("jsonld"))

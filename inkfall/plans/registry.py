@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkfall.functions import text as T
-from inkfall.operators import branches, coverage, evidence, fields, pages, runs, search
+from inkfall.operators import annotations, branches, budget, coverage, evidence, fields, fonts, pages, reconcile, runs, search, validation
 from inkfall.plans.oracles import ORACLE_SQL
 from inkfall.sources.tables import table
 
@@ -113,9 +113,14 @@ def section_scores(spark, folder):
     return evidence.scored(_items(spark, folder)).select("paper_id", "item_id", "rank_score")
 
 
+def _chosen(spark: SparkSession, folder: str) -> DataFrame:
+    tokens = evidence.field_tokens(table(spark, folder, "extraction_map"))
+    return evidence.within_budget(evidence.ranked(_items(spark, folder), tokens))
+
+
 @query
 def evidence_within_budget(spark, folder):
-    return evidence.within_budget(evidence.scored(_items(spark, folder))).select("paper_id", "item_id")
+    return _chosen(spark, folder).select("paper_id", "item_id")
 
 
 @query
@@ -132,7 +137,9 @@ def provenance(spark, folder):
 @query
 def unresolved_locations(spark, folder):
     loc = _records(spark, folder).filter("paper_id is not null").select("record_id", "paper_id", F.explode("loc").alias("item_id")).distinct()
-    return loc.join(_items(spark, folder).select("paper_id", "item_id"), ["paper_id", "item_id"], "left_anti")
+    # Ids of every kind are asked for: those of figures and tables are not in every paper.
+    asked = loc.withColumn("item_id", F.explode(F.array("item_id", F.regexp_replace("item_id", "^S", "F"), F.regexp_replace("item_id", "^S", "T")))).distinct()
+    return asked.join(_items(spark, folder).select("paper_id", "item_id"), ["paper_id", "item_id"], "left_anti")
 
 
 @query
@@ -241,14 +248,29 @@ def pending_papers(spark, folder):
     return runs.pending(p, done)
 
 
+@query
+def pending_by_identity(spark, folder):
+    """All five hashes: papers whose language stands for the configuration went through the run before with another one."""
+    p = table(spark, folder, "papers")
+    now = runs.identities(p, F.lit("fields 1-62"), F.coalesce("route", F.lit("")))
+    before = runs.identities(p.filter("n_pages > 2"), F.lit("fields 1-62"), F.when(F.col("lang") == "en", F.coalesce("route", F.lit(""))).otherwise("other"))
+    return runs.pending(now, before, identity=(*runs.IDENTITY, "map_hash", "config_hash", "prompt_hash"))
+
+
 @query
 def chunk_ranges(spark, folder):
-    return runs.chunk_ranges(table(spark, folder, "extraction_map"))
+    ranges = [runs.chunk_ranges(table(spark, folder, "extraction_map"), n).withColumn("chunks", F.lit(n)) for n in (3, 4, 5, 8)]
+    return ranges[0].unionByName(ranges[1]).unionByName(ranges[2]).unionByName(ranges[3])
+
+
+@query
+def chunk_fields(spark, folder):
+    return runs.chunk_fields(table(spark, folder, "extraction_map"))
 
 
 @query
 def budget_checks(spark, folder):
-    return runs.budget_checks(_items(spark, folder), table(spark, folder, "stage_budgets"))
+    return budget.checked(_items(spark, folder), table(spark, folder, "stage_budgets"))
 
 
 @query
@@ -298,6 +320,270 @@ def quote_similarity(spark, folder):
     return n.select("ann_id", F.round(T.similarity(F.col("quote_selector.exact"), F.col("sentence_text")), 9).alias("ratio"))
 
 
+def _blocks(spark: SparkSession, folder: str, source: str | None = None) -> DataFrame:
+    reports = table(spark, folder, "coverage_reports")
+    return reconcile.classified(reconcile.text_blocks(reports if source is None else reports.filter(F.col("source") == source)))
+
+
+@query
+def evidence_packages(spark, folder):
+    """What a package is made of; its bytes are compared by what does not depend on how numbers are written."""
+    packed = evidence.packages(_chosen(spark, folder).withColumn("coords", F.lit(None).cast("array<double>")))
+    return packed.select("paper_id", "evidence_count", F.length("package").alias("n_chars"), F.sha2("package", 256).alias("digest"))
+
+
+@query
+def evidence_reduction(spark, folder):
+    packed = evidence.packages(_chosen(spark, folder).withColumn("coords", F.lit(None).cast("array<double>")))
+    texts = _items(spark, folder).groupBy("paper_id").agg(F.sum(F.length(F.coalesce("item_text", F.lit("")))).alias("n_chars"))
+    return evidence.reduction(packed, texts).withColumn("reduction", F.round("reduction", 9))
+
+
+@query
+def item_offsets(spark, folder):
+    return evidence.offsets(_items(spark, folder))
+
+
+@query
+def keyword_overlaps(spark, folder):
+    tokens = evidence.field_tokens(table(spark, folder, "extraction_map"))
+    return _items(spark, folder).select("paper_id", "item_id", F.coalesce(evidence.keyword_overlap(F.col("item_text"), tokens), F.lit(0)).alias("overlap"))
+
+
+@query
+def enriched_quantities(spark, folder):
+    """Offsets of a service are stood in for by every 37th character place of a paper."""
+    items = _items(spark, folder)
+    ends = evidence.offsets(items).groupBy("paper_id").agg(F.max("end").alias("end"))
+    answers = ends.select("paper_id", F.explode(F.sequence(F.lit(0), F.col("end"), F.lit(997))).alias("at"))
+    answers = answers.select(F.concat_ws("/", "paper_id", "at").alias("id"), "paper_id", "at", F.concat(F.lit("q"), F.col("at").cast("string")).alias("text"))
+    found = annotations.enriched(items, answers, "quantities", "service")
+    return found.select("paper_id", "item_id", F.size("found").alias("n_found"), F.coalesce(F.get("found", F.lit(0))["source"], F.lit("")).alias("source"))
+
+
+@query
+def service_annotations(spark, folder):
+    """The candidates' payloads as the answers of a service."""
+    raw = F.to_json(F.struct(F.col("source").alias("rawForm"), F.col("payload").alias("name"), (F.col("cand_index") / 2.0).alias("score"), F.col("status").alias("state")))
+    rows = table(spark, folder, "candidates").dropDuplicates(["candidate_id"]).select("candidate_id", annotations.service_annotation(raw, "entity", "service").alias("a"))
+    return rows.select("candidate_id", "a.text", "a.type", "a.confidence", F.element_at("a.metadata", "state").alias("state"))
+
+
+def _outputs(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Records as compact model outputs, fenced, one per paper and group; and the fields expected of each."""
+    rows = _records(spark, folder).filter("paper_id is not null and domain_group is not null and field_index is not null")
+    item = F.struct(F.col("record_id").alias("o"), F.struct(F.col("field_index").alias("i"), F.col("extracted_value").alias("v"), "loc", F.trim("confidence").alias("c")).alias("x"))
+    packed = rows.groupBy("paper_id", F.col("domain_group").alias("chunk")).agg(F.transform(F.array_sort(F.collect_list(item)), lambda r: r["x"]).alias("xs"))
+    raw = F.concat(F.lit("Here it is:\n```json\n"), F.to_json(F.struct(F.col("xs").alias("extractions"))), F.lit("\n```"))
+    raw = F.when(F.col("chunk") % 5 == 0, F.substring(raw, 1, 40)).otherwise(raw)
+    return packed.select("paper_id", "chunk", raw.alias("raw")), rows.select("paper_id", F.col("domain_group").alias("chunk"), "field_index").distinct()
+
+
+@query
+def chunk_errors(spark, folder):
+    outputs, expected = _outputs(spark, folder)
+    return validation.chunk_errors(outputs, expected, _items(spark, folder))
+
+
+@query
+def reconstructed_fields(spark, folder):
+    compact = _records(spark, folder).filter("paper_id is not null and field_index is not null").select(F.col("record_id").alias("key"), "paper_id", F.col("field_index").alias("i"), F.col("extracted_value").alias("v"), "loc", F.col("confidence").alias("c"))
+    return validation.reconstructed(compact, table(spark, folder, "extraction_map"), _items(spark, folder))
+
+
+@query
+def cross_references(spark, folder):
+    """A record's first location is its own; what was resolved for all of them is held against it."""
+    rows = _records(spark, folder).select("record_id", "field_index", F.slice("loc", 1, 1).alias("location"), F.array_append("loc", F.lit("unresolved")).alias("metadata"))
+    return rows.select("record_id", F.array_join(validation.cross_references(rows), "\n").alias("errors"))
+
+
+@query
+def record_messages(spark, folder):
+    rows = _records(spark, folder)
+    return rows.select("record_id", F.array_join(validation.schema_messages(rows, validation.FINAL_RECORD), "\n").alias("messages"))
+
+
+@query
+def prompt_mitigation(spark, folder):
+    """Limits a hundredth of the given ones, so that prompts of the test data exceed them."""
+    small = table(spark, folder, "stage_budgets").withColumn("budget_limit", F.floor(F.col("budget_limit") / 100).cast("int"))
+    others = table(spark, folder, "papers").select("paper_id", (F.coalesce("n_pages", F.lit(0)) * 40).alias("other_chars"))
+    return budget.mitigated(_items(spark, folder), others, small, 20, 3_000)
+
+
+@query
+def stage_limits(spark, folder):
+    given = table(spark, folder, "stage_budgets").withColumn("budget_limit", F.when(F.col("stage") == "synthesis", -1).otherwise(F.col("budget_limit")))
+    return budget.limits(given)
+
+
+@query
+def prompt_sections(spark, folder):
+    parts = F.map_from_arrays(F.array(F.lit("zeta"), F.lit("evidence"), F.lit("system"), F.lit("alpha")), F.array(*[F.coalesce(c, F.lit("")) for c in ("definition", "reviewer_question", "field_name", "format")]))
+    rows = table(spark, folder, "extraction_map")
+    order = F.array_join(F.transform(budget.ordered_sections(parts), lambda s: s["name"]), ",")
+    top = F.array_join(F.transform(budget.top_sections(parts), lambda s: F.concat_ws(":", s["name"], s["tokens"].cast("string"))), ",")
+    return rows.select("field_index", order.alias("sections"), top.alias("top"))
+
+
+@query
+def block_kinds(spark, folder):
+    return reconcile.layers(_blocks(spark, folder)).select("report_id", "block_index", "kind", "layer")
+
+
+@query
+def paired_blocks(spark, folder):
+    return reconcile.paired(_blocks(spark, folder, "grobid"), _blocks(spark, folder, "pdfplumber"))
+
+
+@query
+def aligned_blocks(spark, folder):
+    pairs = reconcile.paired(_blocks(spark, folder, "grobid"), _blocks(spark, folder, "pdfplumber"))
+    return reconcile.aligned(pairs).withColumn("confidence", F.round("confidence", 9)).withColumn("edit_distance", F.round("edit_distance", 9))
+
+
+@query
+def best_alignment(spark, folder):
+    return reconcile.best_of(aligned_blocks(spark, folder))
+
+
+@query
+def block_segments(spark, folder):
+    return reconcile.segments(_blocks(spark, folder)).select("report_id", "block_index", "segment_id")
+
+
+@query
+def block_pages(spark, folder):
+    items = _items(spark, folder).select("paper_id", (F.col("page") - 1).alias("page_index"), F.col("item_id").alias("block_index"), F.col("item_text").alias("text"))
+    return reconcile.pages(items)
+
+
+@query
+def merged_pages(spark, folder):
+    """Native and scanned pages as blocks of their own kind of page, in reading order."""
+    pages_ = pages.classify_pages(table(spark, folder, "page_texts")).dropDuplicates(["paper_id", "page_index"]).select("paper_id", "page_index", "is_native")
+    rows = table(spark, folder, "page_texts").select("paper_id", "page_index", F.col("page_id").alias("block_index"), "source")
+    out = reconcile.merged_blocks(rows.filter("source <> 'paddleocr'"), rows.filter("source = 'paddleocr'"), pages_)
+    return out.select("paper_id", "page_index", "block_index", "ord")
+
+
+@query
+def char_ranges(spark, folder):
+    return reconcile.char_ranges(table(spark, folder, "coverage_reports"))
+
+
+@query
+def near_agreement(spark, folder):
+    found = branches.near_agreement(_sentences(spark, folder, "grobid"), _sentences(spark, folder, "pdfplumber"))
+    return found.withColumn("agreement_rate", F.round("agreement_rate", 9))
+
+
+@query
+def checks_until_verified(spark, folder):
+    checks = table(spark, folder, "presence_checks").dropDuplicates(["check_id"]).filter("paper_id is not null")
+    return branches.until_verified(checks.select("paper_id", F.col("check_id").alias("ord"), F.coalesce(F.col("status") == "verified", F.lit(False)).alias("verified")))
+
+
+@query
+def check_statuses(spark, folder):
+    rows = table(spark, folder, "presence_checks").dropDuplicates(["check_id"])
+    return rows.select("check_id", branches.verification_status(F.col("score"), 0.95, F.col("source") != "paddleocr", "degrade").alias("status"))
+
+
+def _spans(spark: SparkSession, folder: str) -> DataFrame:
+    """Items as spans of text; their scores stand for font sizes."""
+    return _items(spark, folder).filter("page is not null").select("paper_id", F.col("page"), F.col("item_id").alias("span_index"), F.col("score").cast("double").alias("size"), F.coalesce("section_path", F.lit("")).alias("text"))
+
+
+@query
+def median_sizes(spark, folder):
+    return fonts.median_sizes(_spans(spark, folder))
+
+
+@query
+def found_locations(spark, folder):
+    notes = table(spark, folder, "annotations").filter("paper_id is not null and page_index is not null").select("paper_id", F.col("page_index").alias("page")).distinct()
+    return fonts.locations(notes.withColumn("claimed", F.lit("P.1 ")), _spans(spark, folder))
+
+
+@query
+def line_pages(spark, folder):
+    """Lines of scanned pages, with boxes by line number and length."""
+    lines = table(spark, folder, "page_texts").filter("source = 'paddleocr'").dropDuplicates(["paper_id", "page_index"]).select("paper_id", "page_index", "ocr_confidence", F.posexplode(F.split(F.coalesce("page_text", F.lit("")), "\n")).alias("line_index", "text"))
+    rows = lines.select("paper_id", "page_index", "line_index", "text", F.lit(10.0).alias("x0"), (F.col("line_index") * 20.0).alias("y0"), (10.0 + F.length("text")).alias("x1"), (F.col("line_index") * 20.0 + 18.0).alias("y1"), F.col("ocr_confidence").alias("confidence"))
+    out = fonts.line_pages(rows)
+    return out.select("paper_id", "page_index", "text", *[F.round(c, 6).alias(c) for c in ("x0", "y0", "x1", "y1", "confidence")])
+
+
+@query
+def joined_spans(spark, folder):
+    """The words of section paths as spans, parted by gaps that differ by place."""
+    words = _items(spark, folder).filter("section_path is not null").select("paper_id", F.col("item_id").alias("line_index"), F.posexplode(F.split("section_path", " ")).alias("span_index", "text"))
+    x0 = F.col("span_index") * 100.0
+    x1 = F.when(F.col("span_index") % 3 == 2, F.lit(None).cast("double")).otherwise(x0 + 100.0 - F.col("span_index") % 2)
+    return fonts.joined_spans(words.select("*", x0.alias("x0"), x1.alias("x1")))
+
+
+@query
+def croppable_items(spark, folder):
+    return _items(spark, folder).filter(fonts.croppable(F.col("item_type"), F.col("coords"), F.col("page"))).select("paper_id", "item_id")
+
+
+@query
+def lexical_places(spark, folder):
+    return search.lexical_places(table(spark, folder, "presence_checks"), table(spark, folder, "coverage_reports"))
+
+
+@query
+def normalised_vectors(spark, folder):
+    v = search.normalised(table(spark, folder, "embeddings"))
+    return v.select("vec_id", F.round(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x * x), 9).alias("squares"), F.round(F.get("embedding", F.lit(0)), 9).alias("first"))
+
+
+@query
+def near_vectors(spark, folder):
+    """Nearest vectors by cosine above a threshold."""
+    v = search.normalised(table(spark, folder, "embeddings"))
+    return search.nearest(v, v.filter("vec_id % 100 = 0"), least=0.3).withColumn("score", F.round("score", 6))
+
+
+@query
+def run_delta(spark, folder):
+    u = _usage(spark, folder)
+    part = lambda rows: rows.agg(F.lit("complete").alias("status"), F.count("*").alias("requests"), *[F.sum(c).alias(c) for c in ("input_tokens", "cached_tokens", "output_tokens")])
+    out = runs.delta(part(u.filter("seq % 2 = 0")), part(u.filter("seq % 2 = 1")))
+    return out.withColumn("cache_rate_change", F.round("cache_rate_change", 9)).withColumn("uncached_change", F.round("uncached_change", 6))
+
+
+@query
+def resolved_years(spark, folder):
+    first = table(spark, folder, "page_texts").filter("page_index = 0").groupBy("paper_id").agg(F.min_by("page_text", "page_id").alias("first"))
+    p = table(spark, folder, "papers").join(first, "paper_id", "left")
+    year = T.resolved_year(F.when(F.col("n_pages") == 3, F.col("ingested_at").cast("string")), F.when(F.col("n_pages") == 4, F.concat(F.lit("D:"), F.date_format("ingested_at", "yyyyMMdd"))), F.col("first"), F.col("source_pdf"))
+    return p.select("paper_id", year.alias("y")).select("paper_id", "y.*")
+
+
+@query
+def item_keywords(spark, folder):
+    return _items(spark, folder).select("paper_id", "item_id", F.array_join(T.keywords(F.col("item_text")), " ").alias("keywords"))
+
+
+@query
+def short_hashes(spark, folder):
+    return table(spark, folder, "papers").select("paper_id", T.short_hash(F.col("source_pdf"), "pdf").alias("cache_key"))
+
+
+@query
+def folded_needles(spark, folder):
+    return table(spark, folder, "presence_checks").dropDuplicates(["check_id"]).select("check_id", T.fold_whitespace(F.col("needle")).alias("plain"), T.fold_aggressive(F.col("needle")).alias("bare"), T.clean_ocr(F.col("needle")).alias("clean"))
+
+
+@query
+def evidence_types(spark, folder):
+    return _items(spark, folder).groupBy("item_type").agg(F.count("*").alias("n"))
+
+
 def queries() -> dict[str, QueryFn]:
     return dict(_ALL)
 
