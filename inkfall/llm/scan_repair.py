@@ -28,9 +28,11 @@ EDGE = 3
 #: Words of a vocabulary shard, which gets a trie of its own; asked words of a block; prefixes that tell words their shards.
 SHARD = 50_000
 BLOCK = 2_000
+PARTITIONS = 20_000
 PREFIXES = 200_000
-#: Cost of an edit that is no known misreading, in misreadings.
+#: Cost of an edit that is no known misreading, in misreadings, and letters that a word has for each.
 OTHER = 3
+LETTERS = 4
 #: Rows up to which a table goes to all tasks.
 SMALL = 500_000
 #: A word is taken for a misreading of one this many times as frequent, if it is known elsewhere only by its context.
@@ -59,10 +61,9 @@ def number_reading(word: str) -> str | None:
 
     The automaton of misread digits, stepped along the endless trie of all numbers: digits, and single signs between digits.
     """
-    m = _digit_map()
-    if not any(c.isdigit() for c in word) or word.replace(".", "").replace(",", "").isdigit():
+    if word.isalpha() or not any(c.isdigit() for c in word) or word.replace(".", "").replace(",", "").isdigit():
         return None
-    out, after_digit = [], False
+    m, out, after_digit = _digit_map(), [], False
     for c in word:
         meant = c if c.isdigit() else m.get(c)
         if meant is None and not (after_digit and c in ".,:/–-"):
@@ -79,7 +80,7 @@ def fold_line(line: str) -> str:
         t = re.sub(r"[^\w!|¢]", "", raw)
         if not t:
             continue
-        if sum(c.isdigit() for c in t) * 2 >= len(t) or number_reading(t):
+        if not t.isalpha() and (sum(c.isdigit() for c in t) * 2 >= len(t) or number_reading(t)):
             out.append("#")
             continue
         t = t.lower()
@@ -418,17 +419,18 @@ def explained(word: str, meant: str) -> int | None:
 def _retrieve(words: pd.DataFrame, vocabulary: pd.DataFrame) -> pd.DataFrame:
     """Of every asked word the commoner vocabulary words it may have been.
 
-    Complete in both ways: by misreadings alone, however many, and, of words that clean pages do not have, within two edits
-    of any kind. ``errors`` is the cost of the reading: 1 for a misreading, OTHER for any other edit.
+    Complete in both ways: by misreadings alone, however many, and, of words that clean pages do not have, within an edit of any
+    kind for every LETTERS letters, two at most; those must be RATIO times as common. ``errors`` is the cost of the reading: 1 for a
+    misreading, OTHER for any other edit.
     """
     trie = Trie(list(zip(vocabulary["w"].tolist(), vocabulary["n"].tolist(), strict=True)))
-    two = Automata(2)
+    near = {1: Automata(1), 2: Automata(2)}
     out: list[tuple[str, str, int, bool]] = []
     for w, n, fresh in zip(words["w"].tolist(), words["n"].tolist(), words["fresh"].tolist(), strict=True):
         found = {c: (e, True) for c, (count, e) in trie.readings(w).items() if count > 2 * n}
-        if fresh:
-            for c, count, d in trie.near(w, two):
-                if count > 2 * n and c not in found:
+        if fresh and len(w) >= LETTERS:
+            for c, count, d in trie.near(w, near[min(2, len(w) // LETTERS)]):
+                if count > RATIO * n and c not in found:
                     found[c] = (OTHER * d, False)
         found.pop(w, None)
         out += [(w, c, e, x) for c, (e, x) in found.items()]
@@ -439,13 +441,13 @@ def _routes(prefixes: list[tuple[str, int]]):
     """mapInArrow function: the shards in which an asked word may have readings: where the automata are alive at a prefix's end."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie, two = Trie(prefixes), Automata(2)
+        trie, near = Trie(prefixes), {1: Automata(1), 2: Automata(2)}
         for batch in batches:
             row, shard = [], []
             for k, (w, fresh) in enumerate(zip(batch.column("w").to_pylist(), batch.column("fresh").to_pylist(), strict=True)):
                 at = {n for n, _ in trie.readings(w, "prefix").values()}
-                if fresh:
-                    at |= {n for _, n, _ in trie.near(w, two, "prefix")}
+                if fresh and len(w) >= LETTERS:
+                    at |= {n for _, n, _ in trie.near(w, near[min(2, len(w) // LETTERS)], "prefix")}
                 row += [k] * len(at)
                 shard += at
             yield pa.RecordBatch.from_arrays([*(batch.column(c).take(pa.array(row, pa.int64())) for c in ("w", "n", "fresh")), pa.array(shard, pa.int32())], ["w", "n", "fresh", "shard"])
@@ -496,10 +498,13 @@ def candidates(asked: DataFrame, vocabulary: DataFrame, size: int | None = None,
         placed = vocabulary.withColumn("p", F.substring("w", 1, length)).join(names, "p").drop("p")
     blocks = F.ceil(F.col("asked") / block).cast("int")
     sizes = cut(routed.groupBy("shard").agg(F.count("*").alias("asked")).select("shard", blocks.alias("blocks")))
-    sizes = F.broadcast(sizes)  # one row per shard
-    a = routed.join(sizes, "shard").select("w", "n", "fresh", "shard", F.pmod(F.xxhash64("w"), F.col("blocks")).cast("int").alias("block"))
-    v = placed.join(sizes, "shard").select("w", "n", "shard", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
-    return a.groupBy("shard", "block").cogroup(v.groupBy("shard", "block")).applyInPandas(_retrieve, "w string, meant string, errors int, explained boolean")
+    few = F.broadcast(sizes)  # one row per shard
+    a = routed.join(few, "shard").select("w", "n", "fresh", "shard", F.pmod(F.xxhash64("w"), F.col("blocks")).cast("int").alias("block"))
+    v = placed.join(few, "shard").select("w", "n", "shard", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+    # As many partitions as there are blocks, up to PARTITIONS: they are small in bytes, but each is much work.
+    n = max(1, min(sizes.agg(F.sum("blocks")).first()[0] or 1, PARTITIONS))
+    a, v = (x.repartition(n, "shard", "block").groupBy("shard", "block") for x in (a, v))
+    return a.cogroup(v).applyInPandas(_retrieve, "w string, meant string, errors int, explained boolean")
 
 
 class Known:
@@ -533,9 +538,9 @@ def examine(pages: DataFrame, clean: DataFrame) -> Repair:
     neighbour counts. A broken word goes on in the next text line that is not furniture, or on the next page of the paper that has
     one; it keeps its hyphen if that form is the commoner one. It may have lost its hyphen: then its parts are put together if
     that is a known word and one of them is none. For every distinct word the commoner vocabulary words are retrieved by
-    automata over tries of it: all that misreadings alone turn into it and, if clean pages don't have it, all within two
-    edits. They are ranked by frequency, by their neighbours in the text and by the cost of the edits, where one that is no
-    known misreading costs more, and is taken on the word of both neighbours only, in a word of four letters an edit. Words of the clean pages are changed only
+    automata over tries of it: all that misreadings alone turn into it and, if clean pages don't have it, all within one edit, or
+    two from eight letters on. They are ranked by frequency, by their neighbours in the text and by the cost of the edits, where one that is no
+    known misreading costs more, and is taken on the word of both neighbours only. Words of the clean pages are changed only
     where their neighbours speak strongly for the other word. Null and empty pages have nothing to repair; repeated page rows count once.
     """
     pages = pages.filter("text is not null and page_id is not null").dropDuplicates(["page_id"]).select("page_id", "paper_id", "page_index", "text")
@@ -675,9 +680,9 @@ def _readings(every: DataFrame, known: Known) -> DataFrame:
     if known.pairs is None:
         known.asked, known.pairs = asked.select("w"), pairs
     else:
-        pairs = pairs.unionByName(known.pairs)
+        pairs = cut(pairs.unionByName(known.pairs))
 
-    at = every.withColumn("w", F.lower("word")).join(pairs, "w")
+    at = cut(every.withColumn("w", F.lower("word")).join(_small(pairs), "w"))
     tab = F.lit("\t")
     # Counts of the pairs of the reading and of the word with its neighbours.
     asks = at.select("page_id", "line_no", "pos", "meant", F.explode(F.array(
@@ -693,7 +698,7 @@ def _readings(every: DataFrame, known: Known) -> DataFrame:
     new = (F.col("clean") == 0) & ((F.col("n_meant") > 4 * F.col("scan")) | (F.col("for_it") > 0))
     strong = (F.col("for_it") >= 5) & (F.col("for_it") > RATIO * F.greatest(F.col("for_word") - 2, F.lit(0))) & (F.col("n_meant") > RATIO * F.col("clean"))
     score = F.log1p("n_meant") + 2 * F.log1p("for_it") - 3.0 * F.col("errors")
-    told_by_all = (F.col("clean") == 0) & (F.col("sides") == 2) & (F.length("w") * OTHER >= 4 * F.col("errors")) & (F.col("for_it") > F.col("for_word")) & (F.col("n_meant") > RATIO * F.col("scan"))
+    told_by_all = (F.col("sides") == 2) & (F.col("for_it") > F.col("for_word"))
     best = judged.filter(F.when(F.col("explained"), new | strong).otherwise(told_by_all)).groupBy("page_id", "line_no", "pos").agg(
         F.max(F.struct(score.alias("s"), F.col("meant").alias("m"), F.col("surface").alias("surface"), F.col("word").alias("word"), F.col("head").alias("head"), F.col("tail").alias("tail"))).alias("b")
     ).select("page_id", "line_no", "pos", "b.*")
