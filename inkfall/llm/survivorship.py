@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 # Ways of saying that nothing was reported, in lower case and without blanks, stops and dashes.
 NOTHING = ("", "nr", "n/a", "na", "null", "none", "nan", "nil", "?", "not reported", "not stated", "not available", "not applicable", "unknown", "unreported", "missing")
 
+#: Papers up to which their keys go to all tasks.
+SMALL = 500_000
+
 # Confidence by its first letter.
 TRUST = {"h": 3, "m": 2, "l": 1}
 
@@ -48,15 +51,17 @@ def file_key(name: Column) -> Column:
 def with_paper(records: DataFrame, papers: DataFrame) -> DataFrame:
     """Fill a missing ``paper_id`` by the paper whose file the record names; records of no known paper keep a null.
 
-    Only records without an id are looked up. Of papers with the same file key the smallest id counts.
+    Only records without an id are looked up; the others carry keys that meet nothing, spread by their files, so the records
+    are read once and no key is hot. Of papers with the same file key the smallest id counts.
     """
     known = papers.select(file_key(F.col("source_pdf")).alias("_key"), F.col("paper_id").alias("_paper")).filter("_key is not null")
     known = known.groupBy("_key").agg(F.min("_paper").alias("_paper"))
-    # Rows that have their id take no part in the join: their null keys would all meet in one task.
-    lacking = records.filter("paper_id is null").withColumn("_key", file_key(F.col("source_pdf")))
-    keyed = lacking.filter("_key is not null").join(known, "_key", "left").withColumn("paper_id", F.col("_paper"))
-    whole = records.filter("paper_id is not null").unionByName(keyed.select(*records.columns))
-    return whole.unionByName(lacking.filter("_key is null").select(*records.columns))
+    asked = F.when(F.col("paper_id").isNull(), file_key(F.col("source_pdf")))
+    nothing = F.concat(F.lit("\x00"), F.pmod(F.xxhash64("source_pdf", "paper_id"), F.lit(65_536)).cast("string"))
+    keyed = records.withColumn("_key", F.coalesce(asked, nothing))
+    few = papers.select("paper_id").count() <= SMALL
+    both = keyed.join(F.broadcast(known) if few else known, "_key", "left")
+    return both.withColumn("paper_id", F.coalesce("paper_id", "_paper")).select(*records.columns)
 
 
 def surviving(
@@ -71,18 +76,20 @@ def surviving(
 
     ``columns`` names each column with the condition that it has a value. The best value is that of the highest
     ``rank``, then the latest ``updated`` (a null is the earliest), then the smallest ``record_id``; one aggregation
-    takes the maximum of a composite struct per column, with partial maxima before the shuffle, so a hot group
-    costs no more than its map-side partials. Result: the keys, ``first_record_id``, ``n_records`` (distinct ids) and per column a struct
+    takes the extreme of a composite struct per column, with partial ones before the shuffle, so a hot group
+    costs no more than its map-side partials. Rank and time are negated in it, so ids of any kind settle ties by the smallest. Result: the keys, ``first_record_id``, ``n_records`` (distinct ids) and per column a struct
     ``<column>`` of ``value`` and ``record_id``, null where no record has a value. Rows with a null key form no
     group and are left out; repeated rows change nothing; ties are settled by the record id.
     """
-    rid = record_id.cast("bigint")
     best = []
     for name, valid in columns.items():
-        s = F.struct(rank.cast("int").alias("rank"), updated.alias("at"), (-rid).alias("minus"), F.col(name).alias("value"))
-        top = F.max(F.when(valid & F.col(name).isNotNull(), s))
-        best.append(F.when(top.isNotNull(), F.struct(top["value"].alias("value"), (-top["minus"]).alias("record_id"))).alias(name))
+        own = valid & F.col(name).isNotNull()
+        # The greatest rank and time, and among those the smallest id: one struct, of which the least is taken.
+        late = F.coalesce(-F.unix_micros(updated.cast("timestamp")), F.lit((1 << 63) - 1))
+        s = F.struct((-rank).cast("int").alias("rank"), late.alias("at"), record_id.alias("record_id"), F.col(name).alias("value"))
+        top = F.min(F.when(own, s))
+        best.append(F.when(top.isNotNull(), F.struct(top["value"].alias("value"), top["record_id"].alias("record_id"))).alias(name))
     rows = records.filter(" and ".join(f"`{k}` is not null" for k in keys))
-    return rows.groupBy(*keys).agg(F.min(rid).alias("first_record_id"), F.max(rid).alias("_last"), *best).withColumn(
+    return rows.groupBy(*keys).agg(F.min(record_id).alias("first_record_id"), F.max(record_id).alias("_last"), *best).withColumn(
         "several", F.col("_last") > F.col("first_record_id")
     ).drop("_last")

@@ -65,6 +65,19 @@ def test_trust_then_time_then_id(spark):
     assert survivors(spark, []) == {}
 
 
+def test_ids_of_any_kind_and_papers_by_file(spark, monkeypatch):
+    a = datetime(2024, 1, 1)
+    df = spark.createDataFrame([("r2", "a", "x", "m", a), ("r1", "a", "y", "m", a), ("r3", "a", "z", "l", a)], "record_id string, k string, v string, c string, at timestamp")
+    r = survivorship.surviving(df, ["k"], {"v": F.lit(True)}, survivorship.trust_rank(F.col("c")), F.col("at"), F.col("record_id")).first()
+    assert (r.first_record_id, r.v.value, r.v.record_id, r.several) == ("r1", "y", "r1", True)
+    papers = spark.createDataFrame([("P1", "Aa_1.pdf"), ("P0", "aa 1.PDF"), ("P2", "b.pdf"), ("P3", None)], "paper_id string, source_pdf string")
+    rows = spark.createDataFrame([(1, None, "x/aa-1.pdf", "k"), (2, "P9", "b.pdf", "k"), (3, None, "zz.pdf", "k"), (4, None, None, "k"), (1, None, "x/aa-1.pdf", "k")], "record_id int, paper_id string, source_pdf string, _paper string")
+    for small in (500_000, 0):
+        monkeypatch.setattr(survivorship, "SMALL", small)
+        got = sorted((r.record_id, r.paper_id or "") for r in survivorship.with_paper(rows.drop("_paper"), papers).collect())
+        assert got == [(1, "P0"), (1, "P0"), (2, "P9"), (3, ""), (4, "")]
+
+
 def test_no_value_in_many_ways(spark):
     rows = ["nr", "N.A.", "n/a", "Not stated.", "—", "-", "?", "", " ", "null", "not reported", "0", "narrow", "none at all"]
     got = spark.createDataFrame([(x,) for x in rows], "x string").select(survivorship.has_value(F.col("x")).alias("y")).collect()
