@@ -261,7 +261,7 @@ _SUSPENDED = frozenset(SUSPENDED.split())
 def _plain(word: str | None) -> str:
     if word is None:
         return ""
-    return "#" if word.replace(".", "").replace(",", "").isdigit() else word.lower()
+    return word.lower() if word.isalpha() else "#" if word.replace(".", "").replace(",", "").isdigit() else word.lower()
 
 
 def _all_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -271,13 +271,10 @@ def _all_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for pid, text, dropped, overleaf, taken in zip(*cols, strict=True):
             words, loose = _page_words(text, set(dropped or ()), overleaf, taken)
             last = {n: k for k, (n, *_) in enumerate(words)}
-            names = [w if w is not None else h + t for _, _, w, h, t in words]
+            names = ["", *(_plain(w if w is not None else h + t) for _, _, w, h, t in words), "", ""]
             for k, (n, pos, w, h, t) in enumerate(words):  # a page's first word that another page's last goes on with is counted there
-                before = _plain(names[k - 1]) if k else ""
-                after = _plain(names[k + 1]) if k + 1 < len(names) else ""
                 line, follow = loose.get(n, (None, None)) if last[n] == k and w is not None else (None, None)
-                beyond = _plain(names[k + 2]) if line is not None and k + 2 < len(names) else ""
-                rows.append((pid, n, pos, w, before, after, h, t, line, follow or None, beyond))
+                rows.append((pid, n, pos, w, names[k], names[k + 2], h, t, line, follow or None, names[k + 3] if line is not None else ""))
         data = list(zip(*rows, strict=True)) if rows else [[] for _ in range(11)]
         kinds = [pa.int64(), pa.int32(), pa.int32(), *[pa.string()] * 5, pa.int32(), pa.string(), pa.string()]
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(data, kinds, strict=True)], [x.split()[0] for x in _WORDS.split(", ")])
