@@ -876,11 +876,18 @@ def repaired_texts(reports: DataFrame, sentences: DataFrame, pages: DataFrame, c
     one place on its page. Null texts are left out; repeated keys count once; an empty text stays empty.
     """
     pages = cut(pages.filter("text is not null and page_id is not null").dropDuplicates(["page_id"]).select("page_id", "paper_id", "page_index", "text"))
-    by_paper = pages.groupBy("paper_id").agg(F.collect_list(F.struct(F.col("page_index").alias("page"), F.col("text").alias("page_text"))).alias("known"))
     reports = reports.filter("text is not null and report_id is not null").dropDuplicates(["report_id"])
-    parts = cut(spread(reports.join(by_paper, "paper_id", "left")).mapInArrow(_parts, "report_id bigint, paper_id string, page_index int, text string"))
-    place = ["paper_id", "page_index", "text"]
-    parts = parts.join(pages.groupBy(*place).agg(F.min("page_id").alias("page_id")), place, "left")
+    shape = "report_id bigint, paper_id string, page_index int, text string"
+    # Most texts are made of the pages they were recorded with; only the others meet the pages of their paper.
+    parts = cut(spread(reports.withColumn("known", F.lit(None).cast(reports.schema["own"].dataType))).mapInArrow(_parts, shape))
+    open_ = parts.filter("page_index is null")
+    by_paper = pages.join(open_.select("paper_id").distinct(), "paper_id", "left_semi").groupBy("paper_id").agg(F.collect_list(F.struct(F.col("page_index").alias("page"), F.col("text").alias("page_text"))).alias("known"))
+    again = open_.select("report_id", "paper_id", "text").join(by_paper, "paper_id", "left").withColumn("own", F.col("known"))
+    parts = parts.filter("page_index is not null").unionByName(again.mapInArrow(_parts, shape))
+    # Pages are the same by their text's digest; the texts themselves stay where they are.
+    place = ["paper_id", "page_index", "digest"]
+    ids = cut(pages.groupBy("paper_id", "page_index", F.md5("text").alias("digest")).agg(F.min("page_id").alias("page_id")))
+    parts = parts.withColumn("digest", F.md5("text")).join(_small(ids), place, "left").drop("digest")
     parts = parts.withColumn("new", F.col("page_index").isNotNull() & F.col("page_id").isNull())
     # Pages that only a report has get keys below zero.
     parts = cut(parts.withColumn("page_id", F.when(F.col("new"), -F.abs(F.xxhash64("report_id", "page_index"))).otherwise(F.col("page_id"))))
