@@ -36,7 +36,7 @@ def branch_scores(reports: DataFrame, papers: DataFrame) -> DataFrame:
     text = F.coalesce("full_pdf_text", F.lit(""))
     failed = (F.coalesce("status", F.lit("")) == "fail") | (F.trim(text) == "")
     heading = text.rlike(r"(?m)^\s*\d+\.?\s+[A-Z]") | text.rlike(r"(?m)^\s*[A-Z][A-Z ]{3,}\s*$") | text.rlike(r"(?im)^\s*(?:Abstract|Introduction|Methods|Results|Discussion|Conclusion|References)\b")
-    weird = F.length(text) - F.length(F.regexp_replace(text, "[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f\\x7f-\\x9f�￰-￿]", ""))
+    weird = F.length(text) - F.length(F.regexp_replace(text, "[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f�￰-￿]", ""))
     base = reports.join(papers.select("paper_id", "n_pages").dropDuplicates(["paper_id"]), "paper_id", "left")
     with_text = F.size(F.filter(F.coalesce("page_texts", F.array().cast("array<struct<page:int,page_text:string>>")), lambda p: F.trim(F.coalesce(p["page_text"], F.lit(""))) != ""))
     facts = base.select(
@@ -129,3 +129,23 @@ def verification_status(score: Column, threshold: float, available: Column, mode
         raise ValueError(f"no mode {mode!r}")
     missing = {"skip": "skipped", "fail": "error", "degrade": "degraded"}[mode]
     return F.when(~available, missing).when(score >= threshold, "candidate_match").otherwise("no_match")
+
+
+def rationale(scored: DataFrame, failed: DataFrame, preferred: str = "grobid") -> DataFrame:
+    """``paper_id``, ``report_id`` of the best branch and why it, rather than the preferred one, was taken.
+
+    ``scored`` is that of ``branch_scores``; ``failed`` (report_id, failed, empty) says which branches gave nothing.
+    """
+    best = scored.filter("place = 1").select("paper_id", "report_id", "source", "composite")
+    own = scored.filter(F.lower("source") == preferred).join(failed, "report_id", "left").groupBy("paper_id").agg(F.min_by(F.struct("composite", "failed", "empty"), "place").alias("p"))
+    both = best.join(own, "paper_id", "left")
+    name, p = F.lit(preferred.upper()), F.col("p")
+    score = lambda c: F.format_string("%.3f", c)
+    reason = (
+        F.when(F.lower("source") == preferred, F.concat(name, F.lit(" selected as primary (composite="), score(F.col("composite")), F.lit(")")))
+        .when(p.isNull(), F.concat("source", F.lit(" selected as primary (composite="), score(F.col("composite")), F.lit("); no "), name, F.lit(" branch available")))
+        .when(p["empty"], F.concat("source", F.lit(" selected as primary: "), name, F.lit(" branch empty")))
+        .when(p["failed"], F.concat("source", F.lit(" selected as primary: "), name, F.lit(" branch failed")))
+        .otherwise(F.concat("source", F.lit(" selected as primary: "), name, F.lit(" quality score below threshold ("), name, F.lit(" composite="), score(p["composite"]), F.lit(", "), "source", F.lit(" composite="), score(F.col("composite")), F.lit(")")))
+    )
+    return both.select("paper_id", "report_id", reason.alias("rationale"))

@@ -124,3 +124,38 @@ def char_ranges(reports: DataFrame) -> DataFrame:
     rows = reports.select("report_id", F.coalesce("full_pdf_text", F.lit("")).alias("t"), F.posexplode("sentence_records").alias("ord", "s")).filter("s.sentence is not null")
     at = F.call_function("instr", F.col("t"), F.col("s.sentence")) - 1
     return rows.select("report_id", "ord", at.alias("start"), F.when(at >= 0, at + F.length("s.sentence")).otherwise(-1).alias("end"), (at < 0).alias("one_engine_only"))
+
+
+def annotation_records(sentences: DataFrame, blocks: DataFrame, around: int = 20) -> DataFrame:
+    """A record for every sentence (paper_id, ord, sentence, page_index, ocr, start, end) with its quotation and its place.
+
+    The quotation's context is what stands ``around`` its first occurrence in the paper's sentences joined by blanks. A native
+    sentence has the range of the last sentence of the same text (0, 0 without one); a scanned one the box of the first
+    block (paper_id, page_index, block_index, x0, y0, x1, y1) of its page, as x, y, width and height. Sentences of a paper meet as one
+    text in one row, as their context needs.
+    """
+    per = sentences.groupBy("paper_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", "sentence"))), lambda x: x["sentence"]), " ").alias("full"))
+    ranges = sentences.filter("start is not null").groupBy("paper_id", "sentence").agg(F.max_by(F.struct("start", "end"), "ord").alias("r"))
+    first = blocks.groupBy("paper_id", "page_index").agg(F.min_by(F.struct("x0", "y0", "x1", "y1"), "block_index").alias("b"))
+    rows = sentences.drop("start", "end").join(per, "paper_id").join(ranges, ["paper_id", "sentence"], "left").join(first, ["paper_id", "page_index"], "left")
+    at = F.call_function("instr", F.col("full"), F.col("sentence"))
+    prefix = F.when(at > 0, F.substring(F.col("full"), F.greatest(at - around, F.lit(1)), F.least(at - 1, F.lit(around)))).otherwise("")
+    suffix = F.when(at > 0, F.substring(F.col("full"), at + F.length("sentence"), F.lit(around))).otherwise("")
+    zero = F.lit(0.0)
+    x0, y0, x1, y1 = (F.coalesce(F.col(f"b.{c}"), zero) for c in ("x0", "y0", "x1", "y1"))
+    xywh = F.concat_ws(",", *[c.cast("string") for c in (x0, y0, x1 - x0, y1 - y0)])
+    return rows.select(
+        "paper_id", "ord", "sentence", F.when(F.col("ocr"), "FragmentSelector").otherwise("TextPositionSelector").alias("selector"),
+        F.when(~F.col("ocr"), F.coalesce("r.start", F.lit(0))).alias("start"), F.when(~F.col("ocr"), F.coalesce("r.end", F.lit(0))).alias("end"), F.when(F.col("ocr"), xywh).alias("xywh"), prefix.alias("prefix"), suffix.alias("suffix"),
+    )
+
+
+def unified(primary: DataFrame, secondary: DataFrame, entries: DataFrame) -> DataFrame:
+    """One record per paper: how many parts each layer has, how the alignment's entries agree, and where it all comes from."""
+    def counts(df: DataFrame, name: str) -> DataFrame:
+        return df.groupBy("paper_id").agg(F.count("*").alias(f"n_{name}"), *[F.count(F.when(F.col("layer") == k, 1)).alias(f"{name}_{k}") for k in (("sections", "paragraphs", "references") if name == "semantic" else ("tables", "figures", "blocks"))], F.min("report_id").alias(f"{name}_report"))
+
+    a, b = counts(layers(primary), "semantic"), counts(structure(secondary), "structural")
+    agree = entries.groupBy("paper_id").agg(F.count("*").alias("n_entries"), *[F.count(F.when(F.col("agreement") == k, 1)).alias(f"n_{k}") for k in ("full", "partial", "divergent", "present")])
+    rows = a.join(b, "paper_id", "left").join(agree, "paper_id", "left").na.fill(0)
+    return rows.withColumn("provenance", F.to_json(F.struct(F.col("semantic_report").alias("semantic"), F.col("structural_report").alias("structural"))))

@@ -261,5 +261,37 @@ ORACLE_SQL = {
         case when length({_collapse('item_text')}) <= 200 then {_collapse('item_text')} else case when contains(substr({_collapse('item_text')}, 1, 200), ' ') then regexp_extract(substr({_collapse('item_text')}, 1, 200), '(?s)^(.+) [^ ]*$', 1) else substr({_collapse('item_text')}, 1, 200) end end as snippet,
         cast(len(regexp_extract_all(item_text, '{QUANTITY}')) as int) as n_quantities, array_to_string(list_slice(regexp_extract_all(regexp_replace(item_text, '[ªµº\\x{{C0}}-\\x{{24F}}\\x{{370}}-\\x{{1FFF}}\\x{{3040}}-\\x{{D7FF}}]', '_', 'g'), '{ENTITY}'), 1, 10), '|') as entities,
         cast(len(list_filter(string_split(regexp_replace(item_text, '([.!?])' || '{_S}' || '+', '\\1' || chr(1), 'g'), chr(1)), lambda w: regexp_replace(w, '{_S}', '', 'g') <> '')) as int) as n_sentences from {_ITEMS}""",
+    "merged_with_malformed": f"""select m.paper_id, m.field_index, case when b.bad then null else merged_value end as merged_value, case when b.bad then 'nr' else merged_confidence end as merged_confidence, case when b.bad then '' else locations end as locations, conflict or b.bad as conflict, n_values
+        from ({_MERGED}) m join (select paper_id, field_index, bool_or(loc is null) as bad from {_RECORDS} group by 1, 2) b on m.paper_id = b.paper_id and m.field_index = b.field_index""",
+    "papers_without_conflict": f"select paper_id, count(*) filter (conflict) = 0 as skipped_synthesis, count(*) filter (conflict) as n_conflicts from ({_MERGED}) group by 1",
+    "conflict_candidates": f"""with r as (select * from (select *, row_number() over (partition by paper_id, field_index order by {_RANK} desc, record_id) as place from {_RECORDS} where paper_id is not null) where place <= 5),
+        t as (select record_id, coalesce((select string_agg(i.item_text, chr(10) order by l.pos) from (select unnest(r.loc) as x, generate_subscripts(r.loc, 1) as pos) l join {_ITEMS} i on i.paper_id = r.paper_id and i.item_id = l.x where i.item_text <> ''), '') as t from r)
+        select r.paper_id, r.field_index, r.record_id, cast(place as int) as place, field_name, extracted_value as value, coalesce(array_to_string(loc, ','), '') as evidence_ids,
+            case when length(t) <= 200 then t when contains(substr(t, 1, 200), ' ') then regexp_extract(substr(t, 1, 200), '(?s)^(.+) [^ ]*$', 1) else substr(t, 1, 200) end as snippet
+        from r join t using (record_id) join ({_MERGED}) m on m.paper_id = r.paper_id and m.field_index = r.field_index where m.conflict""",
+    "synthesis_fields": f"""select paper_id, field_index from (select distinct paper_id from ({_MERGED})) p cross join (select field_index from extraction_map where cast(split_part(domain_group, '.', 1) as int) = 12) f union select paper_id, field_index from ({_MERGED}) where conflict""",
+    "prefilled_fields": "select paper_id, field_index, field_name, v as extracted_value, case when v = 'nr' then 'nr' else 'h' end as confidence from (select paper_id, 1 as field_index, coalesce(nullif(lang, ''), 'nr') as v from papers union all select paper_id, 2, coalesce(nullif(regexp_extract(source_pdf, '(?:19|20)\\d{2}'), ''), 'nr') from papers) join extraction_map using (field_index)",
+    "left_to_ask": """select p.paper_id, m.field_index from papers p cross join extraction_map m where not (m.field_index = 1 and coalesce(p.lang, '') not in ('', 'nr')) and not (m.field_index = 2 and regexp_matches(p.source_pdf, '(?:19|20)\\d{2}'))""",
+    "protected_items": f"""select distinct paper_id, item_id from (select paper_id, unnest(string_split(locations, ',')) as item_id from ({_MERGED}) where merged_confidence = 'h' and locations <> '' union all select paper_id, unnest(loc) from {_RECORDS} where paper_id is not null and lower(trim(confidence)) = 'h')""",
+    "report_totals": f"select count(distinct paper_id) as n_papers, count(*) as n_fields, count(*) filter (lower(trim(confidence)) in ('l', 'nr')) as n_flagged, count(*) filter (extracted_value = 'nr') as n_missing from {_RECORDS}",
+    "sentence_rows": f"""with h as (select paper_id, item_id, trim(regexp_replace(regexp_replace(list_reduce(string_split(coalesce(item_text, ''), chr(10)), lambda a, b: a || case when regexp_matches(b, '^[A-Z\\-*•·]') then chr(10) else ' ' end || b), '\\n{{2,}}', chr(10), 'g'), '[ \\t]+', ' ', 'g')) as t from {_ITEMS} where page is not null),
+        s as (select paper_id, item_id, {_collapse("unnest(string_split(regexp_replace(t, '([.!?])" + _S + "+', '\\1' || chr(1), 'g'), chr(1)))")} as item_text from h)
+        select paper_id, item_id, item_text as sentence from s where length(item_text) >= 20 and not ({_NOISE})""",
+    "points_outside_tables": f"""select paper_id, item_id from {_ITEMS} i where page is not null and len(coords) = 4 and item_type <> 'table' and not exists (select 1 from {_ITEMS} t where t.paper_id = i.paper_id and t.page = i.page and t.item_type = 'table' and len(t.coords) = 4 and i.coords[1] between t.coords[1] and t.coords[3] and i.coords[2] between t.coords[2] and t.coords[4])""",
+    "annotation_records": f"""with n as (select paper_id, ann_id as ord, sentence_text as sentence, coalesce(ocr_derived, false) as ocr, case when char_end > 0 then char_start end as s, case when char_end > 0 then char_end end as e from {_NOTES} where paper_id is not null and sentence_text is not null),
+        f as (select paper_id, string_agg(sentence, ' ' order by ord) as t from n group by 1), r as (select paper_id, sentence, arg_max(s, ord) as s, arg_max(e, ord) as e from n where s is not null group by 1, 2)
+        select n.paper_id, n.ord, n.sentence, case when ocr then 'FragmentSelector' else 'TextPositionSelector' end as selector, case when not ocr then coalesce(r.s, 0) end as start, case when not ocr then coalesce(r.e, 0) end as end, substr(t, greatest(p - 20, 1), least(p - 1, 20)) as prefix, substr(t, p + length(n.sentence), 20) as suffix, case when ocr then 4 end as n_xywh
+        from (select n.*, f.t, instr(f.t, n.sentence) as p from n join f using (paper_id)) n left join r on r.paper_id = n.paper_id and r.sentence = n.sentence""",
+    "canonical_papers": """select paper_id as key, c as content, sha256(c) as id from (select paper_id, '{"lang":' || coalesce(to_json(lang), 'null') || ',"n_pages":' || coalesce(n_pages::varchar, 'null') || ',"paper_id":' || to_json(paper_id) || '}' as c from papers)""",
+    "response_log": "select distinct candidate_id, substr(payload, 1, 12) as preview, length(payload) as n_chars, sha256(payload) as sha256 from candidates",
+    "branch_scores": f"""with b as (select report_id, r.paper_id, r.source, coalesce(full_pdf_text, '') as t, coalesce(r.status, '') = 'fail' or trim(coalesce(full_pdf_text, '')) = '' as failed, n_pages,
+            len(list_filter(coalesce(page_texts, []), lambda p: trim(coalesce(p.page_text, '')) <> '')) as filled from coverage_reports r left join papers p using (paper_id)),
+        w as (select report_id, paper_id, unnest(list_distinct({_words('lower(t)')})) as w from b), n as (select paper_id, w, count(*) as n from w group by 1, 2), k as (select paper_id, count(distinct report_id) as k from w group by 1),
+        a as (select w.report_id, case when max(k.k) = 1 then 1.0 else count(*) filter (n.n > 1) / count(*) end as agreement from w join n on n.paper_id = w.paper_id and n.w = w.w join k on k.paper_id = w.paper_id group by 1),
+        s as (select b.*, round(case when failed then 0.0 else 0.30 + 0.25 * case when n_pages > 0 then least(filled / n_pages, 1.0) else 0.0 end
+            + 0.10 * case when regexp_matches(t, '(?m)^[\\s\\x0B]*\\d+\\.?[\\s\\x0B]+[A-Z]') or regexp_matches(t, '(?m)^[\\s\\x0B]*[A-Z][A-Z ]{{3,}}[\\s\\x0B]*$') or regexp_matches(t, '(?im)^[\\s\\x0B]*(?:Abstract|Introduction|Methods|Results|Discussion|Conclusion|References)\\b') then 1 else 0 end
+            + 0.10 * case when length(t) between 500 and 200000 then 1 else 0 end + 0.10 * (1.0 - case when length(t) > 0 then (length(t) - length(regexp_replace(t, '[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f\\x{{FFFD}}\\x{{FFF0}}-\\x{{FFFF}}]', '', 'g'))) / length(t) else 1.0 end)
+            + 0.15 * coalesce(agreement, 0.0) end, 9) as composite from b left join a using (report_id))
+        select paper_id, report_id, source, cast(composite as double) as composite, cast(row_number() over (partition by paper_id order by composite desc, report_id) as int) as place from s""",
 }
 ORACLE_SQL = {k: v for k, v in ORACLE_SQL.items() if v}

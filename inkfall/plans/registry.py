@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from inkfall.functions import text as T
 from inkfall.operators import annotations, branches, budget, coverage, evidence, fields, fonts, pages, reconcile, runs, search, validation
+from inkfall.plans import stages
 from inkfall.plans.oracles import ORACLE_SQL
+from inkfall.sources import files
 from inkfall.sources.tables import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -584,6 +586,109 @@ def evidence_types(spark, folder):
     return _items(spark, folder).groupBy("item_type").agg(F.count("*").alias("n"))
 
 
+@query
+def merged_with_malformed(spark, folder):
+    """Records without a location list stand for malformed ones."""
+    return fields.merged(_records(spark, folder).withColumn("malformed", F.col("loc").isNull()))
+
+
+@query
+def papers_without_conflict(spark, folder):
+    return fields.runs_without_conflict(fields.merged(_records(spark, folder)))
+
+
+@query
+def conflict_candidates(spark, folder):
+    records = _records(spark, folder)
+    return fields.conflict_candidates(records, fields.merged(records), _items(spark, folder))
+
+
+@query
+def synthesis_fields(spark, folder):
+    return fields.synthesis_fields(fields.merged(_records(spark, folder)), table(spark, folder, "extraction_map"), 12)
+
+
+def _prefilled(spark: SparkSession, folder: str) -> DataFrame:
+    p = table(spark, folder, "papers")
+    values = p.select("paper_id", F.lit(1).alias("field_index"), F.col("lang").alias("value")).unionByName(p.select("paper_id", F.lit(2).alias("field_index"), T.first_year(F.col("source_pdf")).alias("value"))).unionByName(p.select("paper_id", F.lit(99).alias("field_index"), F.lit("x").alias("value")))
+    return fields.prefilled(values, table(spark, folder, "extraction_map"))
+
+
+@query
+def prefilled_fields(spark, folder):
+    return _prefilled(spark, folder)
+
+
+@query
+def left_to_ask(spark, folder):
+    return fields.left_to_ask(table(spark, folder, "papers"), table(spark, folder, "extraction_map"), _prefilled(spark, folder).filter("confidence = 'h'"))
+
+
+@query
+def protected_items(spark, folder):
+    records = _records(spark, folder).filter("paper_id is not null").withColumn("confidence", F.lower(F.trim("confidence")))
+    best = fields.merged(records).select("paper_id", F.col("merged_confidence").alias("confidence"), F.split("locations", ",").alias("loc")).filter("size(loc) > 0 and loc[0] <> ''")
+    return fields.protected(best, records.select("paper_id", "confidence", "loc"))
+
+
+@query
+def report_totals(spark, folder):
+    return fields.report_totals(_records(spark, folder))
+
+
+@query
+def sentence_rows(spark, folder):
+    blocks = _items(spark, folder).select("paper_id", "item_id", F.col("page").alias("page_index"), F.col("item_text").alias("text"))
+    return stages.sentence_rows(blocks).select("paper_id", "item_id", "sentence")
+
+
+@query
+def points_outside_tables(spark, folder):
+    """Items whose corner lies in no table of their page."""
+    items = _items(spark, folder).filter("page is not null and size(coords) = 4")
+    boxes = items.filter("item_type = 'table'").groupBy("paper_id", "page").agg(F.collect_list("coords").alias("boxes"))
+    rows = items.filter("item_type <> 'table'").join(boxes, ["paper_id", "page"], "left")
+    return rows.filter(fonts.outside(F.get("coords", F.lit(0)), F.get("coords", F.lit(1)), F.col("boxes"))).select("paper_id", "item_id")
+
+
+@query
+def annotation_records(spark, folder):
+    notes = table(spark, folder, "annotations").dropDuplicates(["ann_id"]).filter("paper_id is not null and sentence_text is not null")
+    rows = notes.select("paper_id", F.col("ann_id").alias("ord"), F.col("sentence_text").alias("sentence"), "page_index", F.coalesce("ocr_derived", F.lit(False)).alias("ocr"), F.when(F.col("char_end") > 0, F.col("char_start")).alias("start"), F.when(F.col("char_end") > 0, F.col("char_end")).alias("end"))
+    boxes = _items(spark, folder).filter("size(coords) = 4 and page is not null").select("paper_id", (F.col("page") - 1).alias("page_index"), F.col("item_id").alias("block_index"), *[F.floor(F.get("coords", F.lit(k))).cast("double").alias(c) for k, c in enumerate(("x0", "y0", "x1", "y1"))])
+    out = reconcile.annotation_records(rows, boxes)
+    return out.withColumn("n_xywh", F.size(F.split("xywh", ","))).drop("xywh")
+
+
+@query
+def unified_records(spark, folder):
+    a, b = _blocks(spark, folder, "grobid"), _blocks(spark, folder, "pdfplumber")
+    return reconcile.unified(a, b, reconcile.aligned(reconcile.paired(a, b)))
+
+
+@query
+def branch_rationale(spark, folder):
+    reports = table(spark, folder, "coverage_reports")
+    empty = F.trim(F.coalesce("full_pdf_text", F.lit(""))) == ""
+    failed = reports.select("report_id", (empty | F.coalesce(F.col("status") == "fail", F.lit(False))).alias("failed"), empty.alias("empty"))
+    return branches.rationale(branch_scores(spark, folder), failed)
+
+
+@query
+def run_report(spark, folder):
+    return runs.run_report(_usage(spark, folder))
+
+
+@query
+def canonical_papers(spark, folder):
+    return files.canonical(table(spark, folder, "papers").select("paper_id", "n_pages", "lang"), "paper_id")
+
+
+@query
+def response_log(spark, folder):
+    return files.response_log(table(spark, folder, "candidates").dropDuplicates(["candidate_id"]).select("candidate_id", F.col("payload").alias("raw")), most=12)
+
+
 def queries() -> dict[str, QueryFn]:
     return dict(_ALL)
 
