@@ -113,9 +113,16 @@ def _hash(text: str) -> int:
     return xxhash.xxh64_intdigest(text.encode()) - (1 << 63)
 
 
+def _few(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """Batches of a few pages each, whose words a task holds at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Every text line with its key; shape: 1 page number, 2 to 4 may be a running line (3: closed by a stop, 4: long or with a comma), 0 neither."""
-    for batch in batches:
+    for batch in _few(batches):
         rows: list[tuple] = []
         for pid, paper, index, text in zip(*(batch.column(c).to_pylist() for c in ("page_id", "paper_id", "page_index", "text")), strict=True):
             lines = text.split("\n")
@@ -265,7 +272,7 @@ def _plain(word: str | None) -> str:
 
 
 def _all_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in _few(batches):
         rows: list[tuple] = []
         cols = (batch.column(c).to_pylist() for c in ("page_id", "text", "dropped", "overleaf", "taken"))
         for pid, text, dropped, overleaf, taken in zip(*cols, strict=True):
@@ -730,7 +737,7 @@ def found(repair: Repair) -> DataFrame:
 
 def _rebuilt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pages without furniture, with whole words and right readings, in paragraphs."""
-    for batch in batches:
+    for batch in _few(batches):
         out, begins, ends = [], [], []
         cols = (batch.column(c).to_pylist() for c in ("text", "dropped", "overleaf", "taken", "fixes", "wholes"))
         for text, dropped, overleaf, taken, fixes, wholes in zip(*cols, strict=True):
