@@ -31,7 +31,7 @@ def service_annotation(raw: Column, kind: str, source: str) -> Column:
     text = F.coalesce(*[get(k) for k in TEXT_KEYS], F.lit(""))
     conf = F.coalesce(*[F.get_json_object(raw, f"$.{k}") for k in CONFIDENCE_KEYS]).try_cast("double")
     rest = F.map_filter(F.from_json(raw, "map<string,string>"), lambda k, _: ~k.isin(*TEXT_KEYS, *CONFIDENCE_KEYS))
-    return F.struct(text.alias("text"), F.lit(kind).alias("type"), F.lit(source).alias("source"), F.greatest(F.lit(0.0), F.least(F.lit(1.0), conf)).alias("confidence"), rest.alias("metadata"))
+    return F.struct(text.alias("text"), F.lit(kind).alias("type"), F.lit(source).alias("source"), F.when(conf.isNotNull(), F.greatest(F.lit(0.0), F.least(F.lit(1.0), conf))).alias("confidence"), rest.alias("metadata"))
 
 
 def enriched(items: DataFrame, answers: DataFrame, key: str, source: str) -> DataFrame:

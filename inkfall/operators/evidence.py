@@ -78,6 +78,20 @@ def packages(chosen: DataFrame) -> DataFrame:
     return per.select("paper_id", F.size("evidence").alias("evidence_count"), F.to_json(doc, {"ignoreNullFields": "false"}).alias("package"))
 
 
+def chunk_choice(items: DataFrame, fields: DataFrame, max_items: int = 150, max_chars: int = 10_000) -> DataFrame:
+    """The choice within the budget for every chunk by itself (fields: chunk, field_name, definition, reviewer_question): ``chunk`` and ``item_id`` per paper.
+
+    Every item is ranked once per chunk by that chunk's words; chunks are a handful of rows.
+    """
+    text = F.concat_ws(" ", "field_name", "definition", "reviewer_question")
+    words = fields.select("chunk", F.explode(F.regexp_extract_all(F.lower(text), F.lit("[a-z]{4,}"), F.lit(0))).alias("w")).distinct()
+    tokens = F.broadcast(words.groupBy("chunk").agg(F.collect_list("w").alias("tokens")))
+    rows = scored(items).crossJoin(tokens)
+    overlap = F.size(F.filter("tokens", lambda t: F.contains(F.lower(F.coalesce("item_text", F.lit(""))), t)))
+    rows = rows.withColumn("rank_score", F.col("rank_score") + 3 * overlap).select(F.struct("paper_id", "chunk").alias("paper_id"), "item_id", "item_text", "rank_score")
+    return within_budget(rows, max_items, max_chars).select("paper_id.paper_id", "paper_id.chunk", "item_id")
+
+
 def reduction(packed: DataFrame, texts: DataFrame) -> DataFrame:
     """By what share a package is shorter than its paper's text (paper_id, n_chars); 0 if it is not."""
     both = packed.join(texts, "paper_id")

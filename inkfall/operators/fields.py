@@ -79,6 +79,13 @@ def protected(*parts: DataFrame) -> DataFrame:
     return out.distinct()
 
 
+def final_fields(merged_rows: DataFrame, synthesised: DataFrame) -> DataFrame:
+    """The fields that merged without conflict and, of the others, what was synthesised (paper_id, field_index, value, confidence), in field order."""
+    kept = merged_rows.filter("not conflict").select("paper_id", "field_index", F.col("merged_value").alias("value"), F.col("merged_confidence").alias("confidence"))
+    open_ = merged_rows.filter("conflict").select("paper_id", "field_index")
+    return kept.unionByName(synthesised.join(open_, ["paper_id", "field_index"], "left_semi")).orderBy("paper_id", "field_index")
+
+
 def report_totals(records: DataFrame) -> DataFrame:
     """One row: papers, fields, those flagged (l or nr) and those not reported."""
     c = F.lower(F.trim("confidence"))

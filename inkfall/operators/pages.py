@@ -42,6 +42,12 @@ def page_summary(pages: DataFrame) -> DataFrame:
     )
 
 
+def spaced_text(pages: DataFrame) -> DataFrame:
+    """Per paper the texts of all pages joined by single blanks in page order; pages without text keep their place."""
+    one = pages.filter("page_index is not null").dropDuplicates(["paper_id", "page_index"]).select("paper_id", "page_index", F.coalesce("page_text", F.lit("")).alias("t"))
+    return one.groupBy("paper_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page_index", "t"))), lambda p: p["t"]), " ").alias("full_text"))
+
+
 def preceding_section(points: DataFrame, headings: DataFrame) -> DataFrame:
     """As-of join: for every (paper_id, page) the section of the last heading at or before that page.
 

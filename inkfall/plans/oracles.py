@@ -195,7 +195,7 @@ ORACLE_SQL = {
         g as (select o.paper_id, o.item_id, count(*) as n from a join o on a.paper_id = o.paper_id and a.at >= o.start and a.at < o."end" group by 1, 2)
         select i.paper_id, i.item_id, cast(coalesce(g.n, len(regexp_extract_all(i.item_text, '{QUANTITY}')), 0) as int) as n_found, case when g.n is not null then 'service' when len(regexp_extract_all(i.item_text, '{QUANTITY}')) > 0 then 'heuristic' else '' end as source
         from {_ITEMS} i left join g on i.paper_id = g.paper_id and i.item_id = g.item_id""",
-    "service_annotations": """select distinct candidate_id, coalesce(nullif(source, ''), nullif(payload, ''), '') as text, 'entity' as type, greatest(0.0, least(1.0, cand_index / 2.0)) as confidence, status as state from candidates""",
+    "service_annotations": """select distinct candidate_id, coalesce(nullif(source, ''), nullif(payload, ''), '') as text, 'entity' as type, case when cand_index is not null then greatest(0.0, least(1.0, cand_index / 2.0)) end as confidence, status as state from candidates""",
     "chunk_errors": f"""with r as (select paper_id, domain_group as chunk, record_id, field_index, extracted_value, loc, trim(confidence) as c, row_number() over (partition by paper_id, domain_group order by record_id) - 1 as pos from {_RECORDS} where paper_id is not null and domain_group is not null and field_index is not null),
         e as (select paper_id, chunk, pos, case when extracted_value is null or loc is null or c is null then 'missing_keys' when c not in ('h', 'm', 'l', 'nr') then 'confidence'
             when exists (select 1 from (select unnest(loc) as x) u where x not in (select item_id from evidence_items v where v.paper_id = r.paper_id)) then 'unknown_location' end as rule from r),
@@ -293,5 +293,19 @@ ORACLE_SQL = {
             + 0.10 * case when length(t) between 500 and 200000 then 1 else 0 end + 0.10 * (1.0 - case when length(t) > 0 then (length(t) - length(regexp_replace(t, '[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f\\x{{FFFD}}\\x{{FFF0}}-\\x{{FFFF}}]', '', 'g'))) / length(t) else 1.0 end)
             + 0.15 * coalesce(agreement, 0.0) end, 9) as composite from b left join a using (report_id))
         select paper_id, report_id, source, cast(composite as double) as composite, cast(row_number() over (partition by paper_id order by composite desc, report_id) as int) as place from s""",
+    "spaced_texts": "select paper_id, string_agg(coalesce(page_text, ''), ' ' order by page_index) as full_text from (select distinct on (paper_id, page_index) * from page_texts where page_index is not null) group by 1",
+    "final_fields": f"""with m as ({_MERGED}), r as (select *, row_number() over (partition by paper_id, field_index order by case lower(trim(confidence)) when 'h' then 3 when 'm' then 2 when 'l' then 1 when 'nr' then 0 else -1 end desc, record_id) as rn from {_RECORDS} where paper_id is not null and run_stage = 'synthesis')
+        select paper_id, field_index, merged_value as value, merged_confidence as confidence from m where not conflict union all select r.paper_id, r.field_index, r.extracted_value, r.confidence from r join m on m.paper_id = r.paper_id and m.field_index = r.field_index where m.conflict and rn = 1""",
+    "chunk_choice": f"""with recursive t as (select distinct [1, 1, 1, 2, 2, 3, 3, 3, 3, 4, 4, 4, 5][cast(split_part(domain_group, '.', 1) as int)] as chunk, unnest(regexp_extract_all(lower(concat_ws(' ', field_name, definition, reviewer_question)), '[a-z]{{4,}}')) as tok from extraction_map),
+        o as (select i.paper_id, i.item_id, c.chunk, (select count(*) from t where t.chunk = c.chunk and contains(lower(coalesce(i.item_text, '')), t.tok)) as overlap from {_ITEMS} i, (select distinct chunk from t) c),
+        r as (select i.paper_id, o.chunk, i.item_id, coalesce(length(item_text), 0) as n, row_number() over (partition by i.paper_id, o.chunk order by {_score('section_path')} + case item_type when 'figure_caption' then 5 when 'table' then 10 else 0 end + 3 * overlap desc, i.item_id) as rn from {_ITEMS} i join o on i.paper_id = o.paper_id and i.item_id = o.item_id),
+        g as (select paper_id, chunk, item_id, rn, case when n <= 3000 then n else 0 end as used, case when n <= 3000 then 1 else 0 end as c, n <= 3000 as kept from r where rn = 1
+            union all select r.paper_id, r.chunk, r.item_id, r.rn, g.used + case when g.c < 20 and g.used + r.n <= 3000 then r.n else 0 end, g.c + case when g.c < 20 and g.used + r.n <= 3000 then 1 else 0 end, g.c < 20 and g.used + r.n <= 3000 from g join r on r.paper_id = g.paper_id and r.chunk = g.chunk and r.rn = g.rn + 1)
+        select paper_id, chunk, item_id from g where kept""",
+    "cached_papers": "select paper_id, coalesce(n_pages % 2 = 1, false) as kept from papers",
+    "expected_indices": "select chunk, string_agg(field_index::varchar, ',' order by field_index) as indices from (select field_index, [1, 1, 1, 2, 2, 3, 3, 3, 3, 4, 4, 4, 5][cast(split_part(domain_group, '.', 1) as int)] as chunk from extraction_map) group by 1",
+    "exported_values": f"select record_id, {_bare('extracted_value')} as value from {_RECORDS}",
+    "block_sentences": f"""select report_id, cast(block_index as int) as block_index, cast(row_number() over (partition by report_id, block_index order by k) - 1 as int) as ord, s as sentence from (select report_id, block_index, {_collapse('s')} as s, k from (select report_id, block_index, unnest(l) as s, generate_subscripts(l, 1) as k from (select *, string_split(regexp_replace(text, '([.!?])' || '{_S}' || '+', '\\1' || chr(1), 'g'), chr(1)) as l from {_BLOCKS} where kind = 'paragraph'))) where s <> ''""",
 }
+ORACLE_SQL["valid_papers"] = f"select paper_id, bool_and(error is null) as ok, count(*) as n_chunks from ({ORACLE_SQL['chunk_errors']}) group by 1"
 ORACLE_SQL = {k: v for k, v in ORACLE_SQL.items() if v}

@@ -689,6 +689,64 @@ def response_log(spark, folder):
     return files.response_log(table(spark, folder, "candidates").dropDuplicates(["candidate_id"]).select("candidate_id", F.col("payload").alias("raw")), most=12)
 
 
+@query
+def spaced_texts(spark, folder):
+    return pages.spaced_text(table(spark, folder, "page_texts"))
+
+
+@query
+def final_fields(spark, folder):
+    """The best synthesised record of each field stands for the synthesis."""
+    records = _records(spark, folder)
+    rank = T.confidence_rank(F.lower(F.trim("confidence")))
+    best = records.filter("paper_id is not null and run_stage = 'synthesis'").groupBy("paper_id", "field_index").agg(F.max(F.struct(rank.alias("r"), (-F.col("record_id")).alias("o"), F.col("extracted_value").alias("value"), "confidence")).alias("b"))
+    return fields.final_fields(fields.merged(records), best.select("paper_id", "field_index", "b.value", "b.confidence"))
+
+
+@query
+def chunk_choice(spark, folder):
+    m = table(spark, folder, "extraction_map")
+    chunk = runs.chunk_of(F.split_part("domain_group", F.lit("."), F.lit(1)).cast("int"))
+    return evidence.chunk_choice(_items(spark, folder), m.withColumn("chunk", chunk), 20, 3_000)
+
+
+@query
+def valid_papers(spark, folder):
+    """A paper is done if every one of its chunks is valid."""
+    outputs, expected = _outputs(spark, folder)
+    errors = validation.chunk_errors(outputs, expected, _items(spark, folder))
+    return errors.groupBy("paper_id").agg(F.bool_and(F.col("error").isNull()).alias("ok"), F.count("*").alias("n_chunks"))
+
+
+@query
+def cached_papers(spark, folder):
+    """Papers of the odd years stand for those that were made before."""
+    key = F.concat_ws("_", "paper_id", F.coalesce("pdf_content_hash", F.lit("nohash")), F.lit("map"))
+    p = table(spark, folder, "papers").select("paper_id", "n_pages", key.alias("digest"))
+    have, make = files.cached(p.select("paper_id", "digest"), p.filter("n_pages % 2 = 1").select("digest", F.lit(True).alias("kept")))
+    return have.select("paper_id", "kept").unionByName(make.select("paper_id", F.lit(False).alias("kept")))
+
+
+@query
+def expected_indices(spark, folder):
+    m = table(spark, folder, "extraction_map")
+    chunk = runs.chunk_of(F.split_part("domain_group", F.lit("."), F.lit(1)).cast("int"))
+    return m.groupBy(chunk.alias("chunk")).agg(F.array_join(F.array_sort(F.collect_list("field_index")), ",").alias("indices"))
+
+
+@query
+def exported_values(spark, folder):
+    """Values as they are exported, by the normalizer of that name."""
+    return _records(spark, folder).select("record_id", T.normalizer("aggressive")(F.col("extracted_value")).alias("value"))
+
+
+@query
+def block_sentences(spark, folder):
+    """The sentences of paragraphs, where a branch recorded none."""
+    blocks = _blocks(spark, folder).filter("kind = 'paragraph'")
+    return blocks.select("report_id", "block_index", F.posexplode(stages.SEGMENTERS["stops"](F.col("text"))).alias("ord", "sentence"))
+
+
 def queries() -> dict[str, QueryFn]:
     return dict(_ALL)
 
