@@ -86,7 +86,7 @@ def near_agreement(primary: DataFrame, candidate: DataFrame, threshold: float =
     shape = "paper_id string, n_primary int, n_candidate int, n_exact int, n_near int, agreement_rate double"
 
     def match(key: tuple, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        left, right = (x.sort_values("ord")["sentence"].tolist() for x in (a, b))
+        left, right = (x.sort_values(f"{c}_ord")[f"{c}_sentence"].tolist() for c, x in (("a", a), ("b", b)))
         free: dict[str, list[int]] = {}
         for i, s in enumerate(right):
             free.setdefault(s, []).append(i)
@@ -110,11 +110,11 @@ def near_agreement(primary: DataFrame, candidate: DataFrame, threshold: float =
             if at >= 0 and best >= threshold:
                 taken.add(at)
                 near += 1
-        paper = (a if len(a) else b)["paper_id"].iloc[0]
-        return pd.DataFrame([(paper, len(left), len(right), exact, near, (exact + near) / len(left) if left else 0.0)], columns=[c.split()[0] for c in shape.split(", ")])
+        return pd.DataFrame([(key[0], len(left), len(right), exact, near, (exact + near) / len(left) if left else 0.0)], columns=[c.split()[0] for c in shape.split(", ")])
 
-    rows = [df.filter("paper_id is not null").select("paper_id", "ord", "sentence") for df in (primary, candidate)]
-    return rows[0].groupBy("paper_id").cogroup(rows[1].groupBy("paper_id")).applyInPandas(match, shape)
+    # Columns of their own for either side, as both may come from one table.
+    rows = [df.filter("paper_id is not null").select(*[F.col(c).alias(f"{side}_{c}") for c in ("paper_id", "ord", "sentence")]) for side, df in (("a", primary), ("b", candidate))]
+    return rows[0].groupBy("a_paper_id").cogroup(rows[1].groupBy("b_paper_id")).applyInPandas(match, shape)
 
 
 def until_verified(checks: DataFrame) -> DataFrame:

@@ -95,9 +95,10 @@ _METRICS = f"""
 """
 
 
-def _sentences(source: str) -> str:
-    cut = "list_filter([" + _collapse("y") + " for y in string_split(regexp_replace(full_pdf_text, '([.!?])" + _S + "+', '\\1' || chr(1), 'g'), chr(1))], lambda w: w <> '')"
-    return f"""(select paper_id, ord, {_collapse("s")} as sentence from (select paper_id, unnest(l) as s, generate_subscripts(l, 1) as ord from (select paper_id, {cut} as l from coverage_reports where source = '{source}' and full_pdf_text is not null)))"""
+_CUT = "list_filter([" + _collapse("y") + " for y in string_split(regexp_replace(full_pdf_text, '([.!?])" + _S + "+', '\\1' || chr(1), 'g'), chr(1))], lambda w: w <> '')"
+_SENTENCES = f"""(select report_id, ord, {_collapse("s")} as sentence from (select report_id, unnest(l) as s, generate_subscripts(l, 1) as ord from (select report_id, {_CUT} as l from coverage_reports where full_pdf_text is not null)))"""
+#: Every two reports with text of a paper.
+_PAIRS = "(select a.report_id || '|' || b.report_id as reports, a.report_id as a, b.report_id as b from coverage_reports a join coverage_reports b on a.paper_id = b.paper_id and a.report_id < b.report_id where a.full_pdf_text is not null and b.full_pdf_text is not null)"
 
 
 _W = r"\pL\pM\p{Nd}\p{Pc}"
@@ -123,10 +124,10 @@ ORACLE_SQL = {
         from (select paper_id, source, count(*) filter (status = 'pass') as passes, count(*) as n, min(report_id) as first_seen from coverage_reports group by 1, 2)) where rn = 1""",
     "pairwise_agreement": """select a.report_id as report_a, b.report_id as report_b, case when coalesce(a.status, 'none') = coalesce(b.status, 'none') then 1.0::double else 0.0::double end as agreement
         from coverage_reports a join coverage_reports b on a.paper_id = b.paper_id and a.report_id < b.report_id""",
-    "exact_agreement": f"""select paper_id, cast(sum(na) as bigint) as n_primary, cast(sum(nb) as bigint) as n_candidate, cast(sum(least(na, nb)) as bigint) as n_exact, case when sum(na) > 0 then sum(least(na, nb)) / sum(na) else 0.0 end as agreement_rate
-        from (select paper_id, sentence, count(*) filter (side = 0) as na, count(*) filter (side = 1) as nb from (select *, 0 as side from {_sentences('grobid')} union all select *, 1 from {_sentences('pdfplumber')}) group by 1, 2) group by 1""",
-    "zipped_sentences": f"""select a.paper_id, cast(a.place as int) as place, a.sentence as left_sentence, b.sentence as right_sentence
-        from (select *, row_number() over (partition by paper_id order by ord) as place from {_sentences('grobid')}) a join (select *, row_number() over (partition by paper_id order by ord) as place from {_sentences('pdfplumber')}) b on a.paper_id = b.paper_id and a.place = b.place""",
+    "exact_agreement": f"""select reports, cast(sum(na) as bigint) as n_primary, cast(sum(nb) as bigint) as n_candidate, cast(sum(least(na, nb)) as bigint) as n_exact, case when sum(na) > 0 then sum(least(na, nb)) / sum(na) else 0.0 end as agreement_rate
+        from (select reports, sentence, count(*) filter (side = 0) as na, count(*) filter (side = 1) as nb from (select reports, sentence, 0 as side from {_PAIRS} p join {_SENTENCES} s on s.report_id = p.a union all select reports, sentence, 1 from {_PAIRS} p join {_SENTENCES} s on s.report_id = p.b) group by 1, 2) group by 1""",
+    "zipped_sentences": f"""with n as (select report_id, sentence, row_number() over (partition by report_id order by ord) as place from {_SENTENCES})
+        select reports, cast(x.place as int) as place, x.sentence as left_sentence, y.sentence as right_sentence from {_PAIRS} p join n x on x.report_id = p.a join n y on y.report_id = p.b and x.place = y.place""",
     "page_routing": _ROUTING,
     "page_summary": """select paper_id, count(*) as n_pages, string_agg(page_text, chr(10) order by page_index) as full_text from (select distinct on (paper_id, page_index) * from page_texts where page_text is not null and page_text <> '') group by 1""",
     "preceding_section": f"""with h as (select paper_id, page, arg_max(section_path, item_id) as section_path from {_ITEMS} where section_path is not null and page is not null group by 1, 2),
@@ -147,12 +148,12 @@ ORACLE_SQL = {
         from {_RECORDS} r left join j on r.record_id = j.record_id where r.paper_id is not null group by 1""",
     "unresolved_locations": f"""select distinct l.record_id, l.paper_id, l.item_id from (select record_id, paper_id, unnest([x, regexp_replace(x, '^S', 'F'), regexp_replace(x, '^S', 'T')]) as item_id from (select record_id, paper_id, unnest(loc) as x from {_RECORDS} where paper_id is not null)) l
         where not exists (select 1 from evidence_items i where i.paper_id = l.paper_id and i.item_id = l.item_id)""",
-    "annotation_sentences": f"""select n.ann_id as id, cast(min(r.range_index) as int) as range_index from {_NOTES} n join (select paper_id, unnest(sentence_to_char_range) as r, generate_subscripts(sentence_to_char_range, 1) - 1 as range_index from coverage_reports where source = 'grobid') r
-        on n.paper_id = r.paper_id and n.char_start >= r.r.char_start and n.char_start < r.r.char_end and r.r.char_start >= 0 and n.char_start >= 0 group by 1""",
+    "annotation_sentences": f"""select n.ann_id, r.report_id, cast(min(r.range_index) as int) as range_index from {_NOTES} n join (select paper_id, report_id, unnest(sentence_to_char_range) as r, generate_subscripts(sentence_to_char_range, 1) - 1 as range_index from coverage_reports) r
+        on n.paper_id = r.paper_id and n.char_start >= r.r.char_start and n.char_start < r.r.char_end and r.r.char_start >= 0 and n.char_start >= 0 group by 1, 2""",
     "sentence_offsets": """select report_id, cast(ord - 1 as int) as ord, case when s is not null then instr(t, s) - 1 end as char_start, case when instr(t, s) > 0 then instr(t, s) - 1 + length(s) else -1 end as char_end
         from (select report_id, coalesce(full_pdf_text, '') as t, unnest([x.sentence for x in sentence_records]) as s, generate_subscripts(sentence_records, 1) as ord from coverage_reports)""",
-    "quote_context": f"""select ann_id, substr(t, greatest(pos - 20, 1), least(pos - 1, 20)) as prefix, substr(t, pos + length(sentence_text), 20) as suffix
-        from (select n.ann_id, n.sentence_text, r.full_pdf_text as t, instr(r.full_pdf_text, n.sentence_text) as pos from {_NOTES} n join coverage_reports r on n.paper_id = r.paper_id and r.source = 'grobid' where r.full_pdf_text is not null and n.sentence_text <> '') where pos > 0""",
+    "quote_context": f"""select ann_id, report_id, substr(t, greatest(pos - 20, 1), least(pos - 1, 20)) as prefix, substr(t, pos + length(sentence_text), 20) as suffix
+        from (select n.ann_id, r.report_id, n.sentence_text, r.full_pdf_text as t, instr(r.full_pdf_text, n.sentence_text) as pos from {_NOTES} n join coverage_reports r on n.paper_id = r.paper_id where r.full_pdf_text is not null and n.sentence_text <> '') where pos > 0""",
     "merged_fields": _MERGED,
     "every_field": f"""select d.paper_id, d.field_index, coalesce(m.merged_value, 'nr') as merged_value from (select p.paper_id, f.field_index from (select distinct paper_id from ({_MERGED})) p, (select distinct field_index from extraction_map) f) d
         left join ({_MERGED}) m on d.paper_id = m.paper_id and d.field_index = m.field_index""",
@@ -218,8 +219,8 @@ ORACLE_SQL = {
     "stage_limits": "select stage, cast(case when stage = 'synthesis' then 120000 else budget_limit end as int) as budget_limit from stage_budgets",
     "prompt_sections": """select field_index, 'system,evidence,alpha,zeta' as sections, (select string_agg(name || ':' || tok, ',' order by tok desc, name) from (select * from (values ('zeta', coalesce(length(definition), 0) // 4), ('evidence', coalesce(length(reviewer_question), 0) // 4), ('system', coalesce(length(field_name), 0) // 4), ('alpha', coalesce(length(format), 0) // 4)) v(name, tok) order by tok desc, name limit 3)) as top from extraction_map""",
     "block_kinds": f"select report_id, cast(block_index as int) as block_index, kind, case kind when 'section' then 'sections' when 'paragraph' then 'paragraphs' else 'references' end as layer from {_BLOCKS}",
-    "paired_blocks": f"""with k as (select paper_id, source, kind, text, row_number() over (partition by paper_id, source, kind order by report_id, block_index) as place from {_BLOCKS} where kind <> 'other' and source in ('grobid', 'pdfplumber'))
-        select a.paper_id, a.kind, cast(a.place as int) as place, a.text as primary_text, b.text as secondary_text from k a join k b on a.paper_id = b.paper_id and a.kind = b.kind and a.place = b.place where a.source = 'grobid' and b.source = 'pdfplumber'""",
+    "paired_blocks": f"""with k as (select report_id, kind, text, row_number() over (partition by report_id, kind order by block_index) as place from {_BLOCKS} where kind <> 'other')
+        select reports, x.kind, cast(x.place as int) as place, x.text as primary_text, y.text as secondary_text from {_PAIRS} p join k x on x.report_id = p.a join k y on y.report_id = p.b and x.kind = y.kind and x.place = y.place""",
     "block_segments": f"select report_id, cast(block_index as int) as block_index, 'seg-' || (row_number() over (partition by report_id order by block_index) - 1) as segment_id from {_BLOCKS}",
     "block_pages": f"select paper_id, cast(coalesce(page - 1, 0) as int) as page_index, string_agg(coalesce(item_text, ''), chr(10) order by item_id) as text, count(*) as block_count from {_ITEMS} group by 1, 2",
     "merged_pages": f"""with c as (select distinct on (paper_id, page_index) paper_id, page_index, page_id, source, is_native from page_texts join ({_ROUTING}) r using (page_id) order by page_id)

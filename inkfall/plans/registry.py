@@ -61,20 +61,29 @@ def branch_scores(spark, folder):
     return branches.branch_scores(table(spark, folder, "coverage_reports"), table(spark, folder, "papers"))
 
 
-def _sentences(spark: SparkSession, folder: str, source: str) -> DataFrame:
-    """The sentences of a branch: cut from its text by stops."""
-    rows = table(spark, folder, "coverage_reports").filter((F.col("source") == source) & F.col("full_pdf_text").isNotNull())
-    return rows.select("paper_id", F.posexplode(T.sentences(F.col("full_pdf_text"))).alias("ord", "s")).select("paper_id", "ord", T.collapse(F.col("s")).alias("sentence"))
+def _sentences(spark: SparkSession, folder: str) -> DataFrame:
+    """The sentences of every report: cut from its text by stops."""
+    rows = table(spark, folder, "coverage_reports").filter(F.col("full_pdf_text").isNotNull())
+    return rows.select("report_id", F.posexplode(T.sentences(F.col("full_pdf_text"))).alias("ord", "s")).select("report_id", "ord", T.collapse(F.col("s")).alias("sentence"))
+
+
+def _both(spark: SparkSession, folder: str, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of reports as those of either side of every two reports of a paper; ``paper_id`` is the pair, smaller report first."""
+    r = table(spark, folder, "coverage_reports").filter("full_pdf_text is not null").select("paper_id", "report_id")
+    pairs = r.alias("a").join(r.alias("b"), (F.col("a.paper_id") == F.col("b.paper_id")) & (F.col("a.report_id") < F.col("b.report_id")))
+    pairs = pairs.select(F.concat_ws("|", "a.report_id", "b.report_id").alias("paper_id"), F.col("a.report_id").alias("a"), F.col("b.report_id").alias("b"))
+    side = lambda c: pairs.select("paper_id", F.col(c).alias("report_id")).join(rows.drop("paper_id"), "report_id")
+    return side("a"), side("b")
 
 
 @query
 def exact_agreement(spark, folder):
-    return branches.exact_agreement(_sentences(spark, folder, "grobid"), _sentences(spark, folder, "pdfplumber"))
+    return branches.exact_agreement(*_both(spark, folder, _sentences(spark, folder))).withColumnRenamed("paper_id", "reports")
 
 
 @query
 def zipped_sentences(spark, folder):
-    return branches.zipped(_sentences(spark, folder, "grobid"), _sentences(spark, folder, "pdfplumber"))
+    return branches.zipped(*_both(spark, folder, _sentences(spark, folder))).withColumnRenamed("paper_id", "reports")
 
 
 @query
@@ -146,10 +155,12 @@ def unresolved_locations(spark, folder):
 
 @query
 def annotation_sentences(spark, folder):
-    reports = table(spark, folder, "coverage_reports").filter("source = 'grobid'")
-    ranges = reports.select("paper_id", F.posexplode("sentence_to_char_range").alias("range_index", "r")).select("paper_id", "range_index", F.col("r.char_start").alias("start"), F.col("r.char_end").alias("end"))
-    points = table(spark, folder, "annotations").dropDuplicates(["ann_id"]).select(F.col("ann_id").alias("id"), "paper_id", F.col("char_start").alias("at"))
-    return evidence.containing_range(points, ranges)
+    """Of every annotation and report of its paper the recorded sentence that holds where it begins."""
+    reports = table(spark, folder, "coverage_reports")
+    ranges = reports.select(F.col("report_id").alias("paper_id"), F.posexplode("sentence_to_char_range").alias("range_index", "r")).select("paper_id", "range_index", F.col("r.char_start").alias("start"), F.col("r.char_end").alias("end"))
+    points = table(spark, folder, "annotations").dropDuplicates(["ann_id"]).select("ann_id", "paper_id", F.col("char_start").alias("at")).join(reports.select("paper_id", "report_id"), "paper_id")
+    found = evidence.containing_range(points.select(F.struct("ann_id", "report_id").alias("id"), F.col("report_id").alias("paper_id"), "at"), ranges)
+    return found.select("id.ann_id", "id.report_id", "range_index")
 
 
 @query
@@ -161,11 +172,12 @@ def sentence_offsets(spark, folder):
 
 @query
 def quote_context(spark, folder):
+    """What stands around an annotation's sentence in every report of its paper that has it."""
     notes = table(spark, folder, "annotations").dropDuplicates(["ann_id"]).select("ann_id", "paper_id", "sentence_text")
-    texts = table(spark, folder, "coverage_reports").filter("source = 'grobid' and full_pdf_text is not null").select("paper_id", "full_pdf_text")
+    texts = table(spark, folder, "coverage_reports").filter("full_pdf_text is not null").select("paper_id", "report_id", "full_pdf_text")
     both = notes.join(texts, "paper_id").filter("sentence_text <> ''").withColumn("at", F.call_function("instr", F.col("full_pdf_text"), F.col("sentence_text"))).filter("at > 0")
     prefix = F.substring(F.col("full_pdf_text"), F.greatest(F.col("at") - 20, F.lit(1)), F.least(F.col("at") - 1, F.lit(20)))
-    return both.select("ann_id", prefix.alias("prefix"), F.substring(F.col("full_pdf_text"), F.col("at") + F.length("sentence_text"), F.lit(20)).alias("suffix"))
+    return both.select("ann_id", "report_id", prefix.alias("prefix"), F.substring(F.col("full_pdf_text"), F.col("at") + F.length("sentence_text"), F.lit(20)).alias("suffix"))
 
 
 @query
@@ -322,9 +334,8 @@ def quote_similarity(spark, folder):
     return n.select("ann_id", F.round(T.similarity(F.col("quote_selector.exact"), F.col("sentence_text")), 9).alias("ratio"))
 
 
-def _blocks(spark: SparkSession, folder: str, source: str | None = None) -> DataFrame:
-    reports = table(spark, folder, "coverage_reports")
-    return reconcile.classified(reconcile.text_blocks(reports if source is None else reports.filter(F.col("source") == source)))
+def _blocks(spark: SparkSession, folder: str) -> DataFrame:
+    return reconcile.classified(reconcile.text_blocks(table(spark, folder, "coverage_reports")))
 
 
 @query
@@ -436,18 +447,22 @@ def block_kinds(spark, folder):
 
 @query
 def paired_blocks(spark, folder):
-    return reconcile.paired(_blocks(spark, folder, "grobid"), _blocks(spark, folder, "pdfplumber"))
+    return reconcile.paired(*_both(spark, folder, _blocks(spark, folder))).withColumnRenamed("paper_id", "reports")
+
+
+def _aligned(spark: SparkSession, folder: str) -> DataFrame:
+    pairs = reconcile.paired(*_both(spark, folder, _blocks(spark, folder)))
+    return reconcile.aligned(pairs).withColumn("confidence", F.round("confidence", 9)).withColumn("edit_distance", F.round("edit_distance", 9))
 
 
 @query
 def aligned_blocks(spark, folder):
-    pairs = reconcile.paired(_blocks(spark, folder, "grobid"), _blocks(spark, folder, "pdfplumber"))
-    return reconcile.aligned(pairs).withColumn("confidence", F.round("confidence", 9)).withColumn("edit_distance", F.round("edit_distance", 9))
+    return _aligned(spark, folder).withColumnRenamed("paper_id", "reports")
 
 
 @query
 def best_alignment(spark, folder):
-    return reconcile.best_of(aligned_blocks(spark, folder))
+    return reconcile.best_of(_aligned(spark, folder)).withColumnRenamed("paper_id", "reports")
 
 
 @query
@@ -477,7 +492,7 @@ def char_ranges(spark, folder):
 
 @query
 def near_agreement(spark, folder):
-    found = branches.near_agreement(_sentences(spark, folder, "grobid"), _sentences(spark, folder, "pdfplumber"))
+    found = branches.near_agreement(*_both(spark, folder, _sentences(spark, folder))).withColumnRenamed("paper_id", "reports")
     return found.withColumn("agreement_rate", F.round("agreement_rate", 9))
 
 
@@ -662,8 +677,8 @@ def annotation_records(spark, folder):
 
 @query
 def unified_records(spark, folder):
-    a, b = _blocks(spark, folder, "grobid"), _blocks(spark, folder, "pdfplumber")
-    return reconcile.unified(a, b, reconcile.aligned(reconcile.paired(a, b)))
+    a, b = _both(spark, folder, _blocks(spark, folder))
+    return reconcile.unified(a, b, reconcile.aligned(reconcile.paired(a, b))).withColumnRenamed("paper_id", "reports")
 
 
 @query

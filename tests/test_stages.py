@@ -105,29 +105,29 @@ def test_texts_and_quotations_in_plain_python(spark):
 
 
 def test_alignment_in_plain_python(spark):
-    pairs = {(r.paper_id, r.kind, r.place): r for r in rows(spark, "paired_blocks")}
+    pairs = {(r.reports, r.kind, r.place): r for r in rows(spark, "paired_blocks")}
     got = rows(spark, "aligned_blocks")
     assert len(got) == len(pairs) > 0
     for r in got:
-        p = pairs[r.paper_id, r.kind, r.place]
+        p = pairs[r.reports, r.kind, r.place]
         like = difflib.SequenceMatcher(None, plain(p.primary_text), plain(p.secondary_text)).ratio()
         if r.kind == "paragraph":
             assert abs(r.edit_distance - (1 - like)) < 1e-8 and r.agreement == ("full" if like == 1 else "partial" if 1 - like < 0.1 else "divergent")
         elif r.kind == "section":
             assert abs(r.confidence - like) < 1e-8
-    best = {(r.paper_id, r.source): r for r in rows(spark, "best_alignment")}
+    best = {(r.reports, r.source): r for r in rows(spark, "best_alignment")}
     for (paper, source), b in best.items():
-        own = [r for r in got if (r.paper_id, r.source) == (paper, source)]
+        own = [r for r in got if (r.reports, r.source) == (paper, source)]
         assert b.confidence == max(r.confidence for r in own)
-    unified = {r.paper_id: r for r in rows(spark, "unified_records")}
+    unified = {r.reports: r for r in rows(spark, "unified_records")}
     assert sum(r.n_entries for r in unified.values()) == len(got)
 
 
 def test_near_agreement_beside_the_exact_one(spark):
     # A near match may take a candidate that equals a later sentence, so exact ones can be fewer here.
-    near = {r.paper_id: r for r in rows(spark, "near_agreement")}
+    near = {r.reports: r for r in rows(spark, "near_agreement")}
     for r in rows(spark, "exact_agreement"):
-        n = near[r.paper_id]
+        n = near[r.reports]
         assert (n.n_primary, n.n_candidate) == (r.n_primary, r.n_candidate) and n.n_exact <= r.n_exact <= n.n_exact + n.n_near
 
 
