@@ -27,7 +27,7 @@ SUSPENDED = "and or und oder bzw et ou y o e ed und/oder and/or to but nor"
 EDGE = 3
 #: Words of a vocabulary shard, which gets a trie of its own; asked words of a block; prefixes that tell words their shards.
 SHARD = 50_000
-BLOCK = 2_000
+BLOCK = 1_000
 PARTITIONS = 20_000
 PREFIXES = 200_000
 #: Cost of an edit that is no known misreading, in misreadings, and letters that a word has for each.
@@ -561,7 +561,7 @@ def examine(pages: DataFrame, clean: DataFrame) -> Repair:
     goes_on = F.coalesce(F.col("opened") & F.col("own").rlike(r"^[\p{L}\p{N}!¢|]") & ~suspended, F.lit(False))
     ready = cut(ready.select("page_id", "text", "dropped", F.col("overleaf"), goes_on.alias("taken"), "next_page", "next_head_line"))
     release(heads)
-    words = cut(ready.select("page_id", "text", "dropped", "overleaf", "taken").mapInArrow(_all_words, _WORDS))
+    words = cut(spread(ready.select("page_id", "text", "dropped", "overleaf", "taken")).mapInArrow(_all_words, _WORDS))
 
     # Vocabulary: surface forms of clean pages and of whole words on scanned ones.
     counted = spread(clean.filter("text is not null").select("text")).mapInArrow(_counts, "w string, n bigint").groupBy("w").agg(F.sum("n").alias("n"))
