@@ -221,14 +221,14 @@ def fit_profiles(docs: DataFrame, key: str = "doc_id", text: str = "text", label
 
 
 class Table:
-    """The profiles side by side: for every n-gram in any of them its rank in each language (PROFILE if absent)."""
+    """The profiles side by side: for every language the rank of every n-gram of any profile (if absent one that is out of place anywhere)."""
 
     def __init__(self, profiles: dict[str, list[int]]):
         self.langs = sorted(profiles)
         self.keys = np.unique(np.concatenate([np.array(p, dtype=np.int64) for p in profiles.values()]))
-        self.ranks = np.full((len(self.keys), len(self.langs)), PROFILE, dtype=np.int16)
+        self.ranks = np.full((len(self.langs), len(self.keys)), 3 * PROFILE, dtype=np.int16)
         for x, lang in enumerate(self.langs):
-            self.ranks[np.searchsorted(self.keys, np.array(profiles[lang], dtype=np.int64)), x] = np.arange(len(profiles[lang]))
+            self.ranks[x, np.searchsorted(self.keys, np.array(profiles[lang], dtype=np.int64))] = np.arange(len(profiles[lang]))
         # Keys by a hash without clashes: a factor is tried until no two share a slot.
         self.bits = max(len(self.keys) - 1, 1).bit_length() + 9
         factors = np.random.default_rng(0)
@@ -278,13 +278,10 @@ def distances(table: Table, unit: np.ndarray, key: np.ndarray, n: np.ndarray, un
     unit, key, rank = np.r_[u[kept], u1[kept1]], np.r_[k[kept], k1[kept1]], np.r_[rank[kept], first[u1[kept1]]].astype(np.int16)
     at, known = table.places(key)
     unit, at, rank = unit[known], at[known], rank[known]
-    theirs = table.ranks[at]
-    off = np.abs(theirs - rank[:, None])
-    np.minimum(off, PROFILE, out=off)
-    off[theirs == PROFILE] = PROFILE
     inside = np.bincount(unit, minlength=units)
-    for x in range(off.shape[1]):
-        out[:, x] = np.bincount(unit, weights=off[:, x], minlength=units)
+    for x, theirs in enumerate(table.ranks):
+        off = np.abs(theirs[at] - rank)
+        out[:, x] = np.bincount(unit, weights=np.minimum(off, PROFILE, out=off), minlength=units)
     return out / PROFILE + (size - inside)[:, None], size
 
 
@@ -303,6 +300,9 @@ def _agreeing(table):
 
 def smooth(cost: np.ndarray, change: float = SWITCH) -> np.ndarray:
     """The cheapest language per sentence of one document, where each change of language costs ``change``."""
+    near = cost.argmin(1)
+    if (near == near[0]).all():  # one language is nearest everywhere
+        return near
     total, back = cost[0].copy(), []
     for row in cost[1:]:
         best = int(total.argmin())
@@ -329,8 +329,8 @@ def _segments(table, change: float):
         for d, t in enumerate(texts):
             if not t:
                 continue
-            shown = _QUOTE.sub(_hidden, t)
-            if sum(map(str.isalpha, shown)) < 0.5 * sum(map(str.isalpha, t)):
+            shown = _QUOTE.sub(_hidden, t) if "“" in t else t
+            if shown != t and sum(map(str.isalpha, shown)) < 0.5 * sum(map(str.isalpha, t)):
                 shown = t
             for a, b in sentences_of(shown):
                 spans.append((d, a, b))
