@@ -145,8 +145,11 @@ def stretch_distance(item: np.ndarray, doc: np.ndarray, words: int, allowed: int
     order, and one for the interruption. Without ``least`` the first distance that is small enough will do. A word that the
     document does not have where the stretch would be is an edit at least: windows with too many of them are passed over.
     """
-    hits = whole_pieces(item, doc, piece)
     n = len(item)
+    absent = np.r_[0, np.cumsum(~np.isin(item, doc))]
+    if (absent[words:] - absent[: n - words + 1]).min() > allowed:
+        return None
+    hits = whole_pieces(item, doc, piece)
     width = allowed + 1
     bands: dict[int, set[tuple[int, int]]] = {}
     for i, j in hits:
