@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import difflib
 import unicodedata
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column
@@ -53,6 +54,11 @@ SPACE = r"(?U)\s+"
 CONTROL = "[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f�]"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, however often and in whatever lambda ``body`` names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def collapse(x: Column) -> Column:
     """Runs of blanks become one, none at the ends."""
     return F.trim(F.regexp_replace(x, SPACE, " "))
@@ -119,7 +125,8 @@ def sentences(x: Column) -> Column:
 
 def keywords(x: Column) -> Column:
     """Words that are no stop words."""
-    return F.filter(words(x), lambda w: ~F.array_contains(F.array(*[F.lit(v) for v in STOPWORDS]), F.lower(w)))
+    stop = F.array(*[F.lit(v) for v in STOPWORDS])
+    return F.filter(words(x), lambda w: ~F.array_contains(stop, F.lower(w)))
 
 
 def short_hash(x: Column, prefix: str = "") -> Column:

@@ -39,7 +39,8 @@ def field_tokens(fields: DataFrame) -> list[str]:
 
 def keyword_overlap(text: Column, tokens: list[str]) -> Column:
     """How many of the tokens occur in a text, anywhere in it."""
-    return F.size(F.filter(F.array(*[F.lit(t) for t in tokens]).cast("array<string>"), lambda t: F.contains(F.lower(text), t)))
+    every = F.array(*[F.lit(t) for t in tokens]).cast("array<string>")
+    return T.let(F.lower(text), lambda low: F.size(F.filter(every, lambda t: F.contains(low, t))))
 
 
 def ranked(items: DataFrame, tokens: list[str]) -> DataFrame:
@@ -87,7 +88,7 @@ def chunk_choice(items: DataFrame, fields: DataFrame, max_items: int = 150, max_
     words = fields.select("chunk", F.explode(F.regexp_extract_all(F.lower(text), F.lit("[a-z]{4,}"), F.lit(0))).alias("w")).distinct()
     tokens = F.broadcast(words.groupBy("chunk").agg(F.collect_list("w").alias("tokens")))
     rows = scored(items).crossJoin(tokens)
-    overlap = F.size(F.filter("tokens", lambda t: F.contains(F.lower(F.coalesce("item_text", F.lit(""))), t)))
+    overlap = T.let(F.lower(F.coalesce("item_text", F.lit(""))), lambda low: F.size(F.filter("tokens", lambda t: F.contains(low, t))))
     rows = rows.withColumn("rank_score", F.col("rank_score") + 3 * overlap).select(F.struct("paper_id", "chunk").alias("paper_id"), "item_id", "item_text", "rank_score")
     return within_budget(rows, max_items, max_chars).select("paper_id.paper_id", "paper_id.chunk", "item_id")
 

@@ -12,25 +12,29 @@ from pyspark.sql import functions as F
 from inkfall.functions import text as T
 
 
-def lexical_checks(checks: DataFrame, reports: DataFrame, least: int = 10) -> DataFrame:
+def lexical_checks(checks: DataFrame, reports: DataFrame, least: int = 10, block: int = 500) -> DataFrame:
     """``check_id``, ``found``, ``confidence``, ``status``: 1.0 if the folded needle is in the folded text, 0.9 if so without punctuation.
 
-    A needle shorter than ``least`` when folded finds nothing. The needles of a report come to it in one row, so its text is
-    folded once and is not repeated per needle; a report is one row, its needles are as many as were asked of it.
+    A needle shorter than ``least`` when folded finds nothing. The needles of a report come to it in blocks of about ``block``, as many
+    as it has, so its text is folded once a block and is not repeated per needle.
     """
     n1, n2 = T.fold_whitespace(F.col("needle")), T.fold_aggressive(F.col("needle"))
     needles = checks.dropDuplicates(["check_id"]).select("check_id", "paper_id", "source", n1.alias("n1"), n2.alias("n2"))
-    asked = needles.filter("paper_id is not null and source is not null").groupBy("paper_id", "source").agg(F.collect_list(F.struct("check_id", "n1", "n2")).alias("ns"))
-    text = F.coalesce("full_pdf_text", F.lit(""))
-    both = reports.select("paper_id", "source", text.alias("t")).join(asked, ["paper_id", "source"])
-    both = both.select("ns", T.fold_whitespace(F.col("t")).alias("t1"), T.fold_aggressive(F.col("t")).alias("t2"))
+    keyed = needles.filter(F.col("paper_id").isNotNull() & F.col("source").isNotNull() & (F.length("n1") >= least))
+    blocks = keyed.groupBy("paper_id", "source").agg(F.ceil(F.count("*") / block).alias("blocks"))
+    asked = keyed.join(blocks, ["paper_id", "source"]).withColumn("b", F.pmod(F.xxhash64("check_id"), F.col("blocks")))
+    asked = asked.groupBy("paper_id", "source", "b").agg(F.collect_list(F.struct("check_id", "n1", "n2")).alias("ns"))
+    both = reports.select("paper_id", "source", F.coalesce("full_pdf_text", F.lit("")).alias("t")).join(asked, ["paper_id", "source"])
+    folded = F.struct(T.fold_whitespace(F.col("t")).alias("t1"), T.fold_aggressive(F.col("t")).alias("t2"))
 
-    def score(n):
-        ok = F.length(n["n1"]) >= least
-        return F.when(ok & F.contains("t1", n["n1"]), 1.0).when(ok & (n["n2"] != "") & F.contains("t2", n["n2"]), 0.9).otherwise(0.0)
+    def scored(t):
+        def one(n):
+            score = F.when(F.contains(t["t1"], n["n1"]), 1.0).when((n["n2"] != "") & F.contains(t["t2"], n["n2"]), 0.9).otherwise(0.0)
+            return F.struct(n["check_id"].alias("check_id"), score.alias("c"))
 
-    hits = both.select(F.explode(F.transform("ns", lambda n: F.struct(n["check_id"].alias("check_id"), score(n).alias("c")))).alias("h"))
-    hits = hits.groupBy("h.check_id").agg(F.max("h.c").alias("c"))
+        return F.transform("ns", one)
+
+    hits = both.select(F.explode(T.let(folded, scored)).alias("h")).groupBy("h.check_id").agg(F.max("h.c").alias("c"))
     rows = needles.select("check_id").join(hits, "check_id", "left").select("check_id", F.coalesce("c", F.lit(0.0)).alias("confidence"))
     return rows.withColumn("found", F.col("confidence") > 0).withColumn("status", F.when(F.col("found"), "verified").otherwise("no_match"))
 

@@ -229,6 +229,15 @@ def test_budget_choice_is_that_of_the_plain_loop(spark):
         assert {(r.paper_id, r.item_id) for r in evidence.within_budget(df, items, chars).collect()} == want
 
 
+def test_needles_in_blocks(spark):
+    reports = spark.createDataFrame([(1, "P", "a", "The  Quick—brown fox JUMPS over it."), (2, "P", "b", None), (3, None, "a", "x")], "report_id int, paper_id string, source string, full_pdf_text string")
+    checks = [(k, "P", "a", n) for k, n in enumerate(("quick—brown fox", "quickbrown, fox", "short", "", None, "no such thing here", "THE QUICK—BROWN"))] + [(90, "P", "b", "quick—brown fox"), (91, None, "a", "quick—brown fox"), (92, "Q", "a", "quick—brown fox"), (0, "P", "a", "quick—brown fox")]
+    df = spark.createDataFrame(checks, "check_id int, paper_id string, source string, needle string")
+    for block in (1, 2, 500):
+        got = {r.check_id: r.confidence for r in search.lexical_checks(df, reports, block=block).collect()}
+        assert got == {0: 1.0, 1: 0.9, 2: 0.0, 3: 0.0, 4: 0.0, 5: 0.0, 6: 1.0, 90: 0.0, 91: 0.0, 92: 0.0}
+
+
 def test_nearest_in_blocks(spark):
     rng = random.Random(3)
     vec = [(i, [float(rng.randrange(-3, 4)) for _ in range(4)]) for i in range(60)] + [(99, None), (5, None)]
