@@ -89,3 +89,15 @@ def top_sections(parts: Column, top: int = 3) -> Column:
     """The ``top`` sections with most tokens, the first by name on ties; a report."""
     sized = F.transform(F.map_entries(parts), lambda e: F.struct((-F.floor(F.length(e["value"]) / 4)).alias("minus"), e["key"].alias("name")))
     return F.transform(F.slice(F.array_sort(sized), 1, top), lambda s: F.struct(s["name"].alias("name"), (-s["minus"]).alias("tokens")))
+
+
+def prompt_text(parts: Column) -> Column:
+    """A prompt: its sections' texts in their order, so what does not change stands first."""
+    return F.array_join(F.transform(ordered_sections(parts), lambda s: s["text"]), "")
+
+
+def field_lines(fields: DataFrame, by: str = "chunk") -> DataFrame:
+    """The definitions of a chunk's fields as lines in field order: index, name, what is asked and in what form."""
+    line = F.concat_ws(" | ", F.col("field_index").cast("string"), "field_name", "definition", "reviewer_question", "format", "categories_or_examples")
+    per = fields.groupBy(by).agg(F.array_sort(F.collect_list(F.struct("field_index", line.alias("line")))).alias("l"))
+    return per.select(by, F.array_join(F.transform("l", lambda x: x["line"]), "\n").alias("field_definitions"))

@@ -52,6 +52,14 @@ def pending(inputs: DataFrame, manifest: DataFrame, key: str = "paper_id", ident
     return done.select(key).distinct()
 
 
+def manifest(before: DataFrame, entries: DataFrame, key: str = "paper_id") -> DataFrame:
+    """The manifest after a run: of each input its new entry, else the one it had; of several new ones the last by ``at``."""
+    cols = [c for c in before.columns if c != key]
+    rows = before.withColumn("_new", F.lit(0)).unionByName(entries.select(*before.columns).withColumn("_new", F.lit(1)))
+    best = F.max(F.struct("_new", "at", *[c for c in cols if c != "at"]))
+    return rows.filter(F.col(key).isNotNull()).groupBy(key).agg(best.alias("b")).select(key, *[F.col(f"b.{c}").alias(c) for c in cols])
+
+
 #: Domains before the last one, which has a chunk of its own.
 DOMAINS = 12
 # The last domain of each chunk, for three and for five chunks.

@@ -143,3 +143,6 @@ FINAL_RECORD = {
         "confidence": {"type": "string", "enum": ["h", "m", "l", "nr"]},
     },
 }
+
+# What a text block must be.
+BLOCK = {"required": ["text", "page_index"], "properties": {"text": {"type": "string", "minLength": 1}, "page_index": {"type": "integer", "minimum": 0}, "bbox": {"type": "array"}}}

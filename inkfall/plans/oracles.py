@@ -307,6 +307,11 @@ ORACLE_SQL = {
     "expected_indices": "select chunk, string_agg(field_index::varchar, ',' order by field_index) as indices from (select field_index, [1, 1, 1, 2, 2, 3, 3, 3, 3, 4, 4, 4, 5][cast(split_part(domain_group, '.', 1) as int)] as chunk from extraction_map) group by 1",
     "exported_values": f"select record_id, {_bare('extracted_value')} as value from {_RECORDS}",
     "block_sentences": f"""select report_id, cast(block_index as int) as block_index, cast(row_number() over (partition by report_id, block_index order by k) - 1 as int) as ord, s as sentence from (select report_id, block_index, {_collapse('s')} as s, k from (select report_id, block_index, unnest(l) as s, generate_subscripts(l, 1) as k from (select *, string_split(regexp_replace(text, '([.!?])' || '{_S}' || '+', '\\1' || chr(1), 'g'), chr(1)) as l from {_BLOCKS} where kind = 'paragraph'))) where s <> ''""",
+    "prompt_texts": """select chunk, 'Read.' || chr(10) || string_agg(concat_ws(' | ', field_index::varchar, field_name, definition, reviewer_question, format, categories_or_examples), chr(10) order by field_index) || chr(10) || 'Answer in JSON.' as prompt
+        from (select *, [1, 1, 1, 2, 2, 3, 3, 3, 3, 4, 4, 4, 5][cast(split_part(domain_group, '.', 1) as int)] as chunk from extraction_map) group by 1""",
+    "manifests": "select paper_id, case when route = 'native' then 'complete' else status end as status, case when route = 'native' then 'm2' else model_id end as model_id from papers",
+    "block_messages": f"""select paper_id, item_id, array_to_string(list_filter([case when item_text is null then 'path=$.text | is required' end, case when page is null then 'path=$.page_index | is required' end, case when page - 2 < 0 then 'path=$.page_index | is less than 0' end, case when item_text = '' then 'path=$.text | is too short' end], lambda x: x is not null), ';') as messages from {_ITEMS}""",
+    "first_sentences": f"select report_id, cast(ord - 1 as int) as ord, sentence from (select *, row_number() over (partition by report_id order by ord) as rn from {_SENTENCES}) where rn <= 5",
 }
 ORACLE_SQL["valid_papers"] = f"select paper_id, bool_and(error is null) as ok, count(*) as n_chunks from ({ORACLE_SQL['chunk_errors']}) group by 1"
 ORACLE_SQL = {k: v for k, v in ORACLE_SQL.items() if v}

@@ -762,6 +762,34 @@ def block_sentences(spark, folder):
     return blocks.select("report_id", "block_index", F.posexplode(stages.SEGMENTERS["stops"](F.col("text"))).alias("ord", "sentence"))
 
 
+@query
+def prompt_texts(spark, folder):
+    m = table(spark, folder, "extraction_map")
+    chunk = runs.chunk_of(F.split_part("domain_group", F.lit("."), F.lit(1)).cast("int"))
+    lines = budget.field_lines(m.withColumn("chunk", chunk))
+    parts = F.map_from_arrays(F.array(F.lit("tail"), F.lit("field_definitions"), F.lit("system")), F.array(F.lit("\nAnswer in JSON."), F.col("field_definitions"), F.lit("Read.\n")))
+    return lines.select("chunk", budget.prompt_text(parts).alias("prompt"))
+
+
+@query
+def manifests(spark, folder):
+    """Papers of native route stand for those of the new run."""
+    rows = table(spark, folder, "papers").select("paper_id", "status", "model_id", F.col("ingested_at").alias("at"))
+    new = table(spark, folder, "papers").filter("route = 'native'").select("paper_id", F.lit("complete").alias("status"), F.lit("m2").alias("model_id"), F.col("ingested_at").alias("at"))
+    return runs.manifest(rows, new).select("paper_id", "status", "model_id")
+
+
+@query
+def block_messages(spark, folder):
+    rows = _items(spark, folder).select("paper_id", "item_id", F.col("item_text").alias("text"), (F.col("page") - 2).alias("page_index"), F.col("coords").alias("bbox"))
+    return rows.select("paper_id", "item_id", F.array_join(validation.schema_messages(rows, validation.BLOCK), ";").alias("messages"))
+
+
+@query
+def first_sentences(spark, folder):
+    return stages.first_rows(_sentences(spark, folder), "report_id", "ord", 5)
+
+
 def queries() -> dict[str, QueryFn]:
     return dict(_ALL)
 

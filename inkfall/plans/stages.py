@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 from typing import Any
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
@@ -65,3 +65,9 @@ def sentence_rows(blocks: DataFrame, least: int = 20, backend: str | Callable[[C
     rows = blocks.filter("page_index is not null").withColumn("_s", cut(T.heal_lines(F.coalesce("text", F.lit("")))))
     flat = rows.select(*[c for c in blocks.columns if c != "text"], F.posexplode("_s").alias("ord", "s")).withColumn("sentence", F.regexp_replace("s", r"(?U)^\s+|\s+$", ""))
     return flat.drop("s").filter((F.length("sentence") >= least) & ~T.is_noise(F.col("sentence")))
+
+
+def first_rows(rows: DataFrame, key: str, order: str, most: int) -> DataFrame:
+    """The first ``most`` rows of each key, where a model takes no more."""
+    place = F.row_number().over(Window.partitionBy(key).orderBy(order))
+    return rows.withColumn("_place", place).filter(F.col("_place") <= most).drop("_place")
