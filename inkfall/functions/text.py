@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import difflib
 import unicodedata
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 import pandas as pd
 from pyspark.sql import Column
@@ -77,11 +77,27 @@ def _foldings() -> tuple[dict[str, str], dict[str, str]]:
 FOLD_ONE, FOLD_MORE = _foldings()
 
 
+def _class(letters: Iterable[str]) -> str:
+    """A pattern of any of the letters, by ranges."""
+    out: list[list[int]] = []
+    for o in sorted(map(ord, letters)):
+        if out and out[-1][1] == o - 1:
+            out[-1][1] = o
+        else:
+            out.append([o, o])
+    return "[" + "".join(f"{chr(a)}-{chr(b)}" for a, b in out) + "]"
+
+
 def casefold(x: Column) -> Column:
     """Full case folding: sigma in every place, ligatures and sharp s as letters. Expansions are made only where a text has any."""
     low = F.translate(F.lower(F.replace(x, F.lit("İ"), F.lit("i̇"))), "".join(FOLD_ONE), "".join(FOLD_ONE.values()))
-    pairs = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in FOLD_MORE.items()])
-    return F.when(low.rlike("[" + "".join(FOLD_MORE) + "]"), F.aggregate(pairs, low, lambda t, p: F.replace(t, p["a"], p["b"]))).otherwise(low)
+    letters = _class(FOLD_MORE)
+    longer = F.create_map(*[F.lit(x) for pair in FOLD_MORE.items() for x in pair])
+
+    def expanded(t: Column) -> Column:
+        return F.aggregate(F.array_distinct(F.regexp_extract_all(t, F.lit(letters), F.lit(0))), t, lambda done, c: F.replace(done, c, F.element_at(longer, c)))
+
+    return let(low, lambda t: F.when(t.rlike(letters), expanded(t)).otherwise(t))
 
 
 def fold_whitespace(x: Column) -> Column:
@@ -89,9 +105,14 @@ def fold_whitespace(x: Column) -> Column:
     return collapse(casefold(x))
 
 
+def bare(folded: Column) -> Column:
+    """A folded text without anything but letters, digits, underscores and blanks."""
+    return collapse(F.regexp_replace(folded, r"(?U)[^\w\s]", ""))
+
+
 def fold_aggressive(x: Column) -> Column:
     """``fold_whitespace`` without anything but letters, digits, underscores and blanks."""
-    return collapse(F.regexp_replace(fold_whitespace(x), r"(?U)[^\w\s]", ""))
+    return bare(fold_whitespace(x))
 
 
 def heal_lines(x: Column) -> Column:

@@ -25,16 +25,16 @@ def lexical_checks(checks: DataFrame, reports: DataFrame, least: int = 10, block
     asked = keyed.join(blocks, ["paper_id", "source"]).withColumn("b", F.pmod(F.xxhash64("check_id"), F.col("blocks")))
     asked = asked.groupBy("paper_id", "source", "b").agg(F.collect_list(F.struct("check_id", "n1", "n2")).alias("ns"))
     both = reports.select("paper_id", "source", F.coalesce("full_pdf_text", F.lit("")).alias("t")).join(asked, ["paper_id", "source"])
-    folded = F.struct(T.fold_whitespace(F.col("t")).alias("t1"), T.fold_aggressive(F.col("t")).alias("t2"))
 
-    def scored(t):
+    def scored(t1, t2):
         def one(n):
-            score = F.when(F.contains(t["t1"], n["n1"]), 1.0).when((n["n2"] != "") & F.contains(t["t2"], n["n2"]), 0.9).otherwise(0.0)
+            score = F.when(F.contains(t1, n["n1"]), 1.0).when((n["n2"] != "") & F.contains(t2, n["n2"]), 0.9).otherwise(0.0)
             return F.struct(n["check_id"].alias("check_id"), score.alias("c"))
 
         return F.transform("ns", one)
 
-    hits = both.select(F.explode(T.let(folded, scored)).alias("h")).groupBy("h.check_id").agg(F.max("h.c").alias("c"))
+    hits = T.let(T.fold_whitespace(F.col("t")), lambda t1: T.let(T.bare(t1), lambda t2: scored(t1, t2)))
+    hits = both.select(F.explode(hits).alias("h")).groupBy("h.check_id").agg(F.max("h.c").alias("c"))
     rows = needles.select("check_id").join(hits, "check_id", "left").select("check_id", F.coalesce("c", F.lit(0.0)).alias("confidence"))
     return rows.withColumn("found", F.col("confidence") > 0).withColumn("status", F.when(F.col("found"), "verified").otherwise("no_match"))
 
