@@ -17,30 +17,30 @@ WRAPPERS = ("extractions", "fields", "items")
 
 def extractions(raw: Column) -> Column:
     """The objects in a model's answer, as JSON texts: a list, or an object that holds one; null if there is none."""
-    text = T.json_text(F.coalesce(raw, F.lit("")))
-    inner = F.coalesce(*[F.get_json_object(text, f"$.{k}") for k in WRAPPERS])
-    # A list of strings keeps the text of each object; what is no JSON gives null.
-    ok = F.try_parse_json(text).isNotNull()
-    return F.when(ok, F.from_json(F.when(text.startswith("["), text).otherwise(inner), "array<string>"))
+    def found(text: Column) -> Column:
+        inner = F.coalesce(*[F.get_json_object(text, f"$.{k}") for k in WRAPPERS])
+        # A list of strings keeps the text of each object; what is no JSON gives null.
+        return F.when(F.try_parse_json(text).isNotNull(), F.from_json(F.when(text.startswith("["), text).otherwise(inner), "array<string>"))
+
+    return T.let(T.json_text(F.coalesce(raw, F.lit(""))), found)
 
 
 def item_error(item: Column) -> Column:
     """What is wrong with one extraction, by the first rule that it breaks; null if nothing is."""
-    keys = F.array_sort(F.json_object_keys(item))
-    whole = F.try_parse_json(item)
-
-    def kind(key: str) -> Column:
-        return F.schema_of_variant(F.try_variant_get(whole, f"$.{key}", "variant"))
-
     wanted = F.array(*[F.lit(k) for k in KEYS])
-    return (
-        F.when(keys.isNull(), "no_object")
-        .when(F.size(F.array_except(wanted, keys)) > 0, "missing_keys")
-        .when(F.size(F.array_except(keys, wanted)) > 0, "unexpected_keys")
-        .when(~F.coalesce(F.get_json_object(item, "$.c").isin(*CONFIDENCE), F.lit(False)), "confidence")
-        .when(kind("i") != "BIGINT", "index")
-        .when(~kind("loc").isin("ARRAY<STRING>", "ARRAY<VOID>"), "locations")
-    )
+
+    def broken(keys: Column) -> Column:
+        kind = lambda key: F.schema_of_variant(F.try_variant_get(F.try_parse_json(item), f"$.{key}", "variant"))
+        return (
+            F.when(keys.isNull(), "no_object")
+            .when(F.size(F.array_except(wanted, keys)) > 0, "missing_keys")
+            .when(F.size(F.array_except(keys, wanted)) > 0, "unexpected_keys")
+            .when(~F.coalesce(F.get_json_object(item, "$.c").isin(*CONFIDENCE), F.lit(False)), "confidence")
+            .when(kind("i") != "BIGINT", "index")
+            .when(~kind("loc").isin("ARRAY<STRING>", "ARRAY<VOID>"), "locations")
+        )
+
+    return T.let(F.json_object_keys(item), broken)
 
 
 def chunk_errors(outputs: DataFrame, expected: DataFrame, evidence: DataFrame, keys: tuple[str, ...] = ("paper_id", "chunk")) -> DataFrame:
