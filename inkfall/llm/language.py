@@ -315,6 +315,20 @@ def smooth(cost: np.ndarray, change: float = SWITCH) -> np.ndarray:
     return np.array(path[::-1])
 
 
+def costs(table: Table, units: list[str], letters: int = 200_000) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distances, numbers of n-grams and letters of every unit, some ``letters`` of them at a time, so a long text needs no more room than short ones."""
+    parts, at, total = [], 0, 0
+    for i, u in enumerate(units, 1):
+        total += len(u)
+        if total >= letters or i == len(units):
+            unit, key, n, own = ngrams(units[at:i])
+            parts.append((*distances(table, unit, key, n, i - at), own))
+            at, total = i, 0
+    if not parts:
+        return np.zeros((0, len(table.langs))), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+
+
 def _segments(table, change: float):
     langs = table.langs
 
@@ -335,8 +349,7 @@ def _segments(table, change: float):
             for a, b in sentences_of(shown):
                 spans.append((d, a, b))
                 units.append(shown[a:b])
-        unit, key, n, letters = ngrams(units)
-        cost, size = distances(table, unit, key, n, len(units))
+        cost, size, letters = costs(table, units)
         rows: list[tuple] = []
         docs = np.array([s[0] for s in spans], dtype=np.int64)
         first = np.flatnonzero(np.r_[True, docs[1:] != docs[:-1]]) if len(docs) else np.zeros(0, np.int64)

@@ -160,3 +160,10 @@ def test_quotations_count_by_their_sentences_not_their_length(spark):
 def test_ngrams_of_many_different_letters():
     texts = ["ab ab", "", "字母 " + "".join(map(chr, range(0x4E00, 0x4F00)))]
     assert all((a == b).all() for a, b in zip(language.ngrams(texts), language._halves(texts), strict=True))
+
+
+def test_costs_in_parts():
+    units = [EN, DE, "", RU, "12"] * 3
+    table = language.Table({"en": language.ngrams([EN])[1][:50].tolist(), "de": language.ngrams([DE])[1][:50].tolist()})
+    one, many = language.costs(table, units, 10**6), language.costs(table, units, 30)
+    assert all((a == b).all() for a, b in zip(one, many, strict=True)) and language.costs(table, [])[0].shape == (0, 2)
